@@ -1,0 +1,9 @@
+"""Whole jobs and the queries registered for the driver."""
+import importlib
+
+MODULES = ["catalogue_queries", "reconcile_queries"]
+
+
+def load_queries() -> None:
+    for module in MODULES:
+        importlib.import_module(f"{__name__}.{module}")
