@@ -1,4 +1,9 @@
-"""Column expressions over free text. All stay on the JVM."""
+"""Column expressions over free text. All stay on the JVM.
+
+Arrays made by costly expressions are unrolled with the ``outer`` generators and
+a null filter behind them: for the plain ones Spark adds a filter on the array's
+size below the projection, which would evaluate the expression twice.
+"""
 from __future__ import annotations
 
 import unicodedata

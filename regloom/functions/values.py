@@ -18,16 +18,10 @@ def _date_literal(today: str | dt.date) -> Column:
 def certificate_from_url(url: Column) -> Column:
     """``.../BKR-23-07-10-11_fr.pdf`` gives ``BKR 23/07-10/11``; a single
     letter counts only right before a separator or the end."""
-    name = F.element_at(F.split(url, "/"), -1)
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(name, vocab.URL_NUMBER, i)
-
-    number = F.concat(part(1), F.lit(" "), part(2), F.lit("/"), part(3), F.lit("-"),
-                      part(4), F.lit("/"), part(5))
-    letter = part(6)
-    return F.when(part(1) != "", F.when(letter != "", F.concat_ws(" ", number, letter))
-                  .otherwise(number))
+    code = find(F.element_at(F.split(url, "/"), -1), vocab.URL_NUMBER, 0)
+    printed = F.regexp_replace(
+        code, r"^(\w+)[_-](\d+)[_-](\d+)[_-](\d+)[_-](\d+)(?:[_-]([A-Z]))?$", "$1 $2/$3-$4/$5 $6")
+    return F.rtrim(printed)
 
 
 def printed_number(c: Column) -> Column:
@@ -42,29 +36,28 @@ def day_month_year(c: Column) -> Column:
 
 
 def _month_number(word: Column, months: list[str]) -> Column:
-    chain = None
-    for i, month in enumerate(months, 1):
-        test = word == month
-        chain = F.when(test, i) if chain is None else chain.when(test, i)
-    return chain
+    pairs = [F.lit(x) for i, month in enumerate(months, 1) for x in (month, i)]
+    return F.try_element_at(F.create_map(*pairs), F.lower(word))
+
+
+def _iso(year: Column, month: Column, day: Column) -> Column:
+    """A missing part leaves a text that is no date."""
+    return F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
 
 
 def english_date(c: Column) -> Column:
     """First ``Month d, yyyy`` in a text. Only the first candidate counts."""
-    pattern = r"([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})"
-    month = _month_number(F.lower(F.regexp_extract(c, pattern, 1)), vocab.ENGLISH_MONTHS)
-    text = F.format_string("%s-%02d-%s", F.regexp_extract(c, pattern, 3), month,
-                           F.lpad(F.regexp_extract(c, pattern, 2), 2, "0"))
-    return F.when(month.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
+    words = F.split(F.regexp_extract(c, r"([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})", 0), r",?\s+")
+    part = (lambda i: F.try_element_at(words, F.lit(i)))
+    return _iso(part(3), _month_number(part(1), vocab.ENGLISH_MONTHS), part(2))
 
 
 def french_date(c: Column) -> Column:
-    """First ``d mois yyyy`` in a text."""
-    pattern = r"(?U)(\d{1,2})(?:er)?\s+(\p{L}+)\s+(\d{4})"
-    month = _month_number(F.lower(F.regexp_extract(c, pattern, 2)), vocab.FRENCH_MONTHS)
-    text = F.format_string("%s-%02d-%s", F.regexp_extract(c, pattern, 3), month,
-                           F.lpad(F.regexp_extract(c, pattern, 1), 2, "0"))
-    return F.when(month.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
+    """First ``d mois yyyy`` in a text; the first of a month may read ``1er``."""
+    words = F.split(F.regexp_extract(c, r"(?U)(\d{1,2})(?:er)?\s+(\p{L}+)\s+(\d{4})", 0),
+                    r"(?U)(?<=\d)er\s+|\s+")
+    part = (lambda i: F.try_element_at(words, F.lit(i)))
+    return _iso(part(3), _month_number(part(2), vocab.FRENCH_MONTHS), part(1))
 
 
 def dotted_dates(c: Column) -> Column:

@@ -19,9 +19,9 @@ def split_blocks(pages: DataFrame, anchor: str = vocab.BLOCK_ANCHOR, doc: str =
                  page: str = "page_no", text: str = "text", carry=()) -> DataFrame:
     """Cut each page at lines that start with an anchor; text before the first
     anchor belongs to no block. Map-only. ``pos`` orders blocks in a page."""
-    cut = F.split(F.col(text), rf"(?m)(?=^(?:{anchor}))")
-    return (pages.select(doc, page, *carry, F.posexplode(cut).alias("pos", "block"))
-            .withColumn("block_id", find(F.col("block"), rf"^({anchor})"))
+    cut = F.split(F.col(text), rf"(?mU)(?=^(?:{anchor}))")
+    return (pages.select(doc, page, *carry, F.posexplode_outer(cut).alias("pos", "block"))
+            .withColumn("block_id", find(F.col("block"), rf"(?U)^({anchor})"))
             .filter("block_id IS NOT NULL"))
 
 

@@ -104,7 +104,7 @@ def facet_rows(entries: DataFrame, facets: dict[str, str] = FACETS) -> DataFrame
     """Unpivot of the facet columns to (facet, value); empty values drop out."""
     pairs = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(c).cast("string").alias("value"))
                       for f, c in facets.items()])
-    return (entries.select(F.explode(pairs).alias("p")).select("p.facet", "p.value")
+    return (entries.select(F.explode_outer(pairs).alias("p")).select("p.facet", "p.value")
             .filter(present(F.col("value"))))
 
 
@@ -146,7 +146,7 @@ def grid_rows(entries: DataFrame, axis: str = "tested_categories", organism: str
     categories counts under the not-mined column."""
     if dict(entries.dtypes)[axis].startswith("array"):
         cats = F.when(F.size(axis) > 0, F.col(axis)).otherwise(F.array(F.lit(vocab.NOT_MINED)))
-        return entries.withColumn("category", F.explode(cats))
+        return entries.withColumn("category", F.explode_outer(cats))
     return entries.withColumn("category", F.col(axis))
 
 
@@ -165,7 +165,7 @@ def heatmap(entries: DataFrame, columns: list[str], axis: str = "tested_categori
                                F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("n"))
                       for i, c in enumerate(columns, 1)])
     return (wide.join(totals, organism).select(organism, "organism_total",
-                                               F.explode(pairs).alias("p"))
+                                               F.explode_outer(pairs).alias("p"))
             .select(organism, "organism_total", "p.*")
             .withColumn("heat", values.heat_level(F.col("n"))))
 

@@ -99,7 +99,7 @@ def evidence_lines(pages: DataFrame, hints=vocab.EVIDENCE_HINTS, most: int = 25,
     first ``opening`` lines, and a mark for documents without any text.
     Columns: document, kind, rank, line. The ranking keeps only the leading
     rows of each document before it shuffles."""
-    lines = (pages.select(doc, page, F.posexplode(F.split(F.col(text), r"\r\n|[\n\r]")).alias(
+    lines = (pages.select(doc, page, F.posexplode_outer(F.split(F.col(text), r"\r\n|[\n\r]")).alias(
         "line_no", "line")).withColumn("line", F.trim(F.regexp_replace("line", r"(?U)^\s+|\s+$", "")))
         .filter(F.col("line") != ""))
     low = F.lower(F.col("line"))

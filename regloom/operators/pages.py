@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
+from ..session import materialize
 
 
 def page_score(text: Column, signals=vocab.PAGE_SIGNALS, number: str = vocab.PAGE_NUMBER) -> Column:
@@ -54,8 +55,10 @@ def select_pages(scored: DataFrame, budget: int = vocab.PAGE_BUDGET, doc: str =
     prefix with exactly one of the two kept, found by an equi-join on page.
     """
     prefix = 2 * budget
-    s = scored.select(F.col(doc).alias("doc"), F.col(page).cast("int").alias("page"),
-                      F.col(score).alias("score"))
+    # Written once: four branches read it, and page text is scored a single time.
+    s = materialize(scored.select(
+        F.col(doc).alias("doc"), F.col(page).cast("int").alias("page"),
+        F.col(score).alias("score")), "scores")
     docs = s.groupBy("doc").agg(F.count(F.lit(1)).alias("n_pages"), F.max("page").alias("last"),
                                 F.max("score").alias("best"))
     whole = docs.filter((F.col("n_pages") <= budget) | (F.col("best") <= 0)).select("doc")
@@ -73,9 +76,9 @@ def select_pages(scored: DataFrame, budget: int = vocab.PAGE_BUDGET, doc: str =
     # Documents one page short whose ranking goes on behind the prefix.
     short = kept.filter((F.size("keep") == budget - 1) & F.col("floor").isNotNull())
     # A candidate i has exactly one of {i, i+1} kept when i is k or k-1 for a kept k.
-    near = (short.select("doc", "floor", "keep", "last", F.explode("keep").alias("k"))
+    near = (short.select("doc", "floor", "keep", "last", F.explode_outer("keep").alias("k"))
             .select("doc", "floor", "keep", "last",
-                    F.explode(F.array(F.col("k"), F.col("k") - 1)).alias("page"))
+                    F.explode_outer(F.array(F.col("k"), F.col("k") - 1)).alias("page"))
             .distinct())
     extra = (near.join(candidates, ["doc", "page"])
              .filter(F.struct("score", "page") < F.col("floor"))
@@ -86,7 +89,7 @@ def select_pages(scored: DataFrame, budget: int = vocab.PAGE_BUDGET, doc: str =
                          .when(F.col("page") < F.col("last"), F.col("page") + 1))
              .filter(F.col("adds").isNotNull())
              .groupBy("doc").agg(F.max_by("adds", F.struct("score", "page")).alias("page")))
-    chosen = kept.select("doc", F.explode("keep").alias("page")).unionByName(extra)
+    chosen = kept.select("doc", F.explode_outer("keep").alias("page")).unionByName(extra)
     everything = s.join(whole, "doc", "left_semi").select("doc", "page")
     return everything.unionByName(chosen).select(
         F.col("doc").alias(doc), F.col("page").alias(page))

@@ -23,6 +23,23 @@ def unique_names(df: DataFrame, key: str, name: str) -> DataFrame:
             .filter("_n = 1").select("_name", "_by_name"))
 
 
+def _settle(rows: DataFrame, boot: DataFrame, claimed: DataFrame | None, key: str, name: str
+            ) -> DataFrame:
+    """Add ``resolved_key`` and ``resolution`` to rows that carry ``_name``.
+    Two left joins with one-row-per-key sides."""
+    known = boot.select(F.col(key).alias("_known")).distinct()
+    candidates = boot if claimed is None else boot.join(claimed, key, "left_anti")
+    names = unique_names(candidates, key, name)
+    hit = F.col("_known").isNotNull()
+    return (rows.join(known, F.col(key) == F.col("_known"), "left").join(names, "_name", "left")
+            .withColumn("resolved_key", F.when(hit, F.col(key))
+                        .otherwise(F.coalesce("_by_name", key)))
+            .withColumn("resolution", F.when(hit, "exact")
+                        .when(F.col("_by_name").isNotNull(), "by_name")
+                        .when(F.col(key).isNotNull(), "unmatched").otherwise("unresolved"))
+            .drop("_known", "_by_name"))
+
+
 def resolve_keys(pages: DataFrame, boot: DataFrame, key: str = "certificate_number",
                  name: str = "commercial_name", exclude_claimed: bool = False) -> DataFrame:
     """Settle each page row's key: its own when the other side knows it, else
@@ -33,21 +50,10 @@ def resolve_keys(pages: DataFrame, boot: DataFrame, key: str = "certificate_numb
     do not meet in one task; the answer goes back by the same pair.
     """
     rows = pages.withColumn("_name", name_key(F.col(name)))
-    pairs = rows.groupBy(key, "_name").agg(F.lit(1).alias("_one")).drop("_one")
-    known = boot.select(F.col(key).alias("_known")).distinct()
-    candidates = boot
-    if exclude_claimed:
-        candidates = boot.join(pages.select(key).distinct(), key, "left_anti")
-    names = unique_names(candidates, key, name)
-    settled = (pairs.join(known, F.col(key) == F.col("_known"), "left")
-               .join(names, "_name", "left")
-               .select(F.col(key).alias("_k"), F.col("_name").alias("_nm"),
-                       F.when(F.col("_known").isNotNull(), F.col(key))
-                       .otherwise(F.coalesce("_by_name", key)).alias("resolved_key"),
-                       F.when(F.col("_known").isNotNull(), "exact")
-                       .when(F.col("_by_name").isNotNull(), "by_name")
-                       .when(F.col(key).isNotNull(), "unmatched")
-                       .otherwise("unresolved").alias("resolution")))
+    claimed = pages.select(key).distinct() if exclude_claimed else None
+    pairs = rows.select(key, "_name").distinct()
+    settled = _settle(pairs, boot, claimed, key, name).select(
+        F.col(key).alias("_k"), F.col("_name").alias("_nm"), "resolved_key", "resolution")
     return (rows.join(settled, rows[key].eqNullSafe(settled["_k"])
                       & (rows["_name"] == settled["_nm"]), "left")
             .select(*pages.columns, "resolved_key", "resolution"))
@@ -65,12 +71,13 @@ def latest_resolved(pages: DataFrame, boot: DataFrame, order: list[str | Column]
     first = (pages.withColumn("_name", name_key(F.col(name)))
              .groupBy(key, "_name")
              .agg(F.max_by(F.struct(*pages.columns), F.struct(*order_cols)).alias("_r")))
-    slim = first.select(*[F.col("_r")[c].alias(c) for c in pages.columns])
-    settled = resolve_keys(slim, boot, key, name, exclude_claimed)
+    slim = first.select("_name", *[F.col("_r")[c].alias(c) for c in pages.columns])
+    claimed = pages.select(key).distinct() if exclude_claimed else None
+    settled = _settle(slim, boot, claimed, key, name)
     lost = resolve_keys(pages.filter(F.col(key).isNull()), boot, key, name, exclude_claimed)
     quarantine = (lost.filter("resolution = 'unresolved'").drop("resolved_key", "resolution")
                   .withColumn("reason", F.lit("no certificate number and no unique name")))
-    good = (settled.filter("resolution <> 'unresolved'").drop(key, "resolution")
+    good = (settled.filter("resolution <> 'unresolved'").drop(key, "resolution", "_name")
             .withColumnRenamed("resolved_key", key))
     return latest_per_key(good.select(*pages.columns), [key], order), quarantine
 

@@ -5,11 +5,13 @@ row, so nothing is shuffled.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
 from ..functions import classify, values
-from ..functions.text import blank_to_null, find, split_list, squeeze
+from ..functions.text import blank_to_null, find, split_list, squeeze, strip
 
 
 def assemble_text(pages: DataFrame, max_chars: int = 4_000_000, doc: str = "doc_id",
@@ -29,29 +31,51 @@ def assemble_text(pages: DataFrame, max_chars: int = 4_000_000, doc: str = "doc_
     return joined, pages.join(large, doc, "left_semi")
 
 
-def section_array(text: Column, headings=vocab.SECTION_HEADINGS) -> Column:
-    """Array of (section, text): each heading's first hit, up to the next hit."""
-    hits = [F.struct(
-        F.regexp_instr(text, F.lit("(?i)" + pattern)).alias("start"),
-        F.length(F.regexp_extract(text, "(?i)" + pattern, 0)).alias("size"),
-        F.lit(name).alias("name")) for name, pattern in headings]
-    found = F.array_sort(F.filter(F.array(*hits), lambda h: h["start"] > 0))
+def _needle(pattern: str) -> str:
+    """Upper-case text that every match of a heading contains."""
+    branches = [re.sub(r".\?|\\[a-z]\*?|\\d\+|[.*+?:]", "\n", b.replace(r"\.", "\n"))
+                for b in pattern.split("|")]
+    fixed = {max(b.split("\n"), key=len).upper() for b in branches}
+    if len(fixed) != 1:
+        raise ValueError(f"no common text in {pattern!r}")
+    return fixed.pop()
+
+
+def with_sections(docs: DataFrame, name: str, text: str = "text",
+                  headings=vocab.SECTION_HEADINGS) -> DataFrame:
+    """Add an array of (section, text): each heading's first hit, up to the
+    next hit.
+
+    A plain substring test picks the headings a text has at all, and only those
+    are searched by regular expression. The headings are looped over as data:
+    unrolled, they would make a method too long to be compiled.
+    """
+    table = F.array(*[F.struct(F.lit(key).alias("name"), F.lit("(?i)" + p).alias("pattern"),
+                               F.lit(_needle(p)).alias("needle")) for key, p in headings])
+    present_ = F.filter(table, lambda h: F.contains(F.col("_upper"), h["needle"]))
+    hits = F.transform(F.col("_present"), lambda h: F.struct(
+        F.regexp_instr(text, h["pattern"]).alias("start"),
+        F.length(F.regexp_substr(text, h["pattern"])).alias("size"), h["name"].alias("name")))
+    staged = (docs.withColumn("_upper", F.upper(text)).withColumn("_present", present_)
+              .withColumn("_found", F.array_sort(F.filter(hits, lambda h: h["start"] > 0)))
+              .drop("_upper", "_present"))
+    found = F.col("_found")
 
     def cut(hit: Column, i: Column) -> Column:
         begin = hit["start"] + hit["size"]
         follow = F.try_element_at(found, (i + 2).cast("int"))
         stop = F.coalesce(follow["start"], F.length(text) + 1)
         return F.struct(hit["name"].alias("section"), squeeze(
-            F.substr(text, begin, F.greatest(stop - begin, F.lit(0)))).alias("text"))
+            F.substr(F.col(text), begin, F.greatest(stop - begin, F.lit(0)))).alias("text"))
 
-    return F.transform(found, cut)
+    return staged.withColumn(name, F.transform(found, cut)).drop("_found")
 
 
 def sections(docs: DataFrame, doc: str = "doc_id", text: str = "text",
              headings=vocab.SECTION_HEADINGS) -> DataFrame:
     """Long form: (document, section, text)."""
-    return (docs.select(doc, F.explode(section_array(F.col(text), headings)).alias("s"))
-            .select(doc, "s.section", "s.text"))
+    return (with_sections(docs.select(doc, text), "_s", text, headings)
+            .select(doc, F.explode_outer("_s").alias("s")).filter("s IS NOT NULL").select(doc, "s.section", "s.text"))
 
 
 def section_of(array: Column, name: str) -> Column:
@@ -63,7 +87,7 @@ def header_fields(text: Column) -> Column:
     maker = F.regexp_extract(
         text, r"(?s)manufactured by\s*(.*?)\s*This method has been evaluated", 1)
     has_maker = text.rlike(r"(?s)manufactured by\s*(.*?)\s*This method has been evaluated")
-    lines = F.filter(F.transform(F.split(maker, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(maker, "\n"), strip), lambda x: x != "")
     day = r"([A-Za-z]+ \d{1,2},?\s*\d{4})"
     return F.struct(
         find(text, r"Certificate No\.?\s*\n?\s*(\d+)").alias("certificate_number"),
@@ -95,7 +119,7 @@ def matrix_column(text: Column) -> Column:
     """Distinct sorted values of a printed matrix column, the fallback."""
     found = F.regexp_extract_all(
         text, F.lit(r"\n([A-Z][A-Za-z0-9 ()%.\-]{3,40}) \d+ (?:g|mL|cloth)\b"), 1)
-    return F.array_sort(F.array_distinct(F.transform(found, F.trim)))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.trim(x))))
 
 
 def strain_rows(text: Column, panel: str) -> Column:
@@ -117,14 +141,15 @@ def _panel(tested, correct, discrepancies) -> Column:
                     F.coalesce(discrepancies, none).alias("discrepancies"))
 
 
-def panels(text: Column, section_col: Column) -> tuple[Column, Column, Column]:
-    """Inclusivity, exclusivity and the text they came from.
+def panels(story: Column, table: Column, incl_rows: Column, excl_rows: Column
+           ) -> tuple[Column, Column, Column]:
+    """Inclusivity, exclusivity and the text they came from. Takes the
+    discussion, the selectivity table and the two arrays of strain rows.
 
     Counts come from the narrative, else from the strain rows, else (when
     neither panel was counted) from the compact selectivity table. Exceptions
     always come from the strain rows. For exclusivity, correct means not
     detected."""
-    story = F.coalesce(section_of(section_col, "discussion"), F.lit(""))
     incl_re = r"(?i)Of the (\d+) inclusivity strains.*?(all (\d+)|none)[^.]*correctly detected"
     excl_re = (r"(?i)Of the (\d+) exclusivity strains,?\s*(none|all (\d+))\s*(?:were|was)?"
                r"\s*detected")
@@ -141,8 +166,7 @@ def panels(text: Column, section_col: Column) -> tuple[Column, Column, Column]:
     excl_n = number(group(excl_re, 1))
     excl_ok = excl_n - F.coalesce(number(group(excl_re, 3)), F.lit(0))
 
-    def from_rows(panel: str, good: str, note: str):
-        rows = strain_rows(text, panel)
+    def from_rows(rows: Column, good: str, note: str):
         bad = F.transform(F.filter(rows, lambda r: r["symbol"] != good), lambda r: F.struct(
             r["strain"].alias("strain"),
             F.concat(F.lit(note), r["symbol"], F.lit(")")).alias("note")))
@@ -150,10 +174,9 @@ def panels(text: Column, section_col: Column) -> tuple[Column, Column, Column]:
         has = F.size(rows) > 0
         return has, F.when(has, F.size(rows)), F.when(has, ok), F.when(has, bad)
 
-    i_has, i_rows, i_ok, i_bad = from_rows("Inclusivity", "+", "Not detected (result: ")
-    e_has, e_rows, e_ok, e_bad = from_rows("Exclusivity", "-",
+    i_has, i_rows, i_ok, i_bad = from_rows(incl_rows, "+", "Not detected (result: ")
+    e_has, e_rows, e_ok, e_bad = from_rows(excl_rows, "-",
                                            "Cross-reactivity: detected (result: ")
-    table = F.coalesce(section_of(section_col, "method_selectivity_table"), F.lit(""))
     compact = r"(\d+)[a-z]?\s+(\d+)\s+(\d+)[a-z]?\s+(\d+)\b"
     use_compact = (~incl_told & ~excl_told & ~i_has & ~e_has & table.rlike(compact))
 
@@ -174,20 +197,31 @@ def strain_table(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                  panel_names=("Inclusivity", "Exclusivity")) -> DataFrame:
     """Long form: (document, panel, strain, symbol)."""
     frames = [docs.select(doc, F.lit(p.lower()).alias("panel"),
-                          F.explode(strain_rows(F.col(text), p)).alias("r"))
-              .select(doc, "panel", "r.strain", "r.symbol") for p in panel_names]
+                          F.explode_outer(strain_rows(F.col(text), p)).alias("r"))
+              .filter("r IS NOT NULL").select(doc, "panel", "r.strain", "r.symbol") for p in panel_names]
     return frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
 
 
 def certificate_records(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Certificate texts to raw certificate records, in one map-only stage."""
     t = F.col(text)
-    staged = (docs.select(doc, text).withColumn("_s", section_array(t))
-              .withColumn("_h", header_fields(t)))
     s = F.col("_s")
-    target_raw, matrices_raw = applicability(section_of(s, "applicability"))
-    incl, excl, source = panels(t, s)
-    listed = split_list(matrices_raw, on_and=True)
+    # Staged so that each text is searched once per pattern.
+    staged = (with_sections(docs.select(doc, text), "_s", text)
+              .withColumns({"_h": header_fields(t), "_incl": strain_rows(t, "Inclusivity"),
+                            "_excl": strain_rows(t, "Exclusivity"),
+                            "_story": F.coalesce(section_of(s, "discussion"), F.lit("")),
+                            "_table": F.coalesce(section_of(s, "method_selectivity_table"),
+                                                 F.lit("")),
+                            "_scope": section_of(s, "applicability")}))
+    target, matrices = applicability(F.col("_scope"))
+    staged = staged.withColumns({"_target": target, "_matrices": matrices}).withColumn(
+        "_listed", split_list(F.col("_matrices"), on_and=True))
+    target_raw, matrices_raw, listed = F.col("_target"), F.col("_matrices"), F.col("_listed")
+    incl, excl, source = panels(F.col("_story"), F.col("_table"), F.col("_incl"), F.col("_excl"))
+    # One projection per panel keeps each generated method short enough to be compiled.
+    staged = (staged.withColumn("_inclusivity", incl).withColumn("_exclusivity", excl)
+              .withColumn("_source", source))
     claim = section_of(s, "certified_claim_statement")
     name = F.col("_h.method_name")
 
@@ -209,5 +243,5 @@ def certificate_records(docs: DataFrame, doc: str = "doc_id", text: str = "text"
         values.english_date(section_of(s, "original_certification_date"))
         .alias("original_certification_date"),
         sec("certification_renewal_record", "certification_renewal_record_raw"),
-        incl.alias("inclusivity"), excl.alias("exclusivity"),
-        source.alias("inclusivity_exclusivity_source_text"))
+        F.col("_inclusivity").alias("inclusivity"), F.col("_exclusivity").alias("exclusivity"),
+        F.col("_source").alias("inclusivity_exclusivity_source_text"))

@@ -77,13 +77,13 @@ def page_blocks(pages: DataFrame, heading: str = "h2", block: str = "p", page_id
     block). A block runs to its closing tag, the next block or the heading."""
     body = visible(F.col(html))
     sections = F.split(body, rf"(?i)(?=<{heading}\b)")
-    parts = (pages.select(page_id, url, F.posexplode(sections).alias("heading_no", "_sec"))
+    parts = (pages.select(page_id, url, F.posexplode_outer(sections).alias("heading_no", "_sec"))
              .filter(F.col("_sec").rlike(rf"(?i)^<{heading}\b")))
     title = text_of(F.regexp_extract(
         F.col("_sec"), rf"(?is)^<{heading}\b[^>]*>(.*?)(?:</{heading}>|\z)", 1))
     blocks = F.split(F.col("_sec"), rf"(?i)(?=<{block}\b)")
     return (parts.select(page_id, url, "heading_no", title.alias("heading"),
-                         F.posexplode(blocks).alias("block_no", "_b"))
+                         F.posexplode_outer(blocks).alias("block_no", "_b"))
             .filter(F.col("_b").rlike(rf"(?i)^<{block}\b"))
             .withColumn("block", F.regexp_extract(
                 "_b", rf"(?is)^<{block}\b[^>]*>(.*?)(?:</{block}>|\z)", 1))
@@ -191,7 +191,7 @@ def row_cells(pages: DataFrame, row: str = "tr", cell: str = "t[hd]", page_id: s
     rows = F.split(visible(F.col(html)), rf"(?i)(?=<{row}\b)")
     inner = F.regexp_extract_all(F.col("row_html"),
                                  F.lit(rf"(?is)<{cell}\b[^>]*>(.*?)</{cell}>"), 1)
-    return (pages.select(page_id, F.posexplode(rows).alias("row_no", "_r"))
+    return (pages.select(page_id, F.posexplode_outer(rows).alias("row_no", "_r"))
             .filter(F.col("_r").rlike(rf"(?i)^<{row}\b"))
             .select(page_id, "row_no", F.regexp_extract(
                 "_r", rf"(?is)^<{row}\b[^>]*>(.*?)(?:</{row}>|\z)", 1).alias("row_html"))
@@ -267,7 +267,7 @@ def pdf_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     hrefs = F.array_distinct(F.transform(F.filter(
         link_array(F.col(html)), lambda x: x["href"].rlike(pattern)),
         lambda x: resolve_url(F.col(url), x["href"])))
-    return pages.select(page_id, F.explode(F.array_sort(hrefs)).alias("link"))
+    return pages.select(page_id, F.explode_outer(F.array_sort(hrefs)).alias("link")).filter("link IS NOT NULL")
 
 
 def next_page(html: Column, url: Column, word: str = "next") -> Column:

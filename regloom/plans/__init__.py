@@ -1,7 +1,7 @@
 """Whole jobs and the queries registered for the driver."""
 import importlib
 
-MODULES = ["catalogue_queries", "reconcile_queries"]
+MODULES = ["catalogue_queries", "reconcile_queries", "label_queries", "report_queries"]
 
 
 def load_queries() -> None:

@@ -35,7 +35,7 @@ def build_catalogue(records: DataFrame, excluded=vocab.EXCLUDED_SOURCES) -> dict
     with ``sources.registry.write_catalogue`` before serving from it."""
     kept, skipped = catalogue.drop_sources(records, excluded)
     entries = catalogue.build_entries(kept)
-    mentions = entries.select(F.explode("raw_categories").alias("raw"))
+    mentions = entries.select(F.explode_outer("raw_categories").alias("raw")).filter("raw IS NOT NULL")
     from ..functions.classify import food_category
     return {
         "entries": entries, "skipped": skipped,

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back, so
+    that what follows neither recomputes it nor depends on an executor."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/regloom-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives lost executors."""
     checkpoint_dir(df.sparkSession)
