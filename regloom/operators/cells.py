@@ -12,6 +12,7 @@ from .. import schemas
 from ..functions import values
 from ..functions.running import running_max
 from ..functions.text import squeeze
+from ..session import materialize
 
 TABLE = ["doc_id", "page_no", "table_no"]
 _ALL = r"(?i)^all\s+(categor|product)"
@@ -24,36 +25,40 @@ def clean_cells(cells: DataFrame) -> DataFrame:
 
 
 def table_rows(cells: DataFrame) -> DataFrame:
-    """One row per table row: its non-blank cells in column order."""
+    """One row per table row: its non-blank cells and their columns, in column
+    order. Written to the shared folder, as finding headers, numbering and
+    reading data all start from it."""
     ordered = F.array_sort(F.collect_list(F.struct("col_no", "cell")))
-    return clean_cells(cells).groupBy(*TABLE, "row_no").agg(
-        F.transform(ordered, lambda x: x["cell"]).alias("values"))
+    grouped = clean_cells(cells).groupBy(*TABLE, "row_no").agg(ordered.alias("_c"))
+    return materialize(grouped.select(
+        *TABLE, "row_no", F.transform("_c", lambda x: x["cell"]).alias("values"),
+        F.transform("_c", lambda x: x["col_no"]).alias("cols")), "table-rows")
 
 
 def is_data_row(first: Column) -> Column:
     return first.rlike(_DIGITS) | first.rlike(_ALL)
 
 
-def data_starts(cells: DataFrame) -> DataFrame:
-    """First data row per table, by partial aggregates only. Tables that begin
-    with data, or have none, carry no header and are left out."""
-    firsts = (clean_cells(cells).groupBy(*TABLE, "row_no")
-              .agg(F.min_by("cell", "col_no").alias("first")))
-    spans = firsts.groupBy(*TABLE).agg(
-        F.min(F.when(is_data_row(F.col("first")), F.col("row_no"))).alias("data_start"),
+def data_starts(rows: DataFrame) -> DataFrame:
+    """First data row per table, by a partial aggregate. Tables that begin with
+    data, or have none, carry no header and are left out."""
+    first = F.element_at("values", 1)
+    spans = rows.groupBy(*TABLE).agg(
+        F.min(F.when(is_data_row(first), F.col("row_no"))).alias("data_start"),
         F.min("row_no").alias("_top"))
     return spans.filter(F.col("data_start") > F.col("_top")).drop("_top")
 
 
-def headers(cells: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+def headers(rows: DataFrame) -> DataFrame:
     """Labels per table: header rows are joined column by column, blank columns
     dropped. Columns: table key, data_start, labels."""
-    starts = data_starts(cells) if starts is None else starts
-    parts = (clean_cells(cells).join(starts, TABLE).filter(F.col("row_no") < F.col("data_start"))
-             .groupBy(*TABLE, "data_start", "col_no")
+    heads = rows.join(data_starts(rows), TABLE).filter(F.col("row_no") < F.col("data_start"))
+    parts = (heads.select(*TABLE, "data_start", "row_no",
+                          F.explode_outer(F.arrays_zip("cols", "values")).alias("z"))
+             .groupBy(*TABLE, "data_start", F.col("z.cols").alias("col_no"))
              .agg(F.array_join(F.transform(
-                 F.array_sort(F.collect_list(F.struct("row_no", "cell"))), lambda x: x["cell"]),
-                 " ").alias("label")))
+                 F.array_sort(F.collect_list(F.struct("row_no", "z.values"))),
+                 lambda x: x["values"]), " ").alias("label")))
     return parts.groupBy(*TABLE, "data_start").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("col_no", "label"))), lambda x: x["label"])
         .alias("labels"))
@@ -67,9 +72,9 @@ def tables_with(header: DataFrame, keywords: list[str]) -> DataFrame:
     return header
 
 
-def data_rows(cells: DataFrame, header: DataFrame) -> DataFrame:
+def data_rows(rows: DataFrame, header: DataFrame) -> DataFrame:
     """Data rows of the given tables, without cross-category rows."""
-    return (table_rows(cells).join(header, TABLE)
+    return (rows.drop("cols").join(header, TABLE)
             .filter(F.col("row_no") >= F.col("data_start"))
             .filter(~F.element_at("values", 1).rlike(_ALL)))
 
@@ -89,7 +94,7 @@ def walk_categories(rows: DataFrame) -> DataFrame:
     label = ~flat & ~total & (size <= 2) & first.rlike(_DIGITS)
     marked = (rows.withColumn("kind", F.when(flat, "flat").when(total, "total")
                               .when(label, "label")).filter("kind IS NOT NULL"))
-    seen = running_max(marked, TABLE, "row_no", {
+    seen = running_max(materialize(marked, "category-rows"), TABLE, "row_no", {
         "last_label": F.when(F.col("kind") == "label", F.struct(
             F.col("row_no").alias("row"), F.element_at("values", -1).alias("name"))),
         "last_total": F.when(F.col("kind") == "total", F.col("row_no"))}, inclusive=False)
@@ -117,17 +122,18 @@ def _metric(test) -> Column:
 
 def first_table(rows: DataFrame) -> DataFrame:
     """Rows of the first table of each document that yields any."""
+    rows = materialize(rows, "table-results")
     best = rows.groupBy("doc_id").agg(F.min(F.struct("page_no", "table_no")).alias("_t"))
     return (rows.join(best, "doc_id")
             .filter((F.col("page_no") == F.col("_t.page_no"))
                     & (F.col("table_no") == F.col("_t.table_no"))).drop("_t"))
 
 
-def relative_trueness(cells: DataFrame) -> DataFrame:
-    """Quantitative rows per category. Needs a standard deviation and both
+def relative_trueness(table_rows: DataFrame) -> DataFrame:
+    """Quantitative rows per category, from ``table_rows``. Needs a standard deviation and both
     limits; the count is taken from the column labelled with the word ``n``."""
-    header = tables_with(headers(cells), ["category", "sd"])
-    walked = walk_categories(data_rows(cells, header))
+    header = tables_with(headers(table_rows), ["category", "sd"])
+    walked = walk_categories(data_rows(table_rows, header))
 
     def having(word: str) -> Column:
         return _metric(lambda x: F.contains(F.lower(x), F.lit(word)))
@@ -165,20 +171,20 @@ def _all_in(c: Column, words: tuple[str, ...]) -> Column:
     return test
 
 
-def method_comparison(cells: DataFrame) -> DataFrame:
-    """Qualitative rows per category. A row led by a number opens a category;
+def method_comparison(table_rows: DataFrame) -> DataFrame:
+    """Qualitative rows per category, from ``table_rows``. A row led by a number opens a category;
     a later ``Total`` row replaces its values; a category named Total is void.
     Values are read by their place from the end of the row."""
-    header = (tables_with(headers(cells), ["category", "se"])
+    header = (tables_with(headers(table_rows), ["category", "se"])
               .withColumn("_alt", _from_end("se", "alt"))
               .withColumn("_ref", _from_end("se", "ref"))
               .filter("_alt IS NOT NULL AND _ref IS NOT NULL"))
-    rows = data_rows(cells, header)
+    rows = data_rows(table_rows, header)
     first = F.element_at("values", 1)
     kinds = (rows.withColumn("opens", first.rlike(_DIGITS))
              .withColumn("totals", F.lower(first) == "total")
              .filter("opens OR totals"))
-    segments = running_max(kinds, TABLE, "row_no",
+    segments = running_max(materialize(kinds, "category-rows"), TABLE, "row_no",
                            {"segment": F.when(F.col("opens"), F.col("row_no"))})
     grouped = (segments.filter("segment IS NOT NULL")
                .groupBy(*TABLE, F.col("segment").alias("row_no"), "_alt", "_ref")

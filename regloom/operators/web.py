@@ -196,7 +196,7 @@ def row_cells(pages: DataFrame, row: str = "tr", cell: str = "t[hd]", page_id: s
             .select(page_id, "row_no", F.regexp_extract(
                 "_r", rf"(?is)^<{row}\b[^>]*>(.*?)(?:</{row}>|\z)", 1).alias("row_html"))
             .withColumn("cell_html", inner)
-            .withColumn("cells", F.transform("cell_html", text_of)))
+            .withColumn("cells", F.transform("cell_html", lambda x: text_of(x))))
 
 
 def generic_rows(pages: DataFrame, **kw) -> DataFrame:

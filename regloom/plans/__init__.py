@@ -1,7 +1,8 @@
 """Whole jobs and the queries registered for the driver."""
 import importlib
 
-MODULES = ["catalogue_queries", "reconcile_queries", "label_queries", "report_queries"]
+MODULES = ["catalogue_queries", "reconcile_queries", "label_queries", "report_queries",
+           "cell_queries", "web_queries", "request_queries"]
 
 
 def load_queries() -> None:

@@ -57,10 +57,11 @@ def mine_reports(report_pages: DataFrame, report_cells: DataFrame, max_chars: in
     # Reports above the size bound keep their pages; prose is then read per page.
     per_page = large.groupBy("doc_id").agg(F.lit(None).cast("string").alias("text"))
     docs = docs.unionByName(per_page)
-    trueness = cells.relative_trueness(report_cells)
+    table_rows = cells.table_rows(report_cells)
+    trueness = cells.relative_trueness(table_rows)
     profile = report.accuracy_profile(trueness, report.repeatability_lines(docs))
     return report.quantitative_performance(cover, trueness, profile, docs).unionByName(
-        report.qualitative_performance(cover, cells.method_comparison(report_cells), docs))
+        report.qualitative_performance(cover, cells.method_comparison(table_rows), docs))
 
 
 def read_evidence(report_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
