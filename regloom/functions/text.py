@@ -10,7 +10,9 @@ import unicodedata
 
 from pyspark.sql import Column, functions as F
 
-SPACE = r"(?U)\s+"
+# White space of any kind as a plain class, which matches faster than (?U)\s.
+BLANK = r"[\s\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACE = BLANK + "+"
 
 
 def _latin_fold() -> tuple[str, str, list[tuple[str, str]]]:
@@ -45,7 +47,7 @@ def fold_key(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim white space of any kind, also no-break spaces."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, f"^{SPACE}|{SPACE}$", "")
 
 
 def squeeze(c: Column) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import vocab
 from ..functions import classify, values
-from ..functions.text import find, squeeze
+from ..functions.text import find, squeeze, strip
 
 AIM = r"(?i)\b(D[EÉé]TECTION|D[EÉé]NOMBREMENT|RECHERCHE)\b"
 SCOPE = r"(\*?TOUS PRODUITS|\*?ALL HUMAN|\*?LES |\*?RAW |\*?VIANDE)"
@@ -54,9 +54,8 @@ def list_dates(pages: DataFrame, doc: str = "doc_id", page: str = "page_no", tex
 
 def block_fields(blocks: DataFrame) -> DataFrame:
     """Fields of one certificate block, as the bootstrap record has them."""
-    block = F.trim(F.regexp_replace("block", r"(?U)^\s+|\s+$", ""))
-    body = F.trim(F.regexp_replace(F.substr(F.col("_block"), F.length("block_id") + 1),
-                                   r"(?U)^\s+|\s+$", ""))
+    block = strip(F.col("block"))
+    body = strip(F.substr(F.col("_block"), F.length("block_id") + 1))
     at = F.regexp_instr(F.col("_body"), F.lit(AIM))
     rest = F.when(at > 0, F.substr(F.col("_body"), at))
     cue = F.regexp_instr(F.col("_rest"), F.lit(SCOPE))

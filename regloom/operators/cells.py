@@ -21,7 +21,7 @@ _DIGITS = r"^\d+$"
 
 def clean_cells(cells: DataFrame) -> DataFrame:
     """Squeezed cells; blank ones, the spans of merged cells, are dropped."""
-    return cells.withColumn("cell", squeeze(F.col("cell"))).filter(F.col("cell") != "")
+    return cells.filter(F.col("cell").rlike(r"[^\s\xa0]")).withColumn("cell", squeeze(F.col("cell")))
 
 
 def table_rows(cells: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
 from ..functions import classify
-from ..functions.text import find
+from ..functions.text import find, strip
 
 
 def opening_pages(pages: DataFrame, n: int | None = vocab.OPENING_PAGES,
@@ -100,7 +100,7 @@ def evidence_lines(pages: DataFrame, hints=vocab.EVIDENCE_HINTS, most: int = 25,
     Columns: document, kind, rank, line. The ranking keeps only the leading
     rows of each document before it shuffles."""
     lines = (pages.select(doc, page, F.posexplode_outer(F.split(F.col(text), r"\r\n|[\n\r]")).alias(
-        "line_no", "line")).withColumn("line", F.trim(F.regexp_replace("line", r"(?U)^\s+|\s+$", "")))
+        "line_no", "line")).withColumn("line", strip(F.col("line")))
         .filter(F.col("line") != ""))
     low = F.lower(F.col("line"))
     test = None

@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The table for jobs whose cost is text work on each row."""
+    from ..sources.registry import spread
+    return spread(table(spark, sf, name))
+
+
 def phrase(c: Column, mapping: dict[str, str]) -> Column:
     """A word replaced by the phrase it stands for; other words give null."""
     chain = None
@@ -158,4 +164,4 @@ def report_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents")
+    return spread_table(spark, sf, "documents")

@@ -150,7 +150,7 @@ def page_records(spark, sf):
     none = F.lit(None).cast("string")
     from .. import vocab
     month = F.element_at(F.array(*[F.lit(m) for m in vocab.FRENCH_MONTHS]), F.month("l_shipdate"))
-    return table(spark, sf, "lineitem").select(
+    return inputs.spread_table(spark, sf, "lineitem").select(
         F.lit("NF-VALIDATION").alias("source"),
         F.concat(F.lit("Kit "), F.col("l_partkey")).alias("commercial_name"),
         F.struct(F.when(F.col("l_returnflag") != "N", F.concat(F.lit("Supplier "), F.col("l_suppkey")))

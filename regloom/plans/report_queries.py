@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..operators import blocks, evidence, pages, report, sections
 from . import inputs
-from .inputs import LINE_ORDER, REPORT_PAGES_SQL, table
+from .inputs import LINE_ORDER, REPORT_PAGES_SQL, spread_table, table
 from .registry import query
 
 SCORE_SQL = """
@@ -267,7 +267,7 @@ def certificate_texts(spark, sf):
     strains = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(*LINE_ORDER, line.alias("t")))), lambda x: x["t"]), "")
         .alias("strains"))
-    orders = table(spark, sf, "orders").join(strains, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = spread_table(spark, sf, "orders").join(strains, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     status = F.col("o_orderstatus")
     story = F.when(status == "F", F.concat(
         F.lit("DISCUSSION OF THE VALIDATION STUDY Of the "), F.col("o_custkey") + 5,
@@ -366,7 +366,7 @@ def study_texts(spark, sf):
               "Among the 7 non -target strains tested, 6 strains were not enum erated with the new method."
               " These strains were enumerated by both methods: Proteus x and Hafnia y. Acceptability Limits are fixed at ± 0,"),
         F.substring("o_orderpriority", 1, 1), F.lit(" Log units.\n"))
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("doc_id"), F.lit(0).alias("page_no"),
         F.concat(cover, prose, lines).alias("text"))
 

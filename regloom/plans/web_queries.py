@@ -4,12 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import web
-from .inputs import LINE_ORDER, phrase, table
+from .inputs import LINE_ORDER, phrase, spread_table, table
 from .registry import query
 
 
 def _pages(spark, sf):
-    return table(spark, sf, "pages")
+    return spread_table(spark, sf, "pages")
 
 
 # Visible markup, as the Spark side sees it.
@@ -150,7 +150,7 @@ def _organism_pages(spark, sf):
         F.array_sort(F.collect_list(F.struct(*LINE_ORDER, block.alias("b")))), lambda x: x["b"]), "\n").alias("blocks"))
     heading = phrase(F.col("o_orderstatus"), HEADINGS)
     slug = phrase(F.col("o_orderstatus"), {"F": "coliformes", "O": "page-e-coli-o157-x", "P": "unknown"})
-    return (table(spark, sf, "orders").join(blocks, F.col("o_orderkey") == F.col("l_orderkey"))
+    return (spread_table(spark, sf, "orders").join(blocks, F.col("o_orderkey") == F.col("l_orderkey"))
             .select(F.col("o_orderkey").alias("page_id"),
                     F.concat(F.lit("https://example.org/food/"), slug, F.lit("/")).alias("url"), F.concat(
                         F.lit("<body><h1>The <i>organism</i></h1><a href='https://boutique.afnor.org/1'>NF ISO 1</a>"

@@ -77,6 +77,14 @@ def report_pages(spark: SparkSession, path: str, pages: int | None = None) -> Da
     return df if pages is None else df.filter(F.col("page_no") < pages)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan for CPU-heavy text work. A file of one row group is one task
+    whatever its size; only when there are fewer splits than cores are the rows
+    dealt out. Takes a plain scan, whose splits are known without running it."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def mining_targets(records: DataFrame, mined: DataFrame | None = None,
                    only_unclassified: bool = False, excluded: list[str] = (),
                    limit: int | None = None, key: str = "id",
