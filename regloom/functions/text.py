@@ -13,6 +13,7 @@ from pyspark.sql import Column, functions as F
 # White space of any kind as a plain class, which matches faster than (?U)\s.
 BLANK = r"[\s\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 SPACE = BLANK + "+"
+WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def _latin_fold() -> tuple[str, str, list[tuple[str, str]]]:
@@ -47,7 +48,7 @@ def fold_key(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim white space of any kind, also no-break spaces."""
-    return F.regexp_replace(c, f"^{SPACE}|{SPACE}$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def squeeze(c: Column) -> Column:

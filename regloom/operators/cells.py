@@ -52,7 +52,9 @@ def data_starts(rows: DataFrame) -> DataFrame:
 def headers(rows: DataFrame) -> DataFrame:
     """Labels per table: header rows are joined column by column, blank columns
     dropped. Columns: table key, data_start, labels."""
-    heads = rows.join(data_starts(rows), TABLE).filter(F.col("row_no") < F.col("data_start"))
+    # Data rows cannot be header rows; leaving them out first keeps the join small.
+    heads = (rows.filter(~is_data_row(F.element_at("values", 1)))
+             .join(data_starts(rows), TABLE).filter(F.col("row_no") < F.col("data_start")))
     parts = (heads.select(*TABLE, "data_start", "row_no",
                           F.explode_outer(F.arrays_zip("cols", "values")).alias("z"))
              .groupBy(*TABLE, "data_start", F.col("z.cols").alias("col_no"))

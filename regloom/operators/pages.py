@@ -7,11 +7,26 @@ from .. import vocab
 from ..session import materialize
 
 
-def page_score(text: Column, signals=vocab.PAGE_SIGNALS, number: str = vocab.PAGE_NUMBER) -> Column:
+def _has_signal(text: Column, low: Column, pattern: str) -> Column:
+    """Whether any branch of the pattern occurs, whatever its case. Branches of
+    plain words are substring tests, which are far cheaper than expressions."""
+    test = F.lit(False)
+    rest = []
+    for branch in pattern.split("|"):
+        if all(ch.isalpha() or ch == " " for ch in branch):
+            test = test | F.contains(low, F.lit(branch.lower()))
+        else:
+            rest.append(branch)
+    if rest:
+        test = test | text.rlike("(?i)" + "|".join(rest))
+    return F.coalesce(test, F.lit(False))
+
+
+def page_score(text: Column, low: Column, signals=vocab.PAGE_SIGNALS,
+               number: str = vocab.PAGE_NUMBER) -> Column:
     """Twice the kinds of signal present plus up to six for decimal numbers
-    (one per five); zero without any signal."""
-    kinds = sum((F.coalesce(text.rlike("(?i)" + s), F.lit(False)).cast("int") for s in signals),
-                F.lit(0))
+    (one per five); zero without any signal. ``low`` is the lower-case text."""
+    kinds = sum((_has_signal(text, low, s).cast("int") for s in signals), F.lit(0))
     numbers = F.coalesce(F.regexp_count(text, F.lit(number)), F.lit(0))
     bonus = F.least(F.floor(numbers / 5), F.lit(6))
     return F.when(kinds == 0, 0).otherwise(kinds * 2 + bonus).cast("int")
@@ -20,7 +35,8 @@ def page_score(text: Column, signals=vocab.PAGE_SIGNALS, number: str = vocab.PAG
 def score_pages(pages: DataFrame, doc: str = "doc_id", page: str = "page_no", text: str = "text",
                 **kw) -> DataFrame:
     """Map-only: (document, page, score). No text leaves this stage."""
-    return pages.select(doc, page, page_score(F.col(text), **kw).alias("score"))
+    staged = pages.select(doc, page, text, F.lower(text).alias("_low"))
+    return staged.select(doc, page, page_score(F.col(text), F.col("_low"), **kw).alias("score"))
 
 
 def _greedy(ranked: Column, budget: int) -> Column:

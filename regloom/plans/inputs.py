@@ -127,7 +127,7 @@ END"""
 
 
 def mentions(spark: SparkSession, sf: str) -> DataFrame:
-    lines, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    lines, part = spread_table(spark, sf, "lineitem"), table(spark, sf, "part")
     raw = F.trim(F.concat_ws(" ", phrase(adjective(F.col("p_name")), FOOD_QUALIFIERS),
                              phrase(noun(F.col("p_name")), FOOD_PHRASES)))
     return lines.join(part, lines.l_partkey == part.p_partkey).select(

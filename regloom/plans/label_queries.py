@@ -11,7 +11,7 @@ from .. import vocab
 from ..functions import classify, text, values
 from ..operators import catalogue
 from . import inputs
-from .inputs import noun, phrase, sql_phrase, table
+from .inputs import noun, phrase, spread_table, sql_phrase, table
 from .registry import query
 
 NOUN_SQL = "split_part(p_name, ' ', 2)"
@@ -19,7 +19,7 @@ NOUN_SQL = "split_part(p_name, ' ', 2)"
 
 def _labelled(spark, sf, raw: dict[str, str], label, key=None):
     """Label every order line by its part's noun and count."""
-    rows = table(spark, sf, "lineitem").join(
+    rows = spread_table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         phrase(noun(F.col("p_name")), raw).alias("raw"))
     if key is not None:
@@ -94,7 +94,7 @@ def method_technology(spark, sf):
     stated = phrase(F.col("p_type"), {"PROMO": "chromogenic_agar", "LARGE": "biochemical", "SMALL": "other"})
     name = phrase(noun(F.col("p_name")), PRODUCTS)
     evidence = F.when(F.col("p_size") > 40, "inhibition_assay")
-    rows = table(spark, sf, "lineitem").join(
+    rows = spread_table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         stated.alias("stated"), F.lower(name).alias("name"), evidence.alias("evidence"))
     return (rows.select(classify.technology(F.col("stated"), F.col("name"), F.col("evidence"),
@@ -118,7 +118,7 @@ SELECT {sql_phrase(NOUN_SQL, {k: v[1] for k, v in AIMS.items()})} AS target,
        {sql_phrase(NOUN_SQL, {k: v[2] for k, v in AIMS.items()})} AS action, count(*) AS n
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
 def aim_of_method(spark, sf):
-    rows = table(spark, sf, "lineitem").join(
+    rows = spread_table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         phrase(noun(F.col("p_name")), {k: v[0] for k, v in AIMS.items()}).alias("aim"))
     return (rows.select(classify.target_of_list(F.col("aim")).alias("target"),
@@ -214,7 +214,7 @@ def printed_values(spark, sf):
     number = F.concat(F.lit("AB "), F.lpad((F.col("l_suppkey") % 90 + 10).cast("string"), 2, "0"),
                       F.lit(" / 02 – 03 /04"))
     cents = F.round(values.to_double(values.last_number(price)) * -100).cast("bigint")
-    return (table(spark, sf, "lineitem").select(
+    return (spread_table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("string").alias("l_linenumber_s"),
         cents.alias("cents"), values.english_date(english).cast("string").alias("english"),
         values.french_date(french).cast("string").alias("french"),
