@@ -53,15 +53,13 @@ def mine_reports(report_pages: DataFrame, report_cells: DataFrame, max_chars: in
     """Pages and cells to mined performance, one row per report:
     (doc_id, certificate_number, method_nature, performance)."""
     cover = report.cover_metadata(report_pages)
-    docs, large = sections.assemble_text(report_pages, max_chars)
-    # Reports above the size bound keep their pages; prose is then read per page.
-    per_page = large.groupBy("doc_id").agg(F.lit(None).cast("string").alias("text"))
-    docs = docs.unionByName(per_page)
+    units = sections.assemble_text(report_pages, max_chars)
+    told = report.prose(units)
     table_rows = cells.table_rows(report_cells)
     trueness = cells.relative_trueness(table_rows)
-    profile = report.accuracy_profile(trueness, report.repeatability_lines(docs))
-    return report.quantitative_performance(cover, trueness, profile, docs).unionByName(
-        report.qualitative_performance(cover, cells.method_comparison(table_rows), docs))
+    profile = report.accuracy_profile(trueness, report.repeatability_lines(units))
+    return report.quantitative_performance(cover, trueness, profile, told).unionByName(
+        report.qualitative_performance(cover, cells.method_comparison(table_rows), told))
 
 
 def read_evidence(report_pages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -406,7 +406,8 @@ def accuracy_profile(spark, sf):
     cats = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"),
                                                  F.col("l_linenumber").alias("row_no"))
             .agg(F.concat(F.lit("part "), F.max("l_partkey")).alias("category")))
-    out = report.accuracy_profile(cats, report.repeatability_lines(study_texts(spark, sf)))
+    out = report.accuracy_profile(cats, report.repeatability_lines(
+        study_texts(spark, sf).withColumnRenamed("page_no", "unit_no")))
     return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "matrix",
                       F.round(F.col("sd_repeatability_reference") * 100).cast("bigint").alias("ref_hundredths"),
                       F.round(F.col("sd_repeatability_alternative") * 100).cast("bigint").alias("alt_hundredths"))

@@ -26,7 +26,15 @@ def get_spark(app: str = "regloom", master: str | None = None, **conf) -> SparkS
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session options the jobs rely on, whoever made the session. Unions whose
+    sides are partitioned alike must not be zipped partition by partition, as
+    adaptive execution may coalesce the sides differently."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
