@@ -133,11 +133,9 @@ def list_note(label: Column, status: Column, expiry: Column, certificate_url: Co
     def shown(c: Column) -> Column:
         return F.coalesce(F.concat(F.lit("'"), c, F.lit("'")), F.lit("None"))
 
-    head = F.concat(F.lit("MicroVal listing page label: "), shown(label),
-                    F.lit(". Raw status text: "), shown(status),
-                    F.lit(", raw expiry text: "), shown(expiry), F.lit("."))
+    head = F.concat(F.lit(vocab.NOTE_LABEL), shown(label),
+                    F.lit(vocab.NOTE_STATUS), shown(status),
+                    F.lit(vocab.NOTE_EXPIRY), shown(expiry), F.lit("."))
     report = F.when(certificate_url.isNotNull(), F.when(
-        summary_url.isNull(),
-        "Study report not published on MicroVal's certificate detail page.")
-        .otherwise("Study report available for further mining."))
+        summary_url.isNull(), vocab.NOTE_NO_REPORT).otherwise(vocab.NOTE_REPORT))
     return F.concat_ws(" ", head, report)

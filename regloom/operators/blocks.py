@@ -7,12 +7,7 @@ from .. import vocab
 from ..functions import classify, values
 from ..functions.text import find, squeeze, strip
 
-AIM = r"(?i)\b(D[EÉé]TECTION|D[EÉé]NOMBREMENT|RECHERCHE)\b"
-SCOPE = r"(\*?TOUS PRODUITS|\*?ALL HUMAN|\*?LES |\*?RAW |\*?VIANDE)"
 ANY_DATE = r"\b\d{2}[./]\d{2}[./]\d{4}\b"
-COMPANY = (r"(?s)(?:Soci[ée]t[ée] [Tt]itulaire de la certification|"
-           r"Company holder of the certification)(.*?)N[°o] certificat")
-LIST_DATE = r"[Ll]ist valid on\s*:?\s*(\d{2}[.\-/]\d{2}[.\-/]\d{4})"
 
 
 def split_blocks(pages: DataFrame, anchor: str = vocab.BLOCK_ANCHOR, doc: str = "doc_id",
@@ -36,8 +31,8 @@ def first_blocks(blocks: DataFrame, scope: list[str] | None = None, page: str =
 
 def with_company(pages: DataFrame, text: str = "text", width: int = 600) -> DataFrame:
     """Page-level company header between its two cues."""
-    raw = F.regexp_extract(F.col(text), COMPANY, 1)
-    found = F.col(text).rlike(COMPANY)
+    raw = F.regexp_extract(F.col(text), vocab.COMPANY_HEADER, 1)
+    found = F.col(text).rlike(vocab.COMPANY_HEADER)
     return pages.withColumn("company_holder_raw",
                             F.when(found, F.substring(squeeze(raw), 1, width)))
 
@@ -45,7 +40,7 @@ def with_company(pages: DataFrame, text: str = "text", width: int = 600) -> Data
 def list_dates(pages: DataFrame, doc: str = "doc_id", page: str = "page_no", text: str = "text",
                first_page: int = 0) -> DataFrame:
     """Validity date printed on the first page: one row per document."""
-    printed = find(F.col(text), LIST_DATE)
+    printed = find(F.col(text), vocab.LIST_DATE)
     return (pages.filter(F.col(page) == first_page)
             .select(doc, F.concat_ws("-", F.substring(printed, 7, 4), F.substring(printed, 4, 2),
                                      F.substring(printed, 1, 2)).alias("_d"), printed.alias("_p"))
@@ -56,9 +51,9 @@ def block_fields(blocks: DataFrame) -> DataFrame:
     """Fields of one certificate block, as the bootstrap record has them."""
     block = strip(F.col("block"))
     body = strip(F.substr(F.col("_block"), F.length("block_id") + 1))
-    at = F.regexp_instr(F.col("_body"), F.lit(AIM))
+    at = F.regexp_instr(F.col("_body"), F.lit(vocab.AIM_WORD))
     rest = F.when(at > 0, F.substr(F.col("_body"), at))
-    cue = F.regexp_instr(F.col("_rest"), F.lit(SCOPE))
+    cue = F.regexp_instr(F.col("_rest"), F.lit(vocab.SCOPE_WORD))
     after = F.when(cue > 0, F.substr(F.col("_rest"), cue))
     date_at = F.regexp_instr(F.col("_after"), F.lit(ANY_DATE))
     aim = F.when(cue > 0, F.substr(F.col("_rest"), F.lit(1), cue - 1)).otherwise(F.col("_rest"))

@@ -24,8 +24,8 @@ def _typed(df: DataFrame, *extra: str) -> DataFrame:
 
 def renewal_and_extension(block: Column) -> tuple[Column, Column]:
     """Dates under the renewal and the extension label, in either order."""
-    renewal = find(block, r"(?s)RECONDUCTION/RENEWAL:\s*(.*?)(?:EXTENSION:|\z)")
-    extension = find(block, r"(?s)EXTENSION:\s*(.*?)(?:RECONDUCTION/RENEWAL:|\z)")
+    renewal = find(block, vocab.RENEWAL_DATES)
+    extension = find(block, vocab.EXTENSION_DATES)
     return (F.coalesce(values.dotted_dates(renewal), _strings()),
             F.coalesce(values.dotted_dates(extension), _strings()))
 
@@ -52,11 +52,7 @@ def from_list_and_pages(matched: DataFrame, today, key: str = "certificate_numbe
     holder = boot["company_holder_raw"]
     renewals, extensions = renewal_and_extension(F.coalesce(boot["raw_block"], F.lit("")))
     expiry = F.try_to_date(boot["end_of_validity"], "yyyy-MM-dd")
-    note = (F.when(~has_page, "No matching live organism-page record found; fields limited to "
-                   "what the bootstrap PDF-list import captured.")
-            .when(~has_boot, "No matching bootstrap PDF-list record found (likely a certificate "
-                  "added/renamed after the bootstrap PDF was issued); no renewal history or "
-                  "validation-scope text available yet."))
+    note = F.when(~has_page, vocab.NOTE_NO_PAGE).when(~has_boot, vocab.NOTE_NO_LIST)
     target = F.when(has_page, page["target_organism"]).when(
         blank_to_null(boot["target_organism"]).isNotNull(),
         F.struct(boot["target_organism"].alias("normalized"),
@@ -69,8 +65,7 @@ def from_list_and_pages(matched: DataFrame, today, key: str = "certificate_numbe
         F.coalesce(blank_to_null(page["commercial_name"]), blank_to_null(boot["commercial_name"]),
                    F.lit("UNKNOWN")).alias("commercial_name"),
         F.struct(
-            F.coalesce(blank_to_null(page["manufacturer"]["name"]), F.trim(find(
-                holder, r"certification\s*:?\s*([A-Z][A-Za-z0-9&.,'\- ]{2,60})"))).alias("name"),
+            F.coalesce(blank_to_null(page["manufacturer"]["name"]), F.trim(find(holder, vocab.HOLDER_NAME))).alias("name"),
             blank_to_null(holder).alias("address_raw"),
             _null().alias("represented_in_europe"),
             _null().alias("site_of_production")).alias("manufacturer"),

@@ -140,14 +140,16 @@ def collapsed_facets(counts: DataFrame, selected: DataFrame | None = None,
             .withColumn("hidden", F.col("_total") - F.col("_seen")).drop("_total", "_seen"))
 
 
-def grid_rows(entries: DataFrame, axis: str = "tested_categories", organism: str = "organism"
-              ) -> DataFrame:
+def grid_rows(entries: DataFrame, axis: str = "tested_categories") -> DataFrame:
     """One row per entry and category of the axis; an entry without tested
-    categories counts under the not-mined column."""
-    if dict(entries.dtypes)[axis].startswith("array"):
-        cats = F.when(F.size(axis) > 0, F.col(axis)).otherwise(F.array(F.lit(vocab.NOT_MINED)))
-        return entries.withColumn("category", F.explode_outer(cats))
-    return entries.withColumn("category", F.col(axis))
+    categories counts under the not-mined column. ``first`` marks one row of
+    each entry."""
+    if not dict(entries.dtypes)[axis].startswith("array"):
+        return entries.withColumn("category", F.col(axis)).withColumn("first", F.lit(True))
+    cats = F.when(F.size(axis) > 0, F.col(axis)).otherwise(F.array(F.lit(vocab.NOT_MINED)))
+    kept = [c for c in entries.columns if c != axis]
+    return (entries.select(*kept, axis, F.posexplode_outer(cats).alias("_at", "category"))
+            .withColumn("first", F.col("_at") == 0).drop("_at"))
 
 
 def grid_counts(rows: DataFrame, organism: str = "organism") -> DataFrame:
@@ -157,15 +159,17 @@ def grid_counts(rows: DataFrame, organism: str = "organism") -> DataFrame:
 def heatmap(entries: DataFrame, columns: list[str], axis: str = "tested_categories",
             organism: str = "organism") -> DataFrame:
     """Long grid over a fixed list of columns, zeros included, with the heat
-    level and the organism's own count, which counts every entry once."""
-    counts = grid_counts(grid_rows(entries, axis, organism), organism)
-    wide = counts.groupBy(organism).pivot("category", columns).agg(F.sum("n"))
-    totals = entries.groupBy(organism).agg(F.count(F.lit(1)).alias("organism_total"))
-    pairs = F.array(*[F.struct(F.lit(i).alias("col_order"), F.lit(c).alias("category"),
-                               F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias("n"))
-                      for i, c in enumerate(columns, 1)])
-    return (wide.join(totals, organism).select(organism, "organism_total",
-                                               F.explode_outer(pairs).alias("p"))
+    level and the organism's own count, which counts every entry once. One pass
+    over the entries: counts per cell first, then one row per organism."""
+    cells = grid_rows(entries, axis).groupBy(organism, "category").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("first").alias("_entries"))
+    wide = cells.groupBy(organism).agg(F.sum("_entries").alias("organism_total"), *[
+        F.sum(F.when(F.col("category") == c, F.col("n"))).alias(f"_n{i}")
+        for i, c in enumerate(columns)])
+    pairs = F.array(*[F.struct(F.lit(i + 1).alias("col_order"), F.lit(c).alias("category"),
+                               F.coalesce(F.col(f"_n{i}"), F.lit(0)).alias("n"))
+                      for i, c in enumerate(columns)])
+    return (wide.select(organism, "organism_total", F.explode_outer(pairs).alias("p"))
             .select(organism, "organism_total", "p.*")
             .withColumn("heat", values.heat_level(F.col("n"))))
 

@@ -81,9 +81,9 @@ def data_rows(rows: DataFrame, header: DataFrame) -> DataFrame:
             .filter(~F.element_at("values", 1).rlike(_ALL)))
 
 
-def walk_categories(rows: DataFrame) -> DataFrame:
-    """Rows that carry a category's metrics: (table, row, labels, category,
-    metrics), where metrics line up with the labels after the first.
+def walk_categories(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """Rows that carry a category's metrics: (table, row, category, metrics)
+    and the ``carry`` columns; metrics line up with the labels after the first.
 
     Flat rows hold number, name and metrics. Otherwise a label-only row names
     the category and the next ``Total`` row holds its metrics, once.
@@ -95,7 +95,8 @@ def walk_categories(rows: DataFrame) -> DataFrame:
     total = ~flat & (size == width - 1) & (F.lower(first) == "total")
     label = ~flat & ~total & (size <= 2) & first.rlike(_DIGITS)
     marked = (rows.withColumn("kind", F.when(flat, "flat").when(total, "total")
-                              .when(label, "label")).filter("kind IS NOT NULL"))
+                              .when(label, "label")).filter("kind IS NOT NULL")
+              .drop("labels", "data_start"))
     seen = running_max(materialize(marked, "category-rows"), TABLE, "row_no", {
         "last_label": F.when(F.col("kind") == "label", F.struct(
             F.col("row_no").alias("row"), F.element_at("values", -1).alias("name"))),
@@ -105,21 +106,21 @@ def walk_categories(rows: DataFrame) -> DataFrame:
     kept = seen.filter((F.col("kind") == "flat") | ((F.col("kind") == "total") & pending))
     is_flat = F.col("kind") == "flat"
     return kept.select(
-        *TABLE, "row_no", "labels",
+        *TABLE, "row_no", *carry,
         F.when(is_flat, F.try_element_at("values", F.lit(2))).otherwise(F.col("last_label.name"))
         .alias("category"),
         F.when(is_flat, F.slice("values", 3, F.greatest(F.size("values") - 2, F.lit(0))))
         .otherwise(F.col("values")).alias("metrics"))
 
 
-def _metric(test) -> Column:
-    """Value under the first label (after the category) that passes ``test``;
-    a label that occurs twice means its last column."""
+def _place(test) -> Column:
+    """Where a row's metrics hold the value of the first label (after the
+    category) that passes ``test``; a label that occurs twice means its last
+    column. Worked out once per table, on its header."""
     rest = F.slice("labels", 2, F.greatest(F.size("labels") - 1, F.lit(0)))
     label = F.try_element_at(F.filter(rest, test), F.lit(1))
     back = F.array_position(F.reverse(rest), label)
-    place = (F.size(rest) - back + 1).cast("int")
-    return F.when(label.isNotNull(), F.try_element_at("metrics", place))
+    return (F.size(rest) - back + 1).cast("int")
 
 
 def first_table(rows: DataFrame) -> DataFrame:
@@ -134,26 +135,26 @@ def first_table(rows: DataFrame) -> DataFrame:
 def relative_trueness(table_rows: DataFrame) -> DataFrame:
     """Quantitative rows per category, from ``table_rows``. Needs a standard deviation and both
     limits; the count is taken from the column labelled with the word ``n``."""
-    header = tables_with(headers(table_rows), ["category", "sd"])
-    walked = walk_categories(data_rows(table_rows, header))
-
     def having(word: str) -> Column:
-        return _metric(lambda x: F.contains(F.lower(x), F.lit(word)))
-
-    n = _metric(lambda x: F.lower(x).rlike(r"\bn\b"))
-    count = F.when(n.rlike(_DIGITS), n.try_cast("int"))
-
-    def number(c: Column) -> Column:
-        return values.to_double(values.last_number(c))
-
-    rows = walked.select(
-        *TABLE, "row_no", "category", number(having("bias")).alias("bias_log"),
-        number(having("sd")).alias("sd_log"), count.alias("n_samples"),
-        count.alias("n_interpretable"), number(having("lower")).alias("lower_limit_95"),
-        number(having("upper")).alias("upper_limit_95"),
-        (having("sd").isNotNull() & having("lower").isNotNull()
-         & having("upper").isNotNull()).alias("_ok"))
-    return first_table(rows.filter("_ok").drop("_ok"))
+        return _place(lambda x: F.contains(F.lower(x), F.lit(word)))
+
+    places = {"_bias": having("bias"), "_sd": having("sd"), "_lower": having("lower"),
+              "_upper": having("upper"), "_n": _place(lambda x: F.lower(x).rlike(r"\bn\b"))}
+    header = tables_with(headers(table_rows), ["category", "sd"]).withColumns(places)
+    walked = walk_categories(data_rows(table_rows, header), carry=list(places))
+    cells = walked.select(*TABLE, "row_no", "category", *[
+        F.try_element_at("metrics", F.col(c)).alias(c) for c in places])
+
+    def number(c: str) -> Column:
+        return values.to_double(values.last_number(F.col(c)))
+
+    count = F.when(F.col("_n").rlike(_DIGITS), F.col("_n").try_cast("int"))
+    return first_table(cells.filter("_sd IS NOT NULL AND _lower IS NOT NULL AND _upper IS NOT NULL")
+                       .select(*TABLE, "row_no", "category", number("_bias").alias("bias_log"),
+                               number("_sd").alias("sd_log"), count.alias("n_samples"),
+                               count.alias("n_interpretable"),
+                               number("_lower").alias("lower_limit_95"),
+                               number("_upper").alias("upper_limit_95")))
 
 
 def _from_end(*words: str) -> Column:

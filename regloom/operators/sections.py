@@ -83,14 +83,14 @@ def section_of(array: Column, name: str) -> Column:
 
 def header_fields(text: Column) -> Column:
     maker = F.regexp_extract(
-        text, r"(?s)manufactured by\s*(.*?)\s*This method has been evaluated", 1)
-    has_maker = text.rlike(r"(?s)manufactured by\s*(.*?)\s*This method has been evaluated")
+        text, vocab.CERTIFICATE_MAKER, 1)
+    has_maker = text.rlike(vocab.CERTIFICATE_MAKER)
     lines = F.filter(F.transform(F.split(maker, "\n"), strip), lambda x: x != "")
     day = r"([A-Za-z]+ \d{1,2},?\s*\d{4})"
     return F.struct(
-        find(text, r"Certificate No\.?\s*\n?\s*(\d+)").alias("certificate_number"),
+        find(text, vocab.CERTIFICATE_NUMBER).alias("certificate_number"),
         F.nullif(squeeze(find(
-            text, r"(?s)hereby certifies the method known as\s*(.*?)\s*manufactured by")),
+            text, vocab.CERTIFICATE_NAME)),
             F.lit("")).alias("method_name"),
         F.when(has_maker, squeeze(maker)).alias("manufacturer_raw"),
         F.when(has_maker, F.try_element_at(lines, F.lit(1))).alias("manufacturer_name"),
@@ -103,9 +103,8 @@ def header_fields(text: Column) -> Column:
 
 def applicability(section: Column) -> tuple[Column, Column]:
     """Target organisms and matrices as stated, without the final full stop."""
-    target = find(section, r"(?s)(?:Target [Oo]rganisms?|Analyte)\s*[-–]\s*(.*?)"
-                           r"(?:Matrixe?s?\s*[-–]|Performance claims|\z)")
-    matrices = find(section, r"(?s)Matrixe?s?\s*[-–]\s*(.*?)(?:Performance claims|\z)")
+    target = find(section, vocab.TARGET_CLAIM)
+    matrices = find(section, vocab.MATRIX_CLAIM)
 
     def clean(c: Column) -> Column:
         return F.rtrim(F.trim(c), F.lit("."))
@@ -116,7 +115,7 @@ def applicability(section: Column) -> tuple[Column, Column]:
 def matrix_column(text: Column) -> Column:
     """Distinct sorted values of a printed matrix column, the fallback."""
     found = F.regexp_extract_all(
-        text, F.lit(r"\n([A-Z][A-Za-z0-9 ()%.\-]{3,40}) \d+ (?:g|mL|cloth)\b"), 1)
+        text, F.lit(vocab.MATRIX_COLUMN), 1)
     return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.trim(x))))
 
 
@@ -126,7 +125,7 @@ def strain_rows(text: Column, panel: str) -> Column:
     are not rows."""
     table = F.regexp_extract(
         text, rf"(?s)(?i:Table\s*\d+\.\s*{panel})(.*?)(?:\bTable\s*\d+\.|\z)", 1)
-    row = r"(?m)^\s*\d+\s+(.*?)\s([+\-])[a-z]{0,2}\s*$"
+    row = vocab.STRAIN_ROW
     return F.arrays_zip(
         F.transform(F.regexp_extract_all(table, F.lit(row), 1), squeeze).alias("strain"),
         F.regexp_extract_all(table, F.lit(row), 2).alias("symbol"))
@@ -148,9 +147,7 @@ def panels(story: Column, table: Column, incl_rows: Column, excl_rows: Column
     neither panel was counted) from the compact selectivity table. Exceptions
     always come from the strain rows. For exclusivity, correct means not
     detected."""
-    incl_re = r"(?i)Of the (\d+) inclusivity strains.*?(all (\d+)|none)[^.]*correctly detected"
-    excl_re = (r"(?i)Of the (\d+) exclusivity strains,?\s*(none|all (\d+))\s*(?:were|was)?"
-               r"\s*detected")
+    incl_re, excl_re = vocab.INCLUSIVITY_STORY, vocab.EXCLUSIVITY_STORY
 
     def number(c: Column) -> Column:
         return c.try_cast("int")
@@ -172,10 +169,10 @@ def panels(story: Column, table: Column, incl_rows: Column, excl_rows: Column
         has = F.size(rows) > 0
         return has, F.when(has, F.size(rows)), F.when(has, ok), F.when(has, bad)
 
-    i_has, i_rows, i_ok, i_bad = from_rows(incl_rows, "+", "Not detected (result: ")
+    i_has, i_rows, i_ok, i_bad = from_rows(incl_rows, "+", vocab.NOTE_MISSED)
     e_has, e_rows, e_ok, e_bad = from_rows(excl_rows, "-",
-                                           "Cross-reactivity: detected (result: ")
-    compact = r"(\d+)[a-z]?\s+(\d+)\s+(\d+)[a-z]?\s+(\d+)\b"
+                                           vocab.NOTE_CROSS)
+    compact = vocab.SELECTIVITY_ROW
     use_compact = (~incl_told & ~excl_told & ~i_has & ~e_has & table.rlike(compact))
 
     def cell(i: int) -> Column:
@@ -187,7 +184,7 @@ def panels(story: Column, table: Column, incl_rows: Column, excl_rows: Column
                   F.when(excl_told, excl_ok).otherwise(F.coalesce(e_ok, cell(3) - cell(4))), e_bad)
     source = (F.when(incl_told | excl_told, F.substring(story, 1, 600))
               .when(use_compact, F.substring(table, 1, 400))
-              .when(i_has | e_has, "Counted from per-strain inclusivity/exclusivity table rows."))
+              .when(i_has | e_has, vocab.NOTE_COUNTED))
     return incl, excl, source
 
 

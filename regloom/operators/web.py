@@ -124,7 +124,7 @@ def block_fields(blocks: DataFrame, standards: str | None = None) -> DataFrame:
                     | F.col("summary_report_url").isNotNull())
             .select(*kept, F.try_element_at("_lines", F.lit(1)).alias("commercial_name"),
                     "manufacturer", "aim_raw", classify.action(F.col("aim_raw")).alias("action"),
-                    F.coalesce(F.trim(find(F.col("aim_raw"), r"(?i)\(selon\s+([^)]+)\)")),
+                    F.coalesce(F.trim(find(F.col("aim_raw"), vocab.PAGE_STANDARD)),
                                page_standard).alias("reference_standard"),
                     "certificate_url", "summary_report_url",
                     F.when((F.coalesce("manufacturer", F.lit("")) != "")
@@ -148,7 +148,7 @@ def last_updated(html: Column) -> Column:
     lines = F.filter(line_array(F.regexp_replace(visible(html), r"(?i)</(p|div|h\d|li)>", "\n")),
                      lambda x: x.rlike("(?i)mise à jour et publiée le"))
     return F.trim(find(F.try_element_at(lines, F.lit(1)),
-                       r"(?i)mise à jour et publiée le\s+(.+)"))
+                       vocab.PAGE_UPDATED))
 
 
 def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url",
