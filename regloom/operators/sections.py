@@ -81,10 +81,9 @@ def section_of(array: Column, name: str) -> Column:
     return F.try_element_at(hit, F.lit(1))["text"]
 
 
-def header_fields(text: Column) -> Column:
-    maker = F.regexp_extract(
-        text, vocab.CERTIFICATE_MAKER, 1)
-    has_maker = text.rlike(vocab.CERTIFICATE_MAKER)
+def header_fields(text: Column, maker: Column) -> Column:
+    """Header of a certificate. ``maker`` is the staged maker passage: its first
+    line is the company, the rest the address."""
     lines = F.filter(F.transform(F.split(maker, "\n"), strip), lambda x: x != "")
     day = r"([A-Za-z]+ \d{1,2},?\s*\d{4})"
     return F.struct(
@@ -92,9 +91,9 @@ def header_fields(text: Column) -> Column:
         F.nullif(squeeze(find(
             text, vocab.CERTIFICATE_NAME)),
             F.lit("")).alias("method_name"),
-        F.when(has_maker, squeeze(maker)).alias("manufacturer_raw"),
-        F.when(has_maker, F.try_element_at(lines, F.lit(1))).alias("manufacturer_name"),
-        F.when(has_maker & (F.size(lines) > 1), F.array_join(
+        squeeze(maker).alias("manufacturer_raw"),
+        F.try_element_at(lines, F.lit(1)).alias("manufacturer_name"),
+        F.when(F.size(lines) > 1, F.array_join(
             F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), ", "))
         .alias("manufacturer_address_raw"),
         values.english_date(find(text, r"Issue Date\s+" + day)).alias("issue_date"),
@@ -203,7 +202,8 @@ def certificate_records(docs: DataFrame, doc: str = "doc_id", text: str = "text"
     s = F.col("_s")
     # Staged so that each text is searched once per pattern.
     staged = (with_sections(docs.select(doc, text), "_s", text)
-              .withColumns({"_h": header_fields(t), "_incl": strain_rows(t, "Inclusivity"),
+              .withColumn("_maker", find(t, vocab.CERTIFICATE_MAKER))
+              .withColumns({"_h": header_fields(t, F.col("_maker")), "_incl": strain_rows(t, "Inclusivity"),
                             "_excl": strain_rows(t, "Exclusivity"),
                             "_story": F.coalesce(section_of(s, "discussion"), F.lit("")),
                             "_table": F.coalesce(section_of(s, "method_selectivity_table"),
