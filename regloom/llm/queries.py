@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import mixing, quality_rules, ss_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +23,13 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @_query
 def op10_quality_rules(spark, sf):
     return quality_rules.judge(_table(spark, sf, "documents")).drop("row_key")
+
+
+@_query
+def op9_source_mixing(spark, sf):
+    return mixing.mix(_table(spark, sf, "documents"))
+
+
+@_query
+def op8_sum_of_squares_packing(spark, sf):
+    return ss_packing.pack(_table(spark, sf, "documents"))
