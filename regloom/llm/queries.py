@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, ss_packing
+from . import mixing, quality_rules, ss_packing, weak_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,8 @@ def op9_source_mixing(spark, sf):
 @_query
 def op8_sum_of_squares_packing(spark, sf):
     return ss_packing.pack(_table(spark, sf, "documents"))
+
+
+@_query
+def op1_quality_classifier(spark, sf):
+    return weak_classifier.classify(_table(spark, sf, "documents")).drop("row_key")
