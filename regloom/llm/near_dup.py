@@ -89,8 +89,9 @@ def _least_shared(n: Column, k: int, least: int) -> Column:
 
 
 def inverted(rows: DataFrame, values: str, k: int, least: int) -> DataFrame:
-    """(value, id, n, shared): the lists, each document under its rarest values.
-    ``shared`` counts a document's values that any other document holds."""
+    """(value, id, n, shared, rank): the lists, each document under its rarest
+    values. ``shared`` counts a document's values that any other document
+    holds, ``rank`` is the value's place among them."""
     posted = rows.select("id", "n", F.size(values).alias("s"), F.explode(values).alias("value"))
     common = posted.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     held = posted.join(common, "value")
@@ -99,7 +100,7 @@ def inverted(rows: DataFrame, values: str, k: int, least: int) -> DataFrame:
     held = (held.withColumn("shared", F.count(F.lit(1)).over(per))
             .withColumn("rank", F.row_number().over(per.orderBy("df", "value"))))
     held = held.filter((F.col("shared") >= c) & (F.col("rank") <= F.col("shared") - c + 1))
-    return held.select("value", "id", "n", "shared")
+    return held.select("value", "id", "n", "shared", "rank")
 
 
 def _lists_of_two(lists: DataFrame) -> DataFrame:
@@ -107,11 +108,23 @@ def _lists_of_two(lists: DataFrame) -> DataFrame:
     return lists.join(many.select("value"), "value", "left_semi")
 
 
+def _need(a: Column, b: Column) -> Column:
+    """Values that the fine sketches of two linked documents of these sizes share."""
+    return F.when(F.greatest(a, b) <= K_FINE, F.ceil(WHOLE * (a + b) / (PART + WHOLE))).otherwise(LEAST_FINE)
+
+
 def _can_link() -> Column:
     """Of two list members: sizes and shared values allow the similarity."""
     a, b = F.col("n"), F.col("n2")
-    need = F.when(F.greatest(a, b) <= K_FINE, F.ceil(WHOLE * (a + b) / (PART + WHOLE))).otherwise(LEAST_FINE)
-    return ((PART * F.least(a, b) >= WHOLE * F.greatest(a, b)) & (F.least("shared", "shared2") >= need))
+    return ((PART * F.least(a, b) >= WHOLE * F.greatest(a, b)) & (F.least("shared", "shared2") >= _need(a, b)))
+
+
+def _first_places() -> Column:
+    """Linked documents share a value among the rarest of both, as far as their
+    own sizes demand, and enough values can follow it."""
+    need, ahead = _need(F.col("n"), F.col("n2")), F.least("rank", "rank2")
+    return ((F.col("rank") <= F.col("shared") - need + 1) & (F.col("rank2") <= F.col("shared2") - need + 1)
+            & (ahead + F.least(F.col("shared") - F.col("rank"), F.col("shared2") - F.col("rank2")) >= need))
 
 
 def estimated(a: Column, b: Column) -> Column:
@@ -156,8 +169,8 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
               .withColumn("component", F.coalesce("component", "id")))
     mixed = placed.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo < _hi")
     placed = materialize(placed.join(mixed.select("value"), "value", "left_semi"), "open-lists")
-    other = placed.select("value", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "shared", "component")])
-    across = placed.join(other, "value").filter((F.col("component") < F.col("component2")) & _can_link())
+    other = placed.select("value", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "shared", "rank", "component")])
+    across = placed.join(other, "value").filter((F.col("component") < F.col("component2")) & _can_link() & _first_places())
     more = confirmed(_pairs(across), small, sets)
     return components(first.unionByName(more))
 

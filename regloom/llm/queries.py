@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, ss_packing, weak_classifier
+from . import mixing, near_dup, quality_rules, ss_packing, weak_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,8 @@ def op8_sum_of_squares_packing(spark, sf):
 @_query
 def op1_quality_classifier(spark, sf):
     return weak_classifier.classify(_table(spark, sf, "documents")).drop("row_key")
+
+
+@_query
+def op4_minhash_near_dup(spark, sf):
+    return near_dup.clusters(_table(spark, sf, "documents"))
