@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dup, quality_rules, ss_packing, weak_classifier
+from . import mixing, near_dup, projected_nn, quality_rules, ss_packing, weak_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,8 @@ def op1_quality_classifier(spark, sf):
 @_query
 def op4_minhash_near_dup(spark, sf):
     return near_dup.clusters(_table(spark, sf, "documents"))
+
+
+@_query
+def op5_projected_neighbours(spark, sf):
+    return projected_nn.nearest(_table(spark, sf, "embeddings"))
