@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dup, projected_nn, quality_rules, ss_packing, weak_classifier
+from . import mixing, near_dup, projected_nn, quality_rules, ss_packing, warc_zip, weak_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,8 @@ def op4_minhash_near_dup(spark, sf):
 @_query
 def op5_projected_neighbours(spark, sf):
     return projected_nn.nearest(_table(spark, sf, "embeddings"))
+
+
+@_query
+def op7_zip_warc(spark, sf):
+    return warc_zip.round_trip(spark, _table(spark, sf, "pages"))
