@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dup, projected_nn, quality_rules, ss_packing, warc_zip, weak_classifier
+from . import (bfd_packing, mixing, near_dup, projected_nn, quality_rules, ss_packing, token_counts, warc_zip,
+               weak_classifier)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +54,13 @@ def op5_projected_neighbours(spark, sf):
 @_query
 def op7_zip_warc(spark, sf):
     return warc_zip.round_trip(spark, _table(spark, sf, "pages"))
+
+
+@_query
+def op2_bfd_packing(spark, sf):
+    return bfd_packing.round_trip(spark, _table(spark, sf, "documents"))
+
+
+@_query
+def op6_section_tokens(spark, sf):
+    return token_counts.count(_table(spark, sf, "documents"))
