@@ -55,7 +55,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in at.slices(batch):
+            for part in at.slices(batch, most=3 << 20):
                 sets = shingles.shingle_sets(at.strings(part.column("text")))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -73,7 +73,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in at.slices(batch, most=4 << 20):
+            for part in at.slices(batch, most=3 << 20):
                 sets = shingles.shingle_sets(at.strings(part.column("text")))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
