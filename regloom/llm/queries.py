@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bfd_packing, mixing, near_dup, projected_nn, quality_rules, ss_packing, token_counts, warc_zip,
-               weak_classifier)
+from . import (bfd_packing, html_text, mixing, near_dup, projected_nn, quality_rules, ss_packing, token_counts,
+               warc_zip, weak_classifier)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op2_bfd_packing(spark, sf):
 @_query
 def op6_section_tokens(spark, sf):
     return token_counts.count(_table(spark, sf, "documents"))
+
+
+@_query
+def op3_html_layout(spark, sf):
+    return html_text.extract(_table(spark, sf, "pages"))
