@@ -114,21 +114,23 @@ def _mix(rows: DataFrame, weights, share: float, most: int) -> DataFrame:
         F.sum(F.when(inside & (F.col("size") > 0), 1).otherwise(0)).alias("copies")))
 
 
-def _with_uid(docs: DataFrame) -> DataFrame:
-    return (docs.withColumn("_uid", F.monotonically_increasing_id()).withColumn("_key", shuffled(F.col("doc_id")))
-            .withColumn("_row_key", row_key(docs)))
+def _placed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """Row number, shuffled place and key of each document, and ``columns``."""
+    return docs.select(F.monotonically_increasing_id().alias("_uid"), shuffled(F.col("doc_id")).alias("_key"),
+                       row_key(docs).alias("_row_key"), "doc_id", "source", "text", *columns)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, taken, copies."""
-    used = _with_uid(docs.select("doc_id", "source", "text"))
-    return _mix(materialize(sizes(used), "mix-sizes"), weights, share, most).drop("_uid")
+    return _mix(materialize(sizes(_placed(docs)), "mix-sizes"), weights, share, most).drop("_uid")
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
-    staged = materialize(_with_uid(docs), "mix-docs")
+    others = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest")] if others else []
+    staged = materialize(_placed(docs, *rest), "mix-docs")
     sized = materialize(sizes(staged.select("_uid", "_key", "_row_key", "doc_id", "source", "text")), "mix-sizes")
     taken = _mix(sized, weights, share, most).filter("copies > 0").select("_uid", "copies")
     return (staged.join(taken, "_uid").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(*[F.col(c if c in ("doc_id", "source", "text") else f"_rest.`{c}`") for c in docs.columns]))

@@ -154,7 +154,8 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of the classes that are linked to others. ``classes``:
     id, n, sketch, one row per distinct set."""
     met = materialize(_lists_of_two(inverted(classes, "sketch", K, LEAST)).select("id").distinct(), "met")
-    sets = materialize(full_sets(docs.join(met, F.col("doc_id") == F.col("id"), "left_semi")), "sets")
+    sets = materialize(full_sets(docs.select("doc_id", "text").join(
+        met, F.col("doc_id") == F.col("id"), "left_semi")), "sets")
     small = sets.select("id", F.slice("hashes", 1, K).alias("sketch"))
     lists = materialize(_lists_of_two(inverted(
         sets.select("id", "n", F.slice("hashes", 1, K_FINE).alias("values")), "values", K_FINE, LEAST_FINE)), "lists")

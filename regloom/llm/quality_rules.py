@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import arrow_text as at
-from .staging import materialize, row_key
+from .staging import keep_rows, materialize, row_key
 
 MIN_WORDS = 50
 #: Mahalanobis limit: the 1 - 1e-6 quantile of chi-square with 4 degrees of freedom.
@@ -243,5 +243,4 @@ def judge(docs: DataFrame, limit: float = LIMIT, steps: int = STEPS) -> DataFram
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The documents that pass, with all their columns."""
-    verdicts = judge(docs, **options).filter("kept").select(F.col("row_key").alias("_row_key"))
-    return docs.join(verdicts, row_key(docs) == F.col("_row_key"), "left_semi")
+    return keep_rows(docs, materialize(judge(docs, **options).filter("kept").select("row_key"), "quality-kept"))

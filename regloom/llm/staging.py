@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import checkpoint_dir, materialize
 
-__all__ = ["materialize", "new_folder", "row_key"]
+__all__ = ["keep_rows", "materialize", "new_folder", "row_key"]
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -20,3 +20,9 @@ def row_key(docs: DataFrame) -> Column:
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a folder below the shared one, not yet made."""
     return f"{checkpoint_dir(spark)}/regloom-{name}-{uuid.uuid4().hex}"
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs``, whatever their columns are called, whose key is in ``keys``."""
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key(docs).alias("row_key"))
+    return held.join(keys.select("row_key"), "row_key", "left_semi").select("doc.*")

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrow_text as at, quality_rules
-from .staging import materialize, row_key
+from .staging import keep_rows, materialize, row_key
 
 #: Per labeller: name of a share of the text, the least or largest share of a
 #: bad text, and that of a good one (None: never votes good). The first three see
@@ -285,5 +285,4 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD, train_rows: int = TR
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The documents that the scorer keeps, with all their columns."""
-    kept = materialize(classify(docs, **options).filter("kept").select(F.col("row_key").alias("_row_key")), "weak-kept")
-    return docs.join(kept, row_key(docs) == F.col("_row_key"), "left_semi")
+    return keep_rows(docs, materialize(classify(docs, **options).filter("kept").select("row_key"), "weak-kept"))
