@@ -140,9 +140,9 @@ def nearest(rows: DataFrame, every: int = 20, wanted: int = WANTED, sure: float
     """(query_id, rank, vec_id, score): for each row whose id is divisible by
     ``every``, its nearest among all other rows."""
     used = materialize(usable(rows, id_, vector), "vectors")
-    facts = used.groupBy("dim").agg(F.count(F.lit(1)).alias("_n"), F.sqrt(F.max("square")).alias("longest"))
+    facts = used.agg(F.count(F.lit(1)).alias("_n"), F.sqrt(F.max("square")).alias("longest"))
     facts = facts.withColumn("blocks", F.ceil(F.col("_n") / block))
-    spread = used.join(facts, "dim")
+    spread = used.crossJoin(F.broadcast(facts))  # one row
     placed = spread.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")))
     asked = spread.filter(F.col("vec_id") % every == 0).withColumn(
         "chunk", F.pmod(F.xxhash64(F.lit("q"), "vec_id", "v"), F.ceil(F.col("_n") / every / CHUNK)))
