@@ -6,6 +6,7 @@ size below the projection, which would evaluate the expression twice.
 """
 from __future__ import annotations
 
+import json
 import unicodedata
 
 from pyspark.sql import Column, functions as F
@@ -16,33 +17,35 @@ SPACE = BLANK + "+"
 WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def _latin_fold() -> tuple[str, str, list[tuple[str, str]]]:
-    """Single-character folds for ``translate`` and the few longer ones for
-    ``replace``, both computed from the Unicode compatibility decomposition."""
-    plain, folded, longer = [], [], []
-    ranges = [(0xA0, 0x250), (0x1E00, 0x1F00), (0x2070, 0x20A0), (0x2100, 0x2190),
-              (0xFB00, 0xFB07), (0xFF01, 0xFF5F)]
-    for lo, hi in ranges:
-        for code in range(lo, hi):
-            ch = chr(code)
-            out = "".join(c for c in unicodedata.normalize("NFKD", ch)
-                          if not unicodedata.combining(c)).lower()
-            out = "".join(c for c in out if c.isascii() and c.isalnum())
-            if len(out) == 1:
-                plain.append(ch)
-                folded.append(out)
-            elif len(out) > 1 and ch in "™℠ŒœĲĳﬀﬁﬂﬃﬄﬅﬆ½¼¾№":
-                longer.append((ch, out))
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """What every character leaves of its compatibility decomposition in lower
+    case: ASCII letters and digits. Single ones for ``translate``, longer ones
+    by character."""
+    plain, folded, longer = [], [], {}
+    for code in range(0xA0, 0x20000):
+        ch = chr(code)
+        parts = unicodedata.normalize("NFKD", ch)
+        if parts == ch:
+            continue
+        out = "".join(c for c in parts.lower() if c.isascii() and c.isalnum())
+        if len(out) == 1:
+            plain.append(ch)
+            folded.append(out)
+        elif out:
+            longer[ch] = out
     return "".join(plain), "".join(folded), longer
 
 
-_PLAIN, _FOLDED, _LONGER = _latin_fold()
+_PLAIN, _FOLDED, _LONGER = _folds()
+_LONG_CLASS = "[" + "".join(_LONGER) + "]"
 
 
 def fold_key(c: Column) -> Column:
-    """Accent-, case- and punctuation-free comparison key."""
-    for ch, out in _LONGER:
-        c = F.replace(c, F.lit(ch), F.lit(out))
+    """Accent-, case- and punctuation-free comparison key. The few characters
+    that stand for several letters are looked up one by one, in texts that have any."""
+    table = F.from_json(F.lit(json.dumps(_LONGER)), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    c = F.when(c.rlike(_LONG_CLASS), spelled).otherwise(c)
     return F.regexp_replace(F.lower(F.translate(c, _PLAIN, _FOLDED)), "[^a-z0-9]+", "")
 
 
@@ -99,9 +102,14 @@ def find(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def natural_key(c: Column) -> Column:
-    """Sort key in which digit runs compare as numbers and case is ignored."""
-    padded = F.regexp_replace(F.lower(c), r"(\d+)", "00000000000000000000$1")
-    return F.regexp_replace(padded, r"\d*(\d{20})(?!\d)", "$1")
+    """Sort key in which case is ignored and digit runs compare as numbers of
+    any length: by their number of digits, then by the digits."""
+
+    def coded(part: Column) -> Column:
+        digits = F.ltrim(part, F.lit("0"))
+        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 9, "0"), digits)).otherwise(part)
+
+    return F.array_join(F.transform(F.regexp_extract_all(F.lower(c), F.lit("([0-9]+|[^0-9]+)"), 1), coded), "")
 
 
 def present(c: Column) -> Column:

@@ -43,9 +43,10 @@ def tested_categories(raw: Column) -> Column:
 
 def tested_categories_by_key(rows: DataFrame, key: str, raw: str) -> DataFrame:
     """The same from a long table (key, raw name): one row per key and fixed
-    category, made distinct before the shuffle's final step."""
-    cid = classify.food_category(F.col(raw))
-    return (rows.select(key, cid.alias("category")).filter("category IS NOT NULL").distinct()
+    category. The rules run once per distinct name, and the names are joined
+    back, so a row costs no rule."""
+    names = rows.select(raw).distinct().withColumn("category", classify.food_category(F.col(raw))).filter("category IS NOT NULL")
+    return (rows.select(key, raw).join(names, raw).select(key, "category").distinct()
             .withColumn("ord", classify.food_order(F.col("category")))
             .withColumn("label", classify.food_label(F.col("category"))))
 

@@ -18,7 +18,7 @@ def _has_signal(text: Column, low: Column, pattern: str) -> Column:
         else:
             rest.append(branch)
     if rest:
-        test = test | text.rlike("(?i)" + "|".join(rest))
+        test = test | text.rlike("(?iU)" + "|".join(rest))
     return F.coalesce(test, F.lit(False))
 
 

@@ -29,12 +29,14 @@ def compare(truth: DataFrame, other: DataFrame, fields: list[str], key: str = "d
     truth. Both null is a match, one null is not; equal within the tolerance.
     Categories the other side lacks give the verdict ``missing``."""
 
-    def long(rows: DataFrame, name: str) -> DataFrame:
-        one = last_per_category(rows, fields, key, category, order)
-        return one.unpivot([key, "category"], fields, "field", name)
-
-    left, right = long(truth, "truth"), long(other, "other").withColumn("_seen", F.lit(True))
-    joined = left.join(right, [key, "category", "field"], "left")
+    left = last_per_category(truth, fields, key, category, order)
+    right = last_per_category(other, fields, key, category, order).select(
+        key, "category", *[F.col(f).alias(f"_{f}") for f in fields], F.lit(True).alias("_seen"))
+    # Joined on the aggregates' own keys; only then one row per field.
+    joined = left.join(right, [key, "category"], "left").select(
+        key, "category", "_seen", F.explode(F.array(*[F.struct(
+            F.lit(f).alias("field"), F.col(f).cast("double").alias("truth"), F.col(f"_{f}").cast("double").alias("other"))
+            for f in fields])).alias("f")).select(key, "category", "_seen", "f.*")
     a, b = F.col("truth"), F.col("other")
     match = F.when(a.isNull() & b.isNull(), True).when(a.isNull() | b.isNull(), False) \
         .otherwise(F.abs(a - b) <= tolerance)
@@ -43,13 +45,13 @@ def compare(truth: DataFrame, other: DataFrame, fields: list[str], key: str = "d
         .alias("verdict"))
 
 
-def agreement(verdicts: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched and compared fields; missing categories are counted apart."""
+def agreement(verdicts: DataFrame, keys: list[str], fields: int) -> DataFrame:
+    """Matched and compared fields; missing categories are counted apart. A
+    missing category is missing in each of its ``fields``."""
     return verdicts.groupBy(*keys).agg(
         F.count_if(F.col("verdict") != "missing").alias("total_fields"),
         F.count_if(F.col("verdict") == "match").alias("matched_fields"),
-        F.count_distinct(F.when(F.col("verdict") == "missing", F.struct("category")))
-        .alias("missing_categories"))
+        (F.count_if(F.col("verdict") == "missing") / fields).cast("bigint").alias("missing_categories"))
 
 
 def record_outcomes(truth: DataFrame, other: DataFrame, key: str = "doc_id",

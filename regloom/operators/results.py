@@ -5,15 +5,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
 from ..functions.classify import is_aggregate_row
-from ..functions.text import api_id
 
 OUTCOMES = ["written", "no_data", "invalid", "failed"]
 
 
-def with_api_id(records: DataFrame, name: str) -> DataFrame:
-    return records.withColumn("custom_id", api_id(F.col(name)))
-
-
 def drop_aggregate_rows(rows: DataFrame, category: str = "category"
                         ) -> tuple[DataFrame, DataFrame]:
     """Category rows, and the dropped cross-category rows for the audit."""
@@ -38,23 +33,12 @@ def match_results(results: DataFrame, records: DataFrame, n_rows: Column, valid:
         .when(~F.coalesce(valid, F.lit(False)), "invalid").otherwise("written")).drop("_record")
 
 
-def has_breakdown(nature: Column, quantitative: Column, qualitative: Column) -> Column:
+def has_breakdown(nature: Column, n_quantitative: Column, n_qualitative: Column) -> Column:
     """Whether a record's own branch has category rows."""
-    rows = F.when(nature == "quantitative", F.size(quantitative)).otherwise(F.size(qualitative))
+    rows = F.when(nature == "quantitative", n_quantitative).otherwise(n_qualitative)
     return F.coalesce(rows > 0, F.lit(False))
 
 
-def backfill_targets(records: DataFrame, mined: DataFrame, excluded=("MICROVAL",),
-                     url: str = "summary_report_url", key: str = "id",
-                     limit: int | None = None) -> DataFrame:
-    """Records of the wanted sources with a report that has not been mined yet,
-    in key order when a limit is given."""
-    open_records = (records.filter(F.col(url).isNotNull() & (F.col(url) != "")
-                                   & ~F.col("source").isin(*excluded))
-                    .join(mined.select(key).distinct(), key, "left_anti"))
-    return open_records if limit is None else open_records.orderBy(key).limit(limit)
-
-
 def cost(results: DataFrame, backlog: DataFrame, prices=vocab.BATCH_USD_PER_MTOK) -> DataFrame:
     """Token totals, price, price per report and the projection to the backlog."""
     totals = results.agg(F.count(F.lit(1)).alias("results"),

@@ -48,7 +48,7 @@ def with_sections(docs: DataFrame, name: str, text: str = "text",
     are searched by regular expression. The headings are looped over as data:
     unrolled, they would make a method too long to be compiled.
     """
-    table = F.array(*[F.struct(F.lit(key).alias("name"), F.lit("(?i)" + p).alias("pattern"),
+    table = F.array(*[F.struct(F.lit(key).alias("name"), F.lit("(?iU)" + p).alias("pattern"),
                                F.lit(_needle(p)).alias("needle")) for key, p in headings])
     present_ = F.filter(table, lambda h: F.contains(F.col("_upper"), h["needle"]))
     hits = F.transform(F.col("_present"), lambda h: F.struct(
@@ -96,8 +96,8 @@ def header_fields(text: Column, maker: Column) -> Column:
         F.when(F.size(lines) > 1, F.array_join(
             F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), ", "))
         .alias("manufacturer_address_raw"),
-        values.english_date(find(text, r"Issue Date\s+" + day)).alias("issue_date"),
-        values.english_date(find(text, r"Expiration Date\s+" + day)).alias("expiration_date"))
+        values.english_date(find(text, r"(?U)Issue Date\s+" + day)).alias("issue_date"),
+        values.english_date(find(text, r"(?U)Expiration Date\s+" + day)).alias("expiration_date"))
 
 
 def applicability(section: Column) -> tuple[Column, Column]:
@@ -123,7 +123,7 @@ def strain_rows(text: Column, panel: str) -> Column:
     numbered table. A symbol may carry footnote letters; rows without a symbol
     are not rows."""
     table = F.regexp_extract(
-        text, rf"(?s)(?i:Table\s*\d+\.\s*{panel})(.*?)(?:\bTable\s*\d+\.|\z)", 1)
+        text, rf"(?sU)(?i:Table\s*\d+\.\s*{panel})(.*?)(?:\bTable\s*\d+\.|\z)", 1)
     row = vocab.STRAIN_ROW
     return F.arrays_zip(
         F.transform(F.regexp_extract_all(table, F.lit(row), 1), squeeze).alias("strain"),
@@ -190,10 +190,13 @@ def panels(story: Column, table: Column, incl_rows: Column, excl_rows: Column
 def strain_table(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                  panel_names=("Inclusivity", "Exclusivity")) -> DataFrame:
     """Long form: (document, panel, strain, symbol)."""
-    frames = [docs.select(doc, F.lit(p.lower()).alias("panel"),
-                          F.explode_outer(strain_rows(F.col(text), p)).alias("r"))
-              .filter("r IS NOT NULL").select(doc, "panel", "r.strain", "r.symbol") for p in panel_names]
-    return frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
+
+    def rows_of(panel: str) -> Column:
+        return F.transform(strain_rows(F.col(text), panel), lambda r: F.struct(
+            F.lit(panel.lower()).alias("panel"), r["strain"].alias("strain"), r["symbol"].alias("symbol")))
+
+    found = F.flatten(F.array(*[rows_of(p) for p in panel_names]))
+    return docs.select(doc, F.explode_outer(found).alias("r")).filter("r IS NOT NULL").select(doc, "r.*")
 
 
 def certificate_records(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

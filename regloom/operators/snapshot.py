@@ -96,14 +96,18 @@ def split_valid(df: DataFrame, checks: list[tuple[Column, str]]) -> tuple[DataFr
             .withColumn("reason", F.element_at("errors", 1)).drop("errors"))
 
 
-def merge_performance(records: DataFrame, mined: DataFrame) -> tuple[DataFrame, DataFrame]:
+def merge_performance(records: DataFrame, mined: DataFrame, order: list[str] = ("doc_id",)
+                      ) -> tuple[DataFrame, DataFrame]:
     """Put mined performance on the record with the same number. ``mined`` has
-    ``certificate_number``, ``performance``, ``mining_notes``. Returns the
-    records and the mined rows no record took, with the reason."""
+    ``certificate_number``, ``performance``, ``mining_notes``; of several
+    reports with one number, the last by ``order`` (as far as ``mined`` has these
+    columns) wins. Returns the records and the mined rows no record took, with
+    the reason."""
     usable = mined.filter(F.col("certificate_number").isNotNull())
+    by = [F.col(c) for c in order if c in mined.columns]
     side = usable.groupBy(F.col("certificate_number").alias("_cert")).agg(
         F.max_by(F.struct(F.col("performance").alias("p"), F.col("mining_notes").alias("n")),
-                 F.coalesce("mining_notes", F.lit(""))).alias("_m"))
+                 F.struct(*by, F.coalesce("mining_notes", F.lit("")))).alias("_m"))
     hit = F.col("_m").isNotNull()
     tr = F.col("traceability")
     merged = (records.join(side, records["source_certificate_number"] == side["_cert"], "left")

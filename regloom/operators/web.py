@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
 from ..functions import classify
-from ..functions.text import find, squeeze
+from ..functions.text import blank_to_null, find, squeeze
 
 _TAG = r"(?s)<[^>]*>"
-_LINK = (r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>""")
+# An anchor's attributes, and what follows up to its end, the next anchor or the end.
+_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)(?=</a\b|<a\b|\z)"
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_HREF = r"(?is)(?:^|[\s\"'/])href" + _VALUE
+_REL = r"(?is)(?:^|[\s\"'/])rel" + _VALUE
 _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
              ("&amp;", "&")]
 
@@ -43,10 +47,16 @@ def line_array(html: Column) -> Column:
 
 def link_array(html: Column) -> Column:
     """Array of (href, label) in document order."""
-    return F.transform(
-        F.arrays_zip(F.regexp_extract_all(html, F.lit(_LINK), 1).alias("href"),
-                     F.regexp_extract_all(html, F.lit(_LINK), 2).alias("label")),
-        lambda x: F.struct(unescape(x["href"]).alias("href"), text_of(x["label"]).alias("label")))
+    anchors = F.arrays_zip(F.regexp_extract_all(html, F.lit(_ANCHOR), 1).alias("attrs"),
+                           F.regexp_extract_all(html, F.lit(_ANCHOR), 2).alias("label"))
+    linked = F.filter(anchors, lambda x: x["attrs"].rlike(_HREF))
+    return F.transform(linked, lambda x: F.struct(
+        unescape(attribute(x["attrs"], _HREF)).alias("href"), text_of(x["label"]).alias("label")))
+
+
+def attribute(attrs: Column, pattern: str) -> Column:
+    """Value of an attribute, in double, single or no quotes; '' if it has none."""
+    return F.concat(*[F.regexp_extract(attrs, pattern, i) for i in (1, 2, 3)])
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -273,10 +283,9 @@ def pdf_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
 def next_page(html: Column, url: Column, word: str = "next") -> Column:
     """Link marked ``rel=next``, else one labelled with the word; null when it
     leads to the page itself."""
-    tags = F.regexp_extract_all(html, F.lit(r"(?is)(<a\b[^>]*>)"), 1)
-    rel = F.try_element_at(F.filter(tags, lambda t: t.rlike(r"""(?i)\brel\s*=\s*["']?next\b""")),
-                           F.lit(1))
-    by_rel = find(rel, r"""(?i)\bhref\s*=\s*["']([^"']*)["']""")
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<a\b([^>]*)>"), 1)
+    rel = F.try_element_at(F.filter(tags, lambda t: attribute(t, _REL).rlike(r"(?i)(?:^|\s)next(?:\s|$)")), F.lit(1))
+    by_rel = blank_to_null(unescape(attribute(rel, _HREF)))
     by_word = F.try_element_at(F.filter(
         link_array(html), lambda x: F.lower(F.trim(x["label"])) == word), F.lit(1))["href"]
     target = resolve_url(url, F.when(rel.isNotNull(), by_rel).otherwise(by_word))

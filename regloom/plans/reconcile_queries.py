@@ -150,7 +150,7 @@ def page_records(spark, sf):
     none = F.lit(None).cast("string")
     from .. import vocab
     month = F.element_at(F.array(*[F.lit(m) for m in vocab.FRENCH_MONTHS]), F.month("l_shipdate"))
-    return inputs.spread_table(spark, sf, "lineitem").select(
+    return inputs.table(spark, sf, "lineitem").select(
         F.lit("NF-VALIDATION").alias("source"),
         F.concat(F.lit("Kit "), F.col("l_partkey")).alias("commercial_name"),
         F.struct(F.when(F.col("l_returnflag") != "N", F.concat(F.lit("Supplier "), F.col("l_suppkey")))
@@ -472,11 +472,10 @@ SELECT o_orderstatus, q.n IS NOT NULL AND ((o_orderstatus = 'F' AND nr > 0) OR (
 FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS nr,
    count(*) FILTER (l_linestatus = 'F') AS nf FROM lineitem GROUP BY 1) q ON o_orderkey = l_orderkey GROUP BY 1, 2""")
 def breakdown_flags(spark, sf):
-    lists = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_list(F.when(F.col("l_returnflag") == "R", F.col("l_linenumber"))).alias("quant"),
-        F.collect_list(F.when(F.col("l_linestatus") == "F", F.col("l_linenumber"))).alias("qual"))
+    counts = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.count_if(F.col("l_returnflag") == "R").alias("quant"), F.count_if(F.col("l_linestatus") == "F").alias("qual"))
     nature = F.when(F.col("o_orderstatus") == "F", "quantitative").otherwise("qualitative")
-    joined = table(spark, sf, "orders").join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = table(spark, sf, "orders").join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return (joined.select("o_orderstatus", results.has_breakdown(
         nature, F.col("quant"), F.col("qual")).alias("has_breakdown"))
         .groupBy("o_orderstatus", "has_breakdown").agg(F.count("*").alias("n")))
@@ -523,6 +522,9 @@ verdicts AS (SELECT *, CASE WHEN gone THEN 'missing' WHEN a IS NULL AND b IS NUL
   WHEN abs(a - b) <= 0.05 THEN 'match' ELSE 'mismatch' END AS verdict FROM pairs)"""
 
 
+CALIBRATED = ["bias_log", "sd_log"]
+
+
 def _verdicts(spark, sf):
     lines = table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -538,7 +540,7 @@ def _verdicts(spark, sf):
         F.when(flag == "A", F.col("l_discount") + F.col("l_tax"))
         .when(flag == "R", F.col("l_discount")).alias("bias_log"),
         F.when(F.col("l_quantity") > 10, F.col("l_tax") + 0.01).alias("sd_log"))
-    return quality.compare(truth, other, ["bias_log", "sd_log"])
+    return quality.compare(truth, other, CALIBRATED)
 
 
 @query("calibration_verdicts", f"""WITH {CALIBRATION_SQL}
@@ -551,7 +553,7 @@ def calibration_verdicts(spark, sf):
 SELECT doc_id, count(*) FILTER (verdict <> 'missing') AS total_fields, count(*) FILTER (verdict = 'match') AS matched_fields,
        count(DISTINCT CASE WHEN verdict = 'missing' THEN p_type END) AS missing_categories FROM verdicts GROUP BY 1""")
 def calibration_agreement(spark, sf):
-    return quality.agreement(_verdicts(spark, sf), ["doc_id"])
+    return quality.agreement(_verdicts(spark, sf), ["doc_id"], fields=len(CALIBRATED))
 
 
 @query("calibration_outcomes", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..operators import blocks, evidence, pages, report, sections
 from . import inputs
-from .inputs import LINE_ORDER, REPORT_PAGES_SQL, spread_table, table
+from .inputs import LINE_ORDER, REPORT_PAGES_SQL, table
 from .registry import query
 
 SCORE_SQL = """
@@ -261,13 +261,13 @@ def first_blocks(spark, sf):
 
 def certificate_texts(spark, sf):
     """A certificate text per order. Its strain rows are the order's lines."""
-    line = F.concat(F.col("l_linenumber"), F.lit(" Strain  s"), F.col("l_suppkey"),
-                    F.when(F.col("l_returnflag") == "R", " -b").when(F.col("l_returnflag") == "A", " +")
+    line = F.concat(F.col("l_linenumber"), F.lit(" Strain\u00a0 s"), F.col("l_suppkey"),
+                    F.when(F.col("l_returnflag") == "R", "\u00a0-b").when(F.col("l_returnflag") == "A", " +")
                     .otherwise(""), F.lit("\n"))
     strains = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(*LINE_ORDER, line.alias("t")))), lambda x: x["t"]), "")
         .alias("strains"))
-    orders = spread_table(spark, sf, "orders").join(strains, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = table(spark, sf, "orders").join(strains, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     status = F.col("o_orderstatus")
     story = F.when(status == "F", F.concat(
         F.lit("DISCUSSION OF THE VALIDATION STUDY Of the "), F.col("o_custkey") + 5,
@@ -282,7 +282,7 @@ def certificate_texts(spark, sf):
         F.lit("Certificate No.\n"), F.col("o_orderkey"), F.lit("\nhereby certifies the method known as\n Kit "),
         F.col("o_orderpriority"), F.lit("\nmanufactured by\nCustomer "), F.col("o_custkey"),
         F.lit(", Inc\n12 Street\nTown\nThis method has been evaluated\nIssue Date "),
-        F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("\nExpiration Date December 31, 2003\n"),
+        F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("\nExpiration Date\u00a0December 31, 2003\n"),
         F.when(status == "O", "INDEPENDENT LABORATORY\nLab  Two\n").otherwise(""),
         F.lit("APPLICABILITY OF METHOD\nTarget organisms - Listeria species. Matrixes - raw milk, beef and pork."
               " Performance claims none\n"), story,
@@ -326,18 +326,19 @@ def certificate_records(spark, sf):
         .alias("excl_discrepancies"))
 
 
-@query("certificate_sections", f"""WITH {CERTIFICATE_SQL}
+@query("certificate_sections", f"""WITH {CERTIFICATE_SQL},
+printed AS (SELECT l_orderkey, string_agg(l_linenumber || ' Strain s' || l_suppkey ||
+   CASE l_returnflag WHEN 'R' THEN ' -b' WHEN 'A' THEN ' +' ELSE '' END, ' ' ORDER BY {", ".join(LINE_ORDER)}) AS rows FROM lineitem GROUP BY 1)
 SELECT doc_id, 'applicability' AS section, 'Target organisms - Listeria species. Matrixes - raw milk, beef and pork. Performance claims none' AS text FROM c
 UNION ALL SELECT doc_id, 'principle', CASE WHEN st = 'P' THEN 'lateral flow strip'
-   ELSE NULL END FROM c WHERE st = 'P'
+   ELSE 'lateral flow strip Table 1. Inclusivity ' || COALESCE(rows || ' ', '') || 'Table 2. Exclusivity 1 Other one - 2 Other two +a' END
+   FROM c LEFT JOIN printed ON doc_id = l_orderkey
 UNION ALL SELECT doc_id, 'independent_laboratory', 'Lab Two' FROM c WHERE st = 'O'
 UNION ALL SELECT doc_id, 'discussion', 'Of the ' || (o_custkey + 5) || ' inclusivity strains tested, all ' || (o_custkey + 4) || ' were correctly detected. Of the 30 exclusivity strains, none were detected.' FROM c WHERE st = 'F'
 UNION ALL SELECT doc_id, 'method_selectivity_table', 'broth ' || o_custkey || 'a ' || (o_custkey + 1) || ' 40b 3' FROM c WHERE st = 'P'
 UNION ALL SELECT doc_id, 'references_cited', 'none' FROM c""")
 def certificate_sections(spark, sf):
-    s = sections.sections(certificate_texts(spark, sf))
-    # Where the strain tables follow it, the section text holds their rows too.
-    return s.filter("section <> 'principle' OR text = 'lateral flow strip'")
+    return sections.sections(certificate_texts(spark, sf))
 
 
 @query("strain_rows", """
@@ -358,15 +359,15 @@ def study_texts(spark, sf):
         F.lit("\nQuantitative  method\n"))).when(status == "O", F.concat(
             F.lit("Rapport XY 11/12-13/14\nMéthode qualitative "), F.col("o_custkey"), F.lit("\n"))).otherwise("Nothing\n")
     lines = F.array_join(F.transform(F.sequence(F.lit(1), F.substring("o_orderpriority", 1, 1).cast("int")),
-                                     lambda i: F.concat(F.lit("SD Repeatability 0,1"), i, F.lit(" 0.2"), i, F.lit(" +/- 0.5\n"))), "")
+                                     lambda i: F.concat(F.lit("SD Repeatability\u00a00,1"), i, F.lit(" 0.2"), i, F.lit(" +/- 0.5\n"))), "")
     prose = F.concat(
         F.lit("In all 10 target strains and 5 non-target strains were tested, then "), F.col("o_custkey"),
         F.lit(" additional target strains and 2 additional non-target strains were\ntested. Same results were observed by both methods for 12 strains."
               " For 2 strains, differences were observed: - Strain A was not found. - Strain B Exclusivity "
               "Among the 7 non -target strains tested, 6 strains were not enum erated with the new method."
-              " These strains were enumerated by both methods: Proteus x and Hafnia y. Acceptability Limits are fixed at ± 0,"),
+              " These strains were enumerated by both methods: Proteus x and Hafnia y. Acceptability Limits are fixed at\u00a0± 0,"),
         F.substring("o_orderpriority", 1, 1), F.lit(" Log units.\n"))
-    return spread_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("doc_id"), F.lit(0).alias("page_no"),
         F.concat(cover, prose, lines).alias("text"))
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import web
-from .inputs import LINE_ORDER, phrase, spread_table, table
+from .inputs import LINE_ORDER, phrase, table
 from .registry import query
 
 
 def _pages(spark, sf):
-    return spread_table(spark, sf, "pages")
+    return table(spark, sf, "pages")
 
 
 # Visible markup, as the Spark side sees it.
@@ -31,30 +31,63 @@ def page_blocks(spark, sf):
                     F.md5(web.text_of(F.col("block"))).alias("block_md5"))
 
 
-@query("page_links", r"""
-WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href FROM pages)
-SELECT DISTINCT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
-   ELSE regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || href END AS link
-FROM l WHERE regexp_matches(href, '(?i)the|and|der|le')""")
+# Anchors as real pages have them: some are not closed, some values not quoted.
+LOOSE_SQL = r"""
+loose AS (SELECT page_id, url, CASE page_id % 3 WHEN 1 THEN replace(html, '</a>', '')
+   WHEN 2 THEN regexp_replace(html, 'href="([^"\s>]*)"', 'href=\1', 'g') ELSE html END AS html FROM pages)"""
+
+
+def _loose_pages(spark, sf):
+    html = F.col("html")
+    return _pages(spark, sf).withColumn("html", F.when(F.col("page_id") % 3 == 1, F.replace(html, F.lit("</a>"), F.lit("")))
+                                        .when(F.col("page_id") % 3 == 2, F.regexp_replace(html, r'href="([^"\s>]*)"', "href=$1"))
+                                        .otherwise(html))
+
+
+LINKS_SQL = r"""
+hrefs AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']?([^"''\s>]*)', 1)) AS href FROM loose),
+links AS (SELECT DISTINCT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+   ELSE regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || href END AS link, href FROM hrefs)"""
+
+
+@query("page_links", f"WITH {LOOSE_SQL}, {LINKS_SQL} SELECT page_id, link FROM links")
 def page_links(spark, sf):
-    return web.pdf_links(_pages(spark, sf), pattern=r"(?i)the|and|der|le")
+    return web.pdf_links(_loose_pages(spark, sf), pattern="")
+
+
+@query("certificate_links", f"""WITH {LOOSE_SQL}, {LINKS_SQL}
+SELECT page_id, link FROM links WHERE regexp_matches(href, '(?i)\\.pdf$|certificate')
+UNION ALL SELECT page_id, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || '/file' || page_id || '.PDF' FROM pages""")
+def certificate_links(spark, sf):
+    pages = _loose_pages(spark, sf).withColumn("html", F.concat("html", F.lit("<a href=/file"), F.col("page_id"), F.lit(".PDF>x")))
+    return web.pdf_links(pages)
 
 
 @query("next_pages", r"""
 WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["''][^>]*>[^<]*</a>', 0)) AS a,
   generate_subscripts(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["''][^>]*>[^<]*</a>', 0), 1) AS i FROM pages),
 n AS (SELECT page_id, min_by(a, i) AS a FROM l WHERE lower(trim(regexp_extract(a, '>([^<]*)</a>$', 1))) = 'the' GROUP BY 1)
-SELECT page_id, CASE WHEN a IS NOT NULL THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || regexp_extract(a, 'href="([^"]*)"', 1) END AS next_page
+SELECT page_id, CASE WHEN page_id % 4 = 0 THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || '/rel' || page_id
+   WHEN a IS NOT NULL THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || regexp_extract(a, 'href="([^"]*)"', 1) END AS next_page
 FROM pages LEFT JOIN n USING (page_id)""")
 def next_pages(spark, sf):
-    return _pages(spark, sf).select(
-        "page_id", web.next_page(F.col("html"), F.col("url"), "the").alias("next_page"))
+    marked = F.concat("html", F.lit("<a href=/rel"), F.col("page_id"), F.lit(" rel='nofollow NEXT'>further"))
+    pages = _pages(spark, sf).withColumn("html", F.when(F.col("page_id") % 4 == 0, marked).otherwise(F.col("html")))
+    return pages.select("page_id", web.next_page(F.col("html"), F.col("url"), "the").alias("next_page"))
 
 
 @query("page_kinds", """
-SELECT page_id, contains(lower(html), 'type="password"') AS login_wall, FALSE AS script_shell FROM pages""")
+WITH p AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN '<html><body><div id="app"></div><script>load()</script></body></html>'
+   WHEN page_id % 5 = 0 THEN html || '<INPUT type="PASSWORD">' ELSE html END AS html FROM pages),
+b AS (SELECT *, regexp_extract(html, '(?is)<body[^>]*>(.*)', 1) AS body FROM p)
+SELECT page_id, contains(lower(html), 'type="password"') AS login_wall,
+   length(trim(regexp_replace(regexp_replace(body, '(?s)<!--.*?-->|<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))) < 50
+     AND NOT regexp_matches(body, '(?i)<(a|td|li|tr)\\b') AS script_shell FROM b""")
 def page_kinds(spark, sf):
-    return web.page_kinds(_pages(spark, sf))
+    shell = F.lit('<html><body><div id="app"></div><script>load()</script></body></html>')
+    pages = _pages(spark, sf).withColumn("html", F.when(F.col("page_id") % 7 == 0, shell).when(
+        F.col("page_id") % 5 == 0, F.concat("html", F.lit('<INPUT type="PASSWORD">'))).otherwise(F.col("html")))
+    return web.page_kinds(pages)
 
 
 @query("item_rows", rf"""WITH {VISIBLE_SQL},
@@ -150,7 +183,7 @@ def _organism_pages(spark, sf):
         F.array_sort(F.collect_list(F.struct(*LINE_ORDER, block.alias("b")))), lambda x: x["b"]), "\n").alias("blocks"))
     heading = phrase(F.col("o_orderstatus"), HEADINGS)
     slug = phrase(F.col("o_orderstatus"), {"F": "coliformes", "O": "page-e-coli-o157-x", "P": "unknown"})
-    return (spread_table(spark, sf, "orders").join(blocks, F.col("o_orderkey") == F.col("l_orderkey"))
+    return (table(spark, sf, "orders").join(blocks, F.col("o_orderkey") == F.col("l_orderkey"))
             .select(F.col("o_orderkey").alias("page_id"),
                     F.concat(F.lit("https://example.org/food/"), slug, F.lit("/")).alias("url"), F.concat(
                         F.lit("<body><h1>The <i>organism</i></h1><a href='https://boutique.afnor.org/1'>NF ISO 1</a>"

@@ -1,11 +1,14 @@
 """Session settings and the shared checkpoint folder."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
 
 def get_spark(app: str = "regloom", master: str | None = None, **conf) -> SparkSession:
     """A session in UTC with adaptive execution and skew-join splitting on.
@@ -40,13 +43,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is made and set.
+    Only a local master, whose executors share the driver's disk, may name
+    none: a temporary folder is then made and set. Elsewhere that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
-        current = spark.sparkContext.getCheckpointDir()
-        named = current or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -59,10 +63,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/regloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def drop_intermediates(spark: SparkSession) -> int:
+    """Remove the intermediate tables this driver has written; call it when
+    their results have been stored. Returns how many there were."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths, _WRITTEN[:] = list(_WRITTEN), []
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)

@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators import catalogue
-from ..operators.reconcile import latest_per_key
 
 CORRUPT = "_corrupt"
 
@@ -34,11 +33,6 @@ def guard(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     return good, marked.filter("reason IS NOT NULL")
 
 
-def last_file_wins(rows: DataFrame, key: str) -> DataFrame:
-    """One row per key: that of the last file by name."""
-    return latest_per_key(rows, [key], ["file"])
-
-
 def land(rows: DataFrame, path: str, run_id: str, sort_by: list[str] | None = None) -> None:
     """Append a collector's rows as Parquet under its run. Compacts the many
     small files; sorting inside partitions keeps row groups selective."""
@@ -70,21 +64,6 @@ def write_catalogue(entries: DataFrame, path: str) -> DataFrame:
     return stored
 
 
-def report_pages(spark: SparkSession, path: str, pages: int | None = None) -> DataFrame:
-    """``report_pages(doc_id, page_no, text)``; a bound on the page number is
-    pushed into the scan."""
-    df = spark.read.parquet(path)
-    return df if pages is None else df.filter(F.col("page_no") < pages)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan for CPU-heavy text work. A file of one row group is one task
-    whatever its size; only when there are fewer splits than cores are the rows
-    dealt out. Takes a plain scan, whose splits are known without running it."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def mining_targets(records: DataFrame, mined: DataFrame | None = None,
                    only_unclassified: bool = False, excluded: list[str] = (),
                    limit: int | None = None, key: str = "id",

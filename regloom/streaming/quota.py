@@ -27,11 +27,19 @@ class QuotaProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values
                         ) -> Iterator[pd.DataFrame]:
         used = self.used.get()[0] if self.used.exists() else 0
-        batch = pd.concat(list(rows)).sort_values(["ts", "event_id"], kind="stable")
-        rank = pd.Series(range(used, used + len(batch)), index=batch.index)
-        batch["accepted"] = rank < self.cap
-        self.used.update((min(self.cap, used + len(batch)),))
-        yield batch[["event_id", "user_id", "ts", "bucket", "accepted"]]
+        room, first = self.cap - used, None
+        # The earliest events so far are held, at most as many as there is room
+        # for; whatever they push out is refused.
+        for frame in rows:
+            used += len(frame)
+            held = frame if first is None else pd.concat([first, frame])
+            held = held.sort_values(["ts", "event_id"], kind="stable")[["event_id", "user_id", "ts", "bucket"]]
+            first, late = held.iloc[:room], held.iloc[room:]
+            if len(late):
+                yield late.assign(accepted=False)
+        self.used.update((min(self.cap, used),))
+        if first is not None and len(first):
+            yield first.assign(accepted=True)
 
     def close(self) -> None:
         pass

@@ -308,7 +308,7 @@ FOOD_WORDS = {
     "processed": ["processed", "canned", "juice"],
 }
 NOT_MINED = "Not yet mined"
-AGGREGATE_ROW = r"(?i)^\s*(?:all\s+(?:categor|product|matri|protocol)|total\b|overall\b|global\b)"
+AGGREGATE_ROW = r"(?iU)^\s*(?:all\s+(?:categor|product|matri|protocol)|total\b|overall\b|global\b)"
 
 # --- Fixed values: registries ------------------------------------------------
 REGISTRY_URLS = {
@@ -392,40 +392,42 @@ MAX_ANSWER = 300
 COLLAPSED_FACET = 8
 BATCH_USD_PER_MTOK = {"input": 1.00, "output": 5.00}
 
-# --- Fixed values: patterns of list documents, certificates and study reports
-AIM_WORD = r"(?i)\b(D[EÉé]TECTION|D[EÉé]NOMBREMENT|RECHERCHE)\b"
+# --- Fixed values: patterns of list documents, certificates and study reports.
+# Flags: U takes white space, digits and words in the Unicode sense, d ends
+# lines at line feeds only.
+AIM_WORD = r"(?iU)\b(D[EÉé]TECTION|D[EÉé]NOMBREMENT|RECHERCHE)\b"
 SCOPE_WORD = r"(\*?TOUS PRODUITS|\*?ALL HUMAN|\*?LES |\*?RAW |\*?VIANDE)"
-COMPANY_HEADER = (r"(?s)(?:Soci[ée]t[ée] [Tt]itulaire de la certification|"
+COMPANY_HEADER = (r"(?sU)(?:Soci[ée]t[ée] [Tt]itulaire de la certification|"
                   r"Company holder of the certification)(.*?)N[°o] certificat")
-LIST_DATE = r"[Ll]ist valid on\s*:?\s*(\d{2}[.\-/]\d{2}[.\-/]\d{4})"
-RENEWAL_DATES = r"(?s)RECONDUCTION/RENEWAL:\s*(.*?)(?:EXTENSION:|\z)"
-EXTENSION_DATES = r"(?s)EXTENSION:\s*(.*?)(?:RECONDUCTION/RENEWAL:|\z)"
-HOLDER_NAME = r"certification\s*:?\s*([A-Z][A-Za-z0-9&.,'\- ]{2,60})"
-PAGE_STANDARD = r"(?i)\(selon\s+([^)]+)\)"
-PAGE_UPDATED = r"(?i)mise à jour et publiée le\s+(.+)"
-CERTIFICATE_NUMBER = r"Certificate No\.?\s*\n?\s*(\d+)"
-CERTIFICATE_NAME = r"(?s)hereby certifies the method known as\s*(.*?)\s*manufactured by"
-CERTIFICATE_MAKER = r"(?s)manufactured by\s*(.*?)\s*This method has been evaluated"
-TARGET_CLAIM = (r"(?s)(?:Target [Oo]rganisms?|Analyte)\s*[-–]\s*(.*?)"
+LIST_DATE = r"(?U)[Ll]ist valid on\s*:?\s*(\d{2}[.\-/]\d{2}[.\-/]\d{4})"
+RENEWAL_DATES = r"(?sU)RECONDUCTION/RENEWAL:\s*(.*?)(?:EXTENSION:|\z)"
+EXTENSION_DATES = r"(?sU)EXTENSION:\s*(.*?)(?:RECONDUCTION/RENEWAL:|\z)"
+HOLDER_NAME = r"(?U)certification\s*:?\s*([A-Z][A-Za-z0-9&.,'\- ]{2,60})"
+PAGE_STANDARD = r"(?iU)\(selon\s+([^)]+)\)"
+PAGE_UPDATED = r"(?iUd)mise à jour et publiée le\s+(.+)"
+CERTIFICATE_NUMBER = r"(?U)Certificate No\.?\s*\n?\s*(\d+)"
+CERTIFICATE_NAME = r"(?sU)hereby certifies the method known as\s*(.*?)\s*manufactured by"
+CERTIFICATE_MAKER = r"(?sU)manufactured by\s*(.*?)\s*This method has been evaluated"
+TARGET_CLAIM = (r"(?sU)(?:Target [Oo]rganisms?|Analyte)\s*[-–]\s*(.*?)"
                 r"(?:Matrixe?s?\s*[-–]|Performance claims|\z)")
-MATRIX_CLAIM = r"(?s)Matrixe?s?\s*[-–]\s*(.*?)(?:Performance claims|\z)"
-MATRIX_COLUMN = r"\n([A-Z][A-Za-z0-9 ()%.\-]{3,40}) \d+ (?:g|mL|cloth)\b"
-STRAIN_ROW = r"(?m)^\s*\d+\s+(.*?)\s([+\-])[a-z]{0,2}\s*$"
-INCLUSIVITY_STORY = (r"(?i)Of the (\d+) inclusivity strains.*?(all (\d+)|none)"
+MATRIX_CLAIM = r"(?sU)Matrixe?s?\s*[-–]\s*(.*?)(?:Performance claims|\z)"
+MATRIX_COLUMN = r"(?U)\n([A-Z][A-Za-z0-9 ()%.\-]{3,40}) \d+ (?:g|mL|cloth)\b"
+STRAIN_ROW = r"(?mUd)^\s*\d+\s+(.*?)\s([+\-])[a-z]{0,2}\s*$"
+INCLUSIVITY_STORY = (r"(?iUd)Of the (\d+) inclusivity strains.*?(all (\d+)|none)"
                      r"[^.]*correctly detected")
-EXCLUSIVITY_STORY = (r"(?i)Of the (\d+) exclusivity strains,?\s*(none|all (\d+))\s*(?:were|was)?"
+EXCLUSIVITY_STORY = (r"(?iUd)Of the (\d+) exclusivity strains,?\s*(none|all (\d+))\s*(?:were|was)?"
                      r"\s*detected")
-SELECTIVITY_ROW = r"(\d+)[a-z]?\s+(\d+)\s+(\d+)[a-z]?\s+(\d+)\b"
-LIMIT_SENTENCE = (r"Acceptability Limit[s]? (?:is |are )?fixed at\s*[±\+/\-]*\s*([\d,\.]+)"
+SELECTIVITY_ROW = r"(?U)(\d+)[a-z]?\s+(\d+)\s+(\d+)[a-z]?\s+(\d+)\b"
+LIMIT_SENTENCE = (r"(?U)Acceptability Limit[s]? (?:is |are )?fixed at\s*[±\+/\-]*\s*([\d,\.]+)"
                   r"\s*[Ll]og")
-TESTED_SENTENCE = (r"(\d+) (?:additional )?target strains and (\d+)(?:\s+additional)? "
+TESTED_SENTENCE = (r"(?U)(\d+) (?:additional )?target strains and (\d+)(?:\s+additional)? "
                    r"non-target strains were tested")
-SAME_SENTENCE = (r"Same results were observed by both methods for (\d+) strains\.\s*For (\d+) "
+SAME_SENTENCE = (r"(?Ud)Same results were observed by both methods for (\d+) strains\.\s*For (\d+) "
                  r"strains?,\s*differences\s+were\s+observed:?\s*(.*?)(?:\s+Exclusivity\b|$)")
-NON_TARGET_SENTENCE = (r"Among the (\d+) non\s*-\s*target strains? tested,\s*(\d+) strains? were not "
+NON_TARGET_SENTENCE = (r"(?Ud)Among the (\d+) non\s*-\s*target strains? tested,\s*(\d+) strains? were not "
                        r"enum\s*\w*ed with the .+? method")
-BOTH_METHODS_SENTENCE = r"strains were enumerated by both methods:\s*(.*?)\."
-REPEATABILITY_LINE = r"SD Repeatability\s+([\d,\.]+)\s+([\d,\.]+)\s+\+/-\s*([\d,\.]+)"
+BOTH_METHODS_SENTENCE = r"(?Ud)strains were enumerated by both methods:\s*(.*?)\."
+REPEATABILITY_LINE = r"(?U)SD Repeatability\s+([\d,\.]+)\s+([\d,\.]+)\s+\+/-\s*([\d,\.]+)"
 
 # --- Fixed values: notes written into records --------------------------------
 NOTE_NO_PAGE = ("No matching live organism-page record found; fields limited to what the bootstrap "

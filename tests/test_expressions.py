@@ -4,6 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from regloom.functions import classify, text, values
+from regloom.operators import browse
 
 
 def column(spark, items, expr):
@@ -14,6 +15,7 @@ def column(spark, items, expr):
 def test_fold_key_drops_accents_of_every_language(spark):
     got = column(spark, ["BioMérieux", "àâäçéèêëîïôöùûüÿñ", "Größe", "Kit™ ²", "ÅØŁ", None], text.fold_key)
     assert got == ["biomerieux", "aaaceeeeiioouuuyn", "groe", "kittm2", "a", None]
+    assert column(spark, ["Type \u2163 \u3396 \U0001d403 \u210c\ufb03", "\u33c2 \u2488"], text.fold_key) == ["typeivmldhffi", "am1"]
 
 
 def test_tidy_slug_and_name_key(spark):
@@ -32,6 +34,14 @@ def test_api_id_and_lists(spark):
 def test_natural_key_orders_numbers(spark):
     keys = column(spark, ["A10", "a9", "A9b", "b1"], text.natural_key)
     assert sorted(range(4), key=lambda i: keys[i]) == [1, 2, 0, 3]
+    long = column(spark, ["x9", "x1" + 24 * "0", "x007", "x" + 25 * "9"], text.natural_key)
+    assert sorted(range(4), key=lambda i: long[i]) == [2, 0, 1, 3]
+
+
+def test_entries_sort_as_readers_expect(spark):
+    rows = spark.createDataFrame([(1, "eb"), (2, "Fa"), (3, "Éa"), (4, ""), (5, "eb 10"), (6, "eb 9")], "id int, name string")
+    assert [r.name for r in browse.sort_entries(rows, "name").collect()] == ["Éa", "eb", "eb 9", "eb 10", "Fa", ""]
+    assert [r.name for r in browse.sort_entries(rows, "name", descending=True, limit=2).collect()] == ["Fa", "eb 10"]
 
 
 def test_certificate_from_url(spark):

@@ -4,16 +4,17 @@ import os
 import uuid
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from regloom.operators import browse, quota, web
 from regloom.plans import inputs
-from regloom.session import checkpoint_dir
+from regloom.session import checkpoint_dir, drop_intermediates, materialize
 from regloom.sources import registry as raw
 from regloom.streaming import incremental
-from regloom.streaming.quota import quota_stream, quota_windows
+from regloom.streaming.quota import QuotaProcessor, quota_stream, quota_windows
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -96,6 +97,48 @@ def test_quota_windows_close_behind_the_watermark(spark, sf):
     assert sum(r.accepted + r.refused for r in rows) <= events.count()
 
 
+def test_quota_state_is_bounded_by_the_cap():
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    work = QuotaProcessor(3)
+    work.used = State()
+    frames = [pd.DataFrame({"event_id": ids, "user_id": 1, "ts": pd.to_datetime(ids, unit="s"), "bucket": pd.Timestamp(0)})
+              for ids in ([5, 9], [1, 7], [3, 2])]
+    out = pd.concat(work.handleInputRows(None, iter(frames), None))
+    assert set(out[out.accepted].event_id) == {1, 2, 3} and len(out) == 6
+    out = pd.concat(work.handleInputRows(None, iter(frames[:1]), None))
+    assert not out.accepted.any() and len(out) == 2
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
+    kept = materialize(spark.range(3), "test")
+    assert kept.count() == 3 and drop_intermediates(spark) > 0 and not os.path.exists(kept.inputFiles()[0].removeprefix("file://"))
+
+
 def test_files_to_snapshots(spark, tmp_path):
     landing, base = str(tmp_path / "in"), str(tmp_path / "snap")
     os.makedirs(landing)
@@ -114,7 +157,13 @@ def test_files_to_snapshots(spark, tmp_path):
         drop("b", id="1", name="renamed")
         drop("c", id="2", name="two")
     latest = spark.read.parquet(f"{base}/batch=00000001")
-    assert {(r.id, r.name, r.perf) for r in latest.collect()} == {("1", "renamed", "mined"), ("2", "two", None)}
+    want = {("1", "renamed", "mined"), ("2", "two", None)}
+    assert {(r.id, r.name, r.perf) for r in latest.collect()} == want
+    # A lost checkpoint: the stream goes on behind the last snapshot and keeps what was mined.
+    rows = incremental.read_new_files(spark, landing, schema).filter(~F.col("file").rlike("_index"))
+    incremental.upsert_snapshots(rows, base, "id", ["file"], ["perf"], f"run-{uuid.uuid4().hex}").awaitTermination(120)
+    assert {(r.id, r.name, r.perf) for r in spark.read.parquet(f"{base}/batch=00000002").collect()} == want
+    assert {(r.id, r.name, r.perf) for r in spark.read.parquet(f"{base}/batch=00000000").collect()} == {("1", "one", "mined")}
     read = raw.read_json_objects(spark, landing, schema)
     good, bad = raw.guard(read, ["id", "name"])
     assert good.count() == 3 and bad.count() == 0
@@ -136,3 +185,6 @@ def test_web_kinds_and_fallbacks(spark):
                                   "page_id int, url string, html string")
     assert [r[0] for r in pages.select(web.next_page(F.col("html"), F.col("url"))).collect()] == [
         "https://a.org/p2", None]
+    loose = "<a class=x href=/a.pdf>one<a HREF='/b.pdf'>two</a><a href=\"/c.pdf\" data-href='no'>three <b>x"
+    links = spark.createDataFrame([(1, "https://a.org/", loose)], "page_id int, url string, html string")
+    assert [r.link for r in web.pdf_links(links).collect()] == [f"https://a.org/{x}.pdf" for x in "abc"]

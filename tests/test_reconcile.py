@@ -102,7 +102,7 @@ def test_calibration_null_logic(spark):
     other = spark.createDataFrame([("d", "MEAT", 1, 2.05), ("d", "fish", 2, None), ("d", "egg", 3, 0.0)], schema)
     got = {r.category: r.verdict for r in quality.compare(truth, other, ["v"]).collect()}
     assert got == {"meat": "match", "fish": "match", "egg": "mismatch", "milk": "missing"}
-    total = quality.agreement(quality.compare(truth, other, ["v"]), ["doc_id"]).first()
+    total = quality.agreement(quality.compare(truth, other, ["v"]), ["doc_id"], fields=1).first()
     assert total.total_fields == 3 and total.missing_categories == 1
 
 
