@@ -14,21 +14,6 @@ from ..functions import classify, values
 from ..functions.text import blank_to_null, find, split_list, squeeze, strip
 
 
-def assemble_text(pages: DataFrame, max_chars: int = 4_000_000, doc: str = "doc_id",
-                  page: str = "page_no", text: str = "text") -> DataFrame:
-    """Page rows to text units ``(document, unit_no, text)``: one per document,
-    its pages joined by line breaks in order, when it has at most ``max_chars``
-    characters; longer documents keep one unit per page, so that no task holds
-    a document without bound.
-    """
-    sizes = pages.groupBy(doc).agg(F.sum(F.length(text)).alias("_chars"))
-    unit = F.when(F.col("_chars") > max_chars, F.col(page)).otherwise(0).cast("int")
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(page).alias("p"), F.col(text).alias("t"))))
-    return (pages.join(sizes, doc).withColumn("unit_no", unit).groupBy(doc, "unit_no").agg(
-        F.array_join(F.transform(ordered, lambda x: F.coalesce(x["t"], F.lit(""))), "\n")
-        .alias("text")))
-
-
 def _needle(pattern: str) -> str:
     """Upper-case text that every match of a heading contains."""
     branches = [re.sub(r".\?|\\[a-z]\*?|\\d\+|[.*+?:]", "\n", b.replace(r"\.", "\n"))

@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import vocab
 from ..functions import values
-from ..operators import (canonical, catalogue, cells, evidence, pages, reconcile, report, sections,
-                         snapshot)
+from ..operators import canonical, catalogue, cells, evidence, pages, reconcile, report, snapshot
+from ..session import materialize
 
 
 def reconcile_registry(page_records: DataFrame, bootstrap: DataFrame, today,
@@ -48,18 +48,42 @@ def build_catalogue(records: DataFrame, excluded=vocab.EXCLUDED_SOURCES) -> dict
     }
 
 
-def mine_reports(report_pages: DataFrame, report_cells: DataFrame, max_chars: int = 4_000_000
-                 ) -> DataFrame:
-    """Pages and cells to mined performance, one row per report:
-    (doc_id, certificate_number, method_nature, performance)."""
-    cover = report.cover_metadata(report_pages)
-    units = sections.assemble_text(report_pages, max_chars)
-    told = report.prose(units)
+def mine_reports(report_pages: DataFrame, report_cells: DataFrame) -> DataFrame:
+    """Pages and cells to mined performance, one row per report of a known
+    nature: (doc_id, certificate_number, method_nature, performance,
+    mining_notes). One answer for a report of any length."""
+    cover = materialize(report.cover_metadata(report_pages), "cover")
+    told = materialize(report.prose(report_pages), "told")
     table_rows = cells.table_rows(report_cells)
     trueness = cells.relative_trueness(table_rows)
-    profile = report.accuracy_profile(trueness, report.repeatability_lines(units))
-    return report.quantitative_performance(cover, trueness, profile, told).unionByName(
+    profile = report.accuracy_profile(trueness, report.repeatability_lines(report_pages))
+    mined = report.quantitative_performance(cover, trueness, profile, told).unionByName(
         report.qualitative_performance(cover, cells.method_comparison(table_rows), told))
+    return mined.withColumn("mining_notes", F.concat(
+        F.lit("Mined from report "), F.col("doc_id").cast("string"), F.lit(".")))
+
+
+def merge_mined(records: DataFrame, report_pages: DataFrame, report_cells: DataFrame
+                ) -> dict[str, DataFrame]:
+    """Mine reports and put what is found on the records with the same number.
+    Gives ``records``, ``rejected`` (records a merge made invalid), and
+    ``outcomes``: one row (doc_id, certificate_number, outcome) per report:
+    merged, superseded (a later report has the number), invalid, no_record,
+    no_number or no_nature."""
+    mined = materialize(mine_reports(report_pages, report_cells), "mined")
+    merged, _ = snapshot.merge_performance(records, mined)
+    good, bad = snapshot.split_valid(merged, snapshot.canonical_checks())
+    reports = report_pages.select("doc_id").distinct().join(mined.select("doc_id", "certificate_number", "method_nature"), "doc_id", "left")
+    winners = (mined.filter("certificate_number IS NOT NULL").groupBy("certificate_number")
+               .agg(F.max("doc_id").alias("_last")))
+    known = records.groupBy(F.col("source_certificate_number").alias("certificate_number")).agg(F.lit(True).alias("_known"))
+    spoilt = bad.groupBy(F.col("source_certificate_number").alias("certificate_number")).agg(F.lit(True).alias("_bad"))
+    judged = reports.join(winners, "certificate_number", "left").join(known, "certificate_number", "left").join(
+        spoilt, "certificate_number", "left")
+    outcome = (F.when(F.col("method_nature").isNull(), "no_nature").when(F.col("certificate_number").isNull(), "no_number")
+               .when(F.col("_known").isNull(), "no_record").when(F.col("doc_id") != F.col("_last"), "superseded")
+               .when(F.col("_bad"), "invalid").otherwise("merged"))
+    return {"records": good, "rejected": bad, "outcomes": judged.select("doc_id", "certificate_number", outcome.alias("outcome"))}
 
 
 def read_evidence(report_pages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -353,10 +353,11 @@ def strain_rows(spark, sf):
 # --- Study reports: cover, narrative and repeatability, one text per order ---
 
 def study_texts(spark, sf):
+    """Whole texts of study reports, one per order."""
     status = F.col("o_orderstatus")
     cover = F.when(status == "F", F.concat(
         F.lit("Certificate number : AB 01 / 02 – 03/"), F.lpad((F.col("o_custkey") % 90 + 10).cast("string"), 2, "0"),
-        F.lit("\nQuantitative  method\n"))).when(status == "O", F.concat(
+        F.lit("\nQuantitative\u00a0 method\n"))).when(status == "O", F.concat(
             F.lit("Rapport XY 11/12-13/14\nMéthode qualitative "), F.col("o_custkey"), F.lit("\n"))).otherwise("Nothing\n")
     lines = F.array_join(F.transform(F.sequence(F.lit(1), F.substring("o_orderpriority", 1, 1).cast("int")),
                                      lambda i: F.concat(F.lit("SD Repeatability\u00a00,1"), i, F.lit(" 0.2"), i, F.lit(" +/- 0.5\n"))), "")
@@ -367,25 +368,34 @@ def study_texts(spark, sf):
               "Among the 7 non -target strains tested, 6 strains were not enum erated with the new method."
               " These strains were enumerated by both methods: Proteus x and Hafnia y. Acceptability Limits are fixed at\u00a0± 0,"),
         F.substring("o_orderpriority", 1, 1), F.lit(" Log units.\n"))
-    return table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("doc_id"), F.lit(0).alias("page_no"),
-        F.concat(cover, prose, lines).alias("text"))
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), F.concat(cover, prose, lines).alias("text"))
+
+
+def study_pages(spark, sf):
+    """The same texts on pages that break every few words, in the middle of
+    sentences, at places that differ from order to order. A page break is a
+    line break, so none is made where a sentence needs a plain blank."""
+    step = (F.col("doc_id") % 17 + 5).cast("int")
+    words = F.split("text", r"(?<=\s)(?<!Acceptability\s)(?<!Limits\s)(?<!are\s)(?<!fixed\s)(?<!SD\s)(?=\S)")
+    starts = F.sequence(F.lit(1), F.size("_w"), step)
+    cut = F.transform(starts, lambda i: F.regexp_replace(F.array_join(F.slice(F.col("_w"), i, step), ""), r"\s$", ""))
+    return (study_texts(spark, sf).withColumn("_w", words)
+            .select("doc_id", F.posexplode(cut).alias("page_no", "text")))
 
 
 @query("cover_metadata", """
 SELECT o_orderkey AS doc_id, CASE o_orderstatus WHEN 'F' THEN 'AB 01/02-03/' || lpad(CAST(o_custkey % 90 + 10 AS VARCHAR), 2, '0') WHEN 'O' THEN 'XY 11/12-13/14' END AS certificate_number,
   CASE o_orderstatus WHEN 'F' THEN 'quantitative' WHEN 'O' THEN 'qualitative' END AS method_nature FROM orders""")
 def cover_metadata(spark, sf):
-    return report.cover_metadata(study_texts(spark, sf))
+    return report.cover_metadata(study_pages(spark, sf))
 
 
 @query("narrative_panels", """
 SELECT o_orderkey AS doc_id, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS limit_tenths, 10 + o_custkey AS incl_tested, CAST(12 AS BIGINT) AS incl_correct,
   'Strain A/was not found;Strain B/' AS incl_discrepancies, CAST(7 AS BIGINT) AS excl_tested, CAST(6 AS BIGINT) AS excl_correct, 'Proteus x;Hafnia y' AS excl_strains FROM orders""")
 def narrative_panels(spark, sf):
-    r = report.with_narrative_panels(study_texts(spark, sf)).select(
-        "doc_id", report.acceptability_limit(F.col("text")).alias("al"),
-        F.col("inclusivity").alias("i"), F.col("exclusivity").alias("e"))
+    r = report.prose(study_pages(spark, sf)).select(
+        "doc_id", F.col("limit").alias("al"), F.col("inclusivity").alias("i"), F.col("exclusivity").alias("e"))
     return r.select(
         "doc_id", F.round(F.col("al") * 10).cast("bigint").alias("limit_tenths"),
         F.col("i.n_tested").cast("bigint").alias("incl_tested"),
@@ -407,8 +417,7 @@ def accuracy_profile(spark, sf):
     cats = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"),
                                                  F.col("l_linenumber").alias("row_no"))
             .agg(F.concat(F.lit("part "), F.max("l_partkey")).alias("category")))
-    out = report.accuracy_profile(cats, report.repeatability_lines(
-        study_texts(spark, sf).withColumnRenamed("page_no", "unit_no")))
+    out = report.accuracy_profile(cats, report.repeatability_lines(study_pages(spark, sf)))
     return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "matrix",
                       F.round(F.col("sd_repeatability_reference") * 100).cast("bigint").alias("ref_hundredths"),
                       F.round(F.col("sd_repeatability_alternative") * 100).cast("bigint").alias("alt_hundredths"))

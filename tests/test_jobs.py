@@ -1,11 +1,14 @@
 """Whole jobs end to end on small inputs."""
+import random
+import re
 import uuid
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from regloom import schemas
-from regloom.operators import canonical, catalogue, sections
+from regloom import schemas, vocab
+from regloom.operators import canonical, catalogue, report, sections
 from regloom.plans import build
 from regloom.session import checkpoint_dir
 from regloom.sources import registry as raw
@@ -32,9 +35,17 @@ def report_inputs(spark):
     return pages, cells
 
 
-@pytest.mark.parametrize("max_chars", [4_000_000, 20])
-def test_mining_reports(spark, max_chars):
-    mined = {r.doc_id: r for r in build.mine_reports(*report_inputs(spark), max_chars=max_chars).collect()}
+@pytest.mark.parametrize("breaks", [0, 1, 2, 7])
+def test_mining_reports(spark, breaks):
+    pages, cells = report_inputs(spark)
+    if breaks:  # the same text on many short pages that break inside sentences
+        whole = defaultdict(list)
+        for r in pages.orderBy("page_no").collect():
+            whole[r.doc_id] += re.split(r"(?<=\s)(?<!Acceptability\s)(?<!Limit\s)(?<!is\s)(?<!fixed\s)(?<!SD\s)(?=\S)", r.text + "\n")
+        pages = spark.createDataFrame(
+            [(d, i, re.sub(r"\s$", "", "".join(words[i:i + breaks])) if i % 3 else "".join(words[i:i + breaks]))
+             for d, words in whole.items() for i in range(0, len(words), breaks)], "doc_id string, page_no int, text string")
+    mined = {r.doc_id: r for r in build.mine_reports(pages, cells).collect()}
     assert set(mined) == {"q", "l"}
     q = mined["q"].performance.quantitative
     assert mined["q"].certificate_number == "AB 01/02-03/04"
@@ -50,6 +61,65 @@ def test_mining_reports(spark, max_chars):
     assert [(r.category, r.sensitivity_alternative_pct) for r in rows] == [("Fish", 98.5)]
 
 
+def test_sentences_across_pages_equal_the_whole_text(spark):
+    """Random page breaks, also inside words; the whole text is searched in Python."""
+    rng = random.Random(8)
+    text = ("x12 target strains and 5 non-target strains were tested. Among the 9 strains Same results\u00a0were observed by both "
+            "methods for 31 strains. For 2 strains, differences were observed: - One was odd - Two  Exclusivity \n" + LINES +
+            "3 additional target strains and 4 additional non-target strains were tested. Acceptability Limit is fixed at\n 0.7 Log. "
+            "Among the 7 non -target strains tested, 6 strains were not enum erated with the method by any method. "
+            "strains were enumerated by both methods: Proteus x and Hafnia y. SD Repeatability 1 2 +/- 3\n\n")
+    docs = {}
+    for d in range(40):
+        cuts = sorted(rng.sample(range(len(text) * 2), rng.randint(0, 60)))
+        whole = text * 2
+        docs[d] = [whole[a:b] for a, b in zip([0, *cuts], [*cuts, len(whole)])]
+    pages = spark.createDataFrame([(d, 3 * i, p) for d, ps in docs.items() for i, p in enumerate(ps)],
+                                  "doc_id int, page_no int, text string").repartition(4)
+    told = {r.doc_id: r for r in report.prose(pages).collect()}
+    lines = defaultdict(list)
+    for r in report.repeatability_lines(pages).orderBy("pos").collect():
+        lines[r.doc_id].append((r.pos, r.n_lines, r.sd_repeatability_reference))
+    plain = {k: re.sub(r"^\(\?[a-zA-Z]+\)", "", getattr(vocab, k)) for k in (
+        "TESTED_SENTENCE", "SAME_SENTENCE", "NON_TARGET_SENTENCE", "BOTH_METHODS_SENTENCE", "LIMIT_SENTENCE", "REPEATABILITY_LINE")}
+    for d, ps in docs.items():
+        full = "\n".join(ps)
+        norm = re.sub(r"\s+", " ", full)
+        tested = sum(int(a) for a, _ in re.findall(plain["TESTED_SENTENCE"], norm))
+        same, among = re.search(plain["SAME_SENTENCE"], norm), re.search(plain["NON_TARGET_SENTENCE"], norm)
+        limit, named = re.search(plain["LIMIT_SENTENCE"], full), re.search(plain["BOTH_METHODS_SENTENCE"], norm)
+        got = told[d]
+        assert got.limit == (float(limit[1].rstrip(".")) if limit else None)
+        assert (got.inclusivity is None) == (not same or not tested)
+        if got.inclusivity:
+            assert (got.inclusivity.n_tested, got.inclusivity.n_correctly_detected) == (tested, int(same[1]))
+            assert len(got.inclusivity.discrepancies) == len([x for x in re.split(r"\s-\s", same[3]) if x.strip(" -.")])
+        assert (got.exclusivity is None) == (among is None)
+        if among:
+            assert (got.exclusivity.n_tested, got.exclusivity.n_correctly_detected) == (int(among[1]), int(among[2]))
+            assert len(got.exclusivity.discrepancies) == (len([s for s in re.split(
+                r",(?! [A-Z][a-z]+ \d)|\band\b", named[1]) if s.strip()]) if named else 0)
+        want = re.findall(plain["REPEATABILITY_LINE"], full)
+        assert [(p, n) for p, n, _ in lines[d]] == [(i + 1, len(want)) for i in range(len(want))]
+
+
+def test_merging_counts_every_report(spark):
+    pages, cells = report_inputs(spark)
+    more = spark.createDataFrame([("r", 0, "Certificate number: AB 01/02-03/04 Qualitative method"), ("s", 0, "Qualitative method")],
+                                 "doc_id string, page_no int, text string")
+    rows = spark.createDataFrame([("AB 01/02-03/04", "Kit", "m", "Salmonella", "milk", "Valid")],
+                                 "certificate_number string, commercial_name string, manufacturer_raw string, analyte_raw string, "
+                                 "matrices_raw string, status_raw string")
+    for f in schemas.LIST_ROW.fields:
+        if f.name not in rows.columns:
+            rows = rows.withColumn(f.name, F.lit(None).cast("string"))
+    out = build.merge_mined(canonical.from_list_rows(rows, "2024-01-01"), pages.unionByName(more), cells)
+    assert {r.doc_id: r.outcome for r in out["outcomes"].collect()} == {
+        "q": "superseded", "l": "no_record", "n": "no_nature", "r": "merged", "s": "no_number"}
+    record = out["records"].first()
+    assert record.performance.method_nature == "qualitative" and record.traceability.notes.endswith("Mined from report r.")
+
+
 def test_pages_to_send_and_evidence(spark):
     pages, _ = report_inputs(spark)
     sent = build.pages_to_send(pages, budget=2)
