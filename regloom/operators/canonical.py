@@ -140,7 +140,7 @@ def from_list_rows(raw: DataFrame, today) -> DataFrame:
     return _typed(out)
 
 
-def from_certificates(raw: DataFrame, today, notes: str | None = None) -> DataFrame:
+def from_certificates(raw: DataFrame, today, notes: str = vocab.NOTE_CERTIFICATE) -> DataFrame:
     """Records of the registry that prints one certificate per method. There is
     performance only when a strain panel was counted."""
     incl, excl = F.col("inclusivity"), F.col("exclusivity")

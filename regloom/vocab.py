@@ -444,3 +444,13 @@ NOTE_MISSED = "Not detected (result: "
 NOTE_CROSS = "Cross-reactivity: detected (result: "
 NOTE_COUNTED = "Counted from per-strain inclusivity/exclusivity table rows."
 NOTE_ENUMERATED = "Cross-reactive: enumerated by the alternative method"
+NOTE_CERTIFICATE = (
+    "AOAC-RI certificate PDFs bundle certification metadata AND validation-study "
+    "performance data in one document (unlike NF-Validation's separate cert + "
+    "summary-report). Inclusivity/exclusivity extraction is best-effort text mining "
+    "(narrative counts where stated, else counted from per-strain table rows -- "
+    "table rows wrapped across two PDF text lines can be undercounted). The "
+    "presumptive-vs-confirmed / vs-reference-method POD comparison tables are not "
+    "yet mined (table layout is not reliably recoverable from PDF text extraction). "
+    "This parser has only been developed against 4 example certificates; broaden "
+    "coverage once more are available.")
