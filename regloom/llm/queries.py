@@ -5,11 +5,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bfd_packing, html_text, mixing, near_dup, projected_nn, quality_rules, ss_packing, token_counts,
+from . import (bfd_packing, html_text, mixing, near_dup, oracle, projected_nn, quality_rules, ss_packing, token_counts,
                warc_zip, weak_classifier)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_minhash_near_dup": oracle.NEAR, "op7_zip_warc": oracle.WARC, "op9_source_mixing": oracle.MIX}
 
 
 def _query(fn):

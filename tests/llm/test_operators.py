@@ -459,3 +459,16 @@ def test_token_attribution(odd, odd_rows):
 
 def test_every_operator_has_one_query():
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, sf, name):
+    import duckdb
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    got = queries.QUERIES[name](spark, sf)
+    want = con.execute(queries.ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert Counter(tuple(r[c] for c in names) for r in got.collect()) == Counter(want.fetchall())
