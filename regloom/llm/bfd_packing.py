@@ -181,6 +181,7 @@ def round_trip(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Segments of all documents, each with what its row in the files holds."""
     segments = pack(docs, new_folder(spark, "packed"))
     rows = read_rows(segments).withColumnRenamed("ids_crc32", "row_crc32")
-    return segments.join(rows, ["file", "row"]).selectExpr(
+    # Spark takes a mapped frame to be as small as its input; these rows grow with the documents.
+    return segments.join(rows.hint("merge"), ["file", "row"]).selectExpr(
         "doc_id", "start", "length", "substring_index(file, '/', -1) AS file", "row", "offset", "ids_crc32", "n_tokens",
         "n_segments", "n_resets", "row_crc32")
