@@ -19,18 +19,18 @@ _ALL = r"(?i)^all\s+(categor|product)"
 _DIGITS = r"^\d+$"
 
 
-def clean_cells(cells: DataFrame) -> DataFrame:
-    """Squeezed cells; blank ones, the spans of merged cells, are dropped."""
-    return cells.filter(F.col("cell").rlike(r"[^\s\xa0]")).withColumn("cell", squeeze(F.col("cell")))
-
-
 def table_rows(cells: DataFrame) -> DataFrame:
-    """One row per table row: its non-blank cells and their columns, in column
-    order. Written to the shared folder, as finding headers, numbering and
-    reading data all start from it."""
-    ordered = F.array_sort(F.collect_list(F.struct("col_no", "cell")))
-    grouped = clean_cells(cells).groupBy(*TABLE, "row_no").agg(ordered.alias("_c"))
-    return materialize(grouped.select(
+    """One row per table row: its non-blank cells (blank ones are the spans of
+    merged cells) and their columns, in column order. Written to the shared
+    folder, as finding headers, numbering and reading data all start from it.
+
+    A cell is squeezed once, before the shuffle, and blank ones become null
+    there, which a collected list leaves out.
+    """
+    squeezed = F.nullif(squeeze(F.col("cell")), F.lit(""))
+    ordered = F.array_sort(F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("col_no", "cell"))))
+    grouped = cells.select(*TABLE, "row_no", "col_no", squeezed.alias("cell")).groupBy(*TABLE, "row_no").agg(ordered.alias("_c"))
+    return materialize(grouped.filter(F.size("_c") > 0).select(
         *TABLE, "row_no", F.transform("_c", lambda x: x["cell"]).alias("values"),
         F.transform("_c", lambda x: x["col_no"]).alias("cols")), "table-rows")
 
