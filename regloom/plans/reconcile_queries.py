@@ -31,19 +31,27 @@ def latest_copy(spark, sf):
                        F.col("l_shipdate").cast("date").cast("string").alias("shipped"))
 
 
+# Orders before 1996 get numbers that no line has: both sides keep all their rows.
+SHIFTED_SQL = "CASE WHEN o_orderdate >= '1996-01-01' THEN o_orderkey ELSE o_orderkey + 50000000 END"
+
+
+def _shifted_orders(spark, sf):
+    key = F.col("o_orderkey")
+    return table(spark, sf, "orders").withColumn("o_orderkey", F.when(F.col("o_orderdate") >= "1996-01-01", key).otherwise(key + 50_000_000))
+
+
 def _two_sides(spark, sf):
-    orders = (table(spark, sf, "orders").filter("o_orderdate >= '1996-01-01'")
-              .select(F.col("o_orderkey").alias("certificate_number"), "o_orderstatus"))
+    orders = _shifted_orders(spark, sf).select(F.col("o_orderkey").alias("certificate_number"), "o_orderstatus")
     lines = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("certificate_number"))
              .agg(F.count("*").alias("n_lines")))
     return reconcile.match_sources(orders, lines, left_name="list", right_name="pages")
 
 
-MATCH_SQL = """
+MATCH_SQL = f"""
 matched AS (
   SELECT COALESCE(o_orderkey, l_orderkey) AS certificate_number, o_orderstatus, n_lines,
          CASE WHEN o_orderkey IS NULL THEN 'pages_only' WHEN l_orderkey IS NULL THEN 'list_only' ELSE 'both' END AS outcome
-  FROM (SELECT * FROM orders WHERE o_orderdate >= '1996-01-01')
+  FROM (SELECT {SHIFTED_SQL} AS o_orderkey, o_orderstatus FROM orders)
   FULL JOIN (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey)"""
 
 
@@ -62,7 +70,7 @@ def match_outcomes(spark, sf):
 
 
 KEYS_SQL = """
-boot AS (SELECT 'P' || p_partkey AS cert, upper(p_name || p_brand) AS raw_name FROM part WHERE p_size <= 25),
+boot AS (SELECT CASE WHEN p_size <= 25 THEN 'P' ELSE 'Q' END || p_partkey AS cert, upper(p_name || p_brand) AS raw_name FROM part),
 names AS (SELECT regexp_replace(raw_name, '[^A-Z0-9]+', '', 'g') AS nm, min(cert) AS by_name
           FROM boot {claimed} GROUP BY 1 HAVING count(DISTINCT cert) = 1),
 pages_side AS (SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN NULL WHEN 'ECONOMY' THEN 'X' || p_partkey ELSE 'P' || p_partkey END AS cert,
@@ -76,8 +84,8 @@ FROM pages_side p LEFT JOIN boot b ON p.cert = b.cert LEFT JOIN names USING (nm)
 def _keys(spark, sf, exclude):
     part = table(spark, sf, "part")
     number = F.concat(F.lit("P"), F.col("p_partkey"))
-    boot = part.filter("p_size <= 25").select(
-        number.alias("certificate_number"),
+    boot = part.select(
+        F.concat(F.when(F.col("p_size") <= 25, "P").otherwise("Q"), F.col("p_partkey")).alias("certificate_number"),
         F.concat_ws(" ", "p_name", "p_brand").alias("commercial_name"))
     pages = part.select("p_partkey", F.when(F.col("p_type") == "PROMO", None)
                         .when(F.col("p_type") == "ECONOMY", F.concat(F.lit("X"), F.col("p_partkey")))
@@ -117,11 +125,11 @@ def _number(key):
 
 
 def list_records(spark, sf):
-    """Bootstrap records: the orders from 1996 on."""
+    """Bootstrap records: the orders, those before 1996 under other numbers."""
     day = F.date_format("o_orderdate", "dd.MM.yyyy")
     later = F.date_format(F.col("o_orderdate").cast("date") + F.expr("INTERVAL 1 YEAR"), "dd/MM/yyyy")
     none = F.lit(None).cast("string")
-    return table(spark, sf, "orders").filter("o_orderdate >= '1996-01-01'").select(
+    return _shifted_orders(spark, sf).select(
         _number("o_orderkey").alias("certificate_number"), F.lit("NF-VALIDATION").alias("source"),
         F.concat(F.lit("Order "), F.col("o_orderkey")).alias("commercial_name"),
         none.alias("aim_of_method_raw"),
@@ -173,7 +181,7 @@ def page_records(spark, sf):
 
 
 REGISTRY_SQL = f"""
-boot AS (SELECT *, {DIGITS.format('o_orderkey')} AS d FROM orders WHERE o_orderdate >= '1996-01-01'),
+boot AS (SELECT *, {DIGITS.format('o_orderkey')} AS d FROM (SELECT * REPLACE ({SHIFTED_SQL} AS o_orderkey) FROM orders)),
 pg AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC,
          l_suppkey DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem),
 page AS (SELECT *, {DIGITS.format('l_orderkey')} AS pd FROM pg WHERE rn = 1),
@@ -237,21 +245,24 @@ def certificate_numbers(spark, sf):
 # --- Snapshots ---------------------------------------------------------------
 
 @query("carried_forward", """
-WITH new AS (SELECT 'c' || c_custkey AS id, c_name, CAST(NULL AS VARCHAR) AS performance,
-                    CASE WHEN c_acctbal > 5000 THEN 'new lab' END AS lab FROM customer WHERE c_mktsegment <> 'BUILDING'),
-prev AS (SELECT 'c' || c_custkey AS id, lower(c_name) AS c_name, CASE WHEN c_acctbal > 0 THEN 'mined ' || c_nationkey END AS performance,
-                'old lab' AS lab FROM customer WHERE c_mktsegment <> 'MACHINERY')
+WITH new AS (SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'n' ELSE 'c' END || c_custkey AS id, c_name, CAST(NULL AS VARCHAR) AS performance,
+                    CASE WHEN c_acctbal > 5000 THEN 'new lab' END AS lab FROM customer),
+prev AS (SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'p' ELSE 'c' END || c_custkey AS id, lower(c_name) AS c_name,
+                CASE WHEN c_acctbal > 0 THEN 'mined ' || c_nationkey END AS performance, 'old lab' AS lab FROM customer)
 SELECT COALESCE(n.id, p.id) AS id, COALESCE(n.c_name, p.c_name) AS c_name,
        COALESCE(n.performance, p.performance) AS performance, COALESCE(n.lab, p.lab) AS lab
 FROM new n FULL JOIN prev p ON n.id = p.id""")
 def carried_forward(spark, sf):
     c = table(spark, sf, "customer")
-    key = F.concat(F.lit("c"), F.col("c_custkey")).alias("id")
-    new = c.filter("c_mktsegment <> 'BUILDING'").select(
-        key, "c_name", F.lit(None).cast("string").alias("performance"),
+
+    def key(segment: str, other: str):
+        return F.concat(F.when(F.col("c_mktsegment") == segment, other).otherwise("c"), F.col("c_custkey")).alias("id")
+
+    new = c.select(
+        key("BUILDING", "n"), "c_name", F.lit(None).cast("string").alias("performance"),
         F.when(F.col("c_acctbal") > 5000, "new lab").alias("lab"))
-    prev = c.filter("c_mktsegment <> 'MACHINERY'").select(
-        key, F.lower("c_name").alias("c_name"),
+    prev = c.select(
+        key("MACHINERY", "p"), F.lower("c_name").alias("c_name"),
         F.when(F.col("c_acctbal") > 0, F.concat(F.lit("mined "), F.col("c_nationkey")))
         .alias("performance"), F.lit("old lab").alias("lab"))
     return snapshot.carry_forward(new, prev, ["performance", "lab"])
@@ -363,10 +374,9 @@ def merged_performance(spark, sf):
     from .. import schemas
     records = canonical.from_list_rows(list_rows(spark, sf), TODAY)
     n = F.col("n")
-    mined = (table(spark, sf, "lineitem")
-             .filter("l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity > 45")
-             .groupBy("l_partkey").agg(F.count("*").alias("n")).select(
-        F.concat(F.lit("2020LR"), F.col("l_partkey")).alias("certificate_number"),
+    mined = (table(spark, sf, "lineitem").groupBy("l_partkey").agg(
+        F.count_if((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_quantity") > 45)).alias("n")).select(
+        F.concat(F.when(n > 0, "2020LR").otherwise("unknown "), F.col("l_partkey")).alias("certificate_number"),
         F.struct(F.lit("quantitative").alias("method_nature"),
                  F.lit(None).cast(schemas.PERFORMANCE["quantitative"].dataType).alias("quantitative"),
                  F.lit(None).cast(schemas.PERFORMANCE["qualitative"].dataType).alias("qualitative"))
