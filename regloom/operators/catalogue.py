@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import vocab
 from ..functions import classify, values
 from ..functions.text import fold_key, present
+from ..session import union
 
 FACETS = {"organisms": "organism", "manufacturers": "manufacturer_name",
           "expert_laboratories": "expert_laboratory", "method_categories": "method_category",
@@ -132,9 +133,8 @@ def collapsed_facets(counts: DataFrame, selected: DataFrame | None = None,
     head = (counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= shown)
             .select("facet", "value", "n"))
     if selected is not None:
-        head = head.unionByName(
-            counts.join(selected.select("facet", "value"), ["facet", "value"], "left_semi")
-        ).distinct()
+        head = union(head, counts.join(
+            selected.select("facet", "value"), ["facet", "value"], "left_semi")).distinct()
     sizes = counts.groupBy("facet").agg(F.count(F.lit(1)).alias("_total"))
     seen = head.groupBy("facet").agg(F.count(F.lit(1)).alias("_seen"))
     return (head.join(sizes, "facet").join(seen, "facet")

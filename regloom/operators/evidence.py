@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import vocab
 from ..functions import classify
 from ..functions.text import find, strip
+from ..session import union
 
 
 def opening_pages(pages: DataFrame, n: int | None = vocab.OPENING_PAGES,
@@ -121,7 +122,7 @@ def evidence_lines(pages: DataFrame, hints=vocab.EVIDENCE_HINTS, most: int = 25,
               .filter(~F.coalesce("_any", F.lit(False)))
               .select(doc, F.lit("no_text").alias("kind"), F.lit(0).alias("rank"),
                       F.lit(None).cast("string").alias("line")))
-    return hits.unionByName(heads).unionByName(silent)
+    return union(hits, heads, silent)
 
 
 def search_pages(pages: DataFrame, pattern: str = vocab.TABLE_WORDS, excerpt: int = 400,

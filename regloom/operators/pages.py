@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
-from ..session import materialize
+from ..session import materialize, union
 
 
 def _has_signal(text: Column, low: Column, pattern: str) -> Column:
@@ -105,9 +105,9 @@ def select_pages(scored: DataFrame, budget: int = vocab.PAGE_BUDGET, doc: str =
                          .when(F.col("page") < F.col("last"), F.col("page") + 1))
              .filter(F.col("adds").isNotNull())
              .groupBy("doc").agg(F.max_by("adds", F.struct("score", "page")).alias("page")))
-    chosen = kept.select("doc", F.explode_outer("keep").alias("page")).unionByName(extra)
+    chosen = union(kept.select("doc", F.explode_outer("keep").alias("page")), extra)
     everything = s.join(whole, "doc", "left_semi").select("doc", "page")
-    return everything.unionByName(chosen).select(
+    return union(everything, chosen).select(
         F.col("doc").alias(doc), F.col("page").alias(page))
 
 

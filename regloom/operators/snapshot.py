@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import blank_to_null
+from ..session import union
 
 
 def carry_forward(new: DataFrame, previous: DataFrame, mined: list[str], key: str = "id",
@@ -24,7 +25,7 @@ def carry_forward(new: DataFrame, previous: DataFrame, mined: list[str], key: st
     if not keep_missing:
         return merged
     gone = previous.join(new.select(key), key, "left_anti").select(*new.columns)
-    return merged.unionByName(gone)
+    return union(merged, gone)
 
 
 def preserve_mined_fields(new: DataFrame, previous: DataFrame, keep_missing: bool = True
@@ -52,7 +53,7 @@ def preserve_mined_fields(new: DataFrame, previous: DataFrame, keep_missing: boo
     if not keep_missing:
         return merged
     gone = previous.join(new.select("id"), "id", "left_anti")
-    return merged.unionByName(gone.select(*new.columns))
+    return union(merged, gone.select(*new.columns))
 
 
 def append_once(notes: Column, addition: Column) -> Column:
@@ -116,8 +117,8 @@ def merge_performance(records: DataFrame, mined: DataFrame, order: list[str] = (
                   "notes", append_once(tr["notes"], F.col("_m.n")))).otherwise(tr))
               .select(*records.columns))
     known = records.select(F.col("source_certificate_number").alias("certificate_number")).distinct()
-    orphans = (usable.join(known, "certificate_number", "left_anti")
-               .withColumn("reason", F.lit("no record with this number"))
-               .unionByName(mined.filter(F.col("certificate_number").isNull())
-                            .withColumn("reason", F.lit("no number on the cover page"))))
+    orphans = union(usable.join(known, "certificate_number", "left_anti")
+                    .withColumn("reason", F.lit("no record with this number")),
+                    mined.filter(F.col("certificate_number").isNull())
+                    .withColumn("reason", F.lit("no number on the cover page")))
     return merged, orphans

@@ -1,6 +1,7 @@
 """Session settings and the shared checkpoint folder."""
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
@@ -40,6 +41,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def union(*frames: DataFrame) -> DataFrame:
+    """Rows of all frames, by column name, safe in any session (see ``prepare``)."""
+    prepare(frames[0].sparkSession)
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

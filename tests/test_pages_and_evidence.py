@@ -75,3 +75,17 @@ def test_evidence_lines_kinds(spark):
     assert got[("b", "opening")] == ["one", "two"]
     assert got[("c", "no_text")] == [None]
     assert len(got[("d", "hint")]) == 25
+
+
+def test_unions_do_not_lean_on_the_session(spark):
+    """Results are whole in a session that zips unions of equal partitioning."""
+    scored = spark.createDataFrame([(d, p, (d * p) % 5) for d in range(30) for p in range(3 + 4 * (d % 7))], "doc_id int, page_no int, score int")
+    texts = spark.createDataFrame([(d, p, f"line {d}\nby laboratory {p}" if d % 3 else "") for d in range(20) for p in range(4)],
+                                  "doc_id int, page_no int, text string")
+
+    def both():
+        return (sorted(map(tuple, pages.select_pages(scored, 6).collect())), sorted(map(str, evidence.evidence_lines(texts).collect())))
+
+    want = both()
+    spark.conf.set("spark.sql.unionOutputPartitioning", "true")
+    assert both() == want and spark.conf.get("spark.sql.unionOutputPartitioning") == "false"

@@ -36,6 +36,15 @@ def test_plans_stay_on_the_jvm_without_products(spark, sf, name):
         assert bad not in text, bad
 
 
+def test_costly_plans_have_few_exchanges(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, most in {"strain_rows": 3, "calibration_agreement": 7, "breakdown_flags": 3, "tested_categories": 8}.items():
+            assert plan(entry.queries()[name](spark, sf)).count("Exchange ") <= most, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf):
     text = plan(browse.filter_entries(
         spark.read.parquet(f"{sf}/orders.parquet"), {"statuses": ["F"]}, search="",
