@@ -129,7 +129,7 @@ def pack(docs: DataFrame, folder: str, vocabulary: str | None = None, row: int =
 
         for batch in batches:
             doc_type = batch.schema.field("doc_id").type
-            for part in at.slices(batch, most=4 << 20):
+            for part in at.slices(batch, most=10 << 20):
                 bounds, ids = coder.ids(at.strings(part.column("text")))
                 ends = bounds.tolist()
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), ends, ends[1:]):

@@ -140,7 +140,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, with_
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for part in at.slices(batch):
+            for part in at.slices(batch, most=10 << 20):
                 bounds, ids = coder.ids(at.strings(part.column("text")))
                 ends = bounds.tolist()
                 for doc, a, b in zip(part.column("doc_id").to_pylist(), ends, ends[1:]):

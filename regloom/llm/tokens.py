@@ -88,12 +88,15 @@ class WordCoder:
         return out
 
     def _places(self, words: pa.Array) -> np.ndarray:
-        """Row of each word in the tables of known words; unknown ones are encoded."""
+        """Row of each of some distinct words in the tables of known words;
+        unknown ones are encoded and become the next rows."""
         if len(self.known) + len(words) > KEPT_WORDS:
             self.forget()
-        at_ = pc.index_in(words, self.known)
-        if at_.null_count:
-            new = words.filter(at_.is_null())
+        found = pc.fill_null(pc.index_in(words, self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = found < 0
+        if missing.any():
+            new = words.filter(pa.array(missing))
+            found[missing] = len(self.known) + np.arange(len(new))
             coded = self._encode(new)
             sizes = np.array([len(c) for c in coded], np.int64)
             first = len(self.flat)
@@ -101,8 +104,7 @@ class WordCoder:
             self.sizes = np.concatenate((self.sizes, sizes))
             self.flat = np.concatenate([self.flat, *[np.asarray(c, self.dtype) for c in coded]])
             self.known = pa.concat_arrays([self.known, new])
-            at_ = pc.index_in(words, self.known)
-        return at_.to_numpy(zero_copy_only=False)
+        return found
 
     def ids(self, texts: pa.Array, end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """Bounds of each text and all ids, ``end`` appended to each text."""
