@@ -1,7 +1,7 @@
 """Report pages, list documents and certificate texts."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import classify
 from ..operators import blocks, evidence, pages, report, sections
@@ -104,6 +104,13 @@ LAB_RULES = [("The Laboratory", ["thhaea"]), ("Ouan Institute", ["ouan"]), ("Er
 LAB_SENTENCES = [r"\bis ([A-Z][a-z]{2,20} [a-z]{2,20})", r"(?:^|\n)([A-Z][a-zé]{2,12} [a-z]+)"]
 
 
+def _line_pages(spark, sf):
+    """The documents on pages of three lines."""
+    lines = F.split("text", "\n")
+    cut = F.transform(F.sequence(F.lit(1), F.size(lines), F.lit(3)), lambda i: F.array_join(F.slice(lines, i, 3), "\n"))
+    return inputs.documents(spark, sf).select("doc_id", F.posexplode(cut).alias("page_no", "text"))
+
+
 @query("laboratories_in_text", r"""
 WITH c AS (SELECT doc_id, lower(text) AS low,
   nullif(regexp_extract(text, '\bis ([A-Z][a-z]{2,20} [a-z]{2,20})', 1), '') AS c1,
@@ -117,8 +124,7 @@ l AS (SELECT *, CASE WHEN c1 IS NULL OR c1 = '' THEN NULL WHEN contains(f1, 'thh
      WHEN contains(f2, 'erhea') OR contains(f2, 'ering') THEN 'Er House' WHEN length(c2) < 3 OR lower(c2) IN ('for','the','this','these','all','both','each','one','two','and','with','les','une','des','study','report') THEN NULL ELSE c2 END AS l2 FROM f)
 SELECT doc_id, CASE WHEN contains(low, 'thhaea') THEN 'The Laboratory' WHEN contains(low, 'onwhor') THEN 'Onwhor' ELSE COALESCE(l1, l2) END AS expert_laboratory FROM l""")
 def laboratories_in_text(spark, sf):
-    docs = inputs.documents(spark, sf).withColumn("page_no", F.lit(0))
-    return evidence.find_expert_lab(docs, LAB_TOKENS, LAB_SENTENCES, LAB_RULES)
+    return evidence.find_expert_lab(_line_pages(spark, sf), LAB_TOKENS, LAB_SENTENCES, LAB_RULES)
 
 
 @query("applied_evidence", """
@@ -160,8 +166,7 @@ SELECT doc_id, 'hint' AS kind, rank, substr(line, 1, 200) AS line FROM hits WHER
 UNION ALL SELECT doc_id, 'opening', rank, substr(line, 1, 200) FROM heads WHERE rank <= 15
 UNION ALL SELECT doc_id, 'no_text', 0, NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM full_lines)""")
 def evidence_lines(spark, sf):
-    docs = inputs.documents(spark, sf).withColumn("page_no", F.lit(0))
-    out = evidence.evidence_lines(docs, HINTS)
+    out = evidence.evidence_lines(_line_pages(spark, sf), HINTS)
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -197,7 +202,8 @@ NUMBER_SQL = ("'ORD ' || substr(k, 1, 2) || '/' || substr(k, 3, 2) || '-' || sub
 
 
 def list_pages(spark, sf):
-    """One page per customer; orders become certificate blocks of text."""
+    """A customer's orders become certificate blocks, three to a page. The
+    list's date stands on the first page, the company on each."""
     k = F.lpad(F.col("o_orderkey").cast("string"), 8, "0")
     number = F.concat(F.lit("ORD "), F.substring(k, 1, 2), F.lit("/"), F.substring(k, 3, 2), F.lit("-"),
                       F.substring(k, 5, 2), F.lit("/"), F.substring(k, 7, 2))
@@ -210,11 +216,13 @@ def list_pages(spark, sf):
                      F.lit(" then "), d2, F.lit("\n"))
     body = F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("o_orderkey", block.alias("b")))), lambda x: x["b"]), "")
-    orders = table(spark, sf, "orders").groupBy("o_custkey").agg(body.alias("body"),
-                                                               F.min("o_orderdate").alias("d0"))
+    per = Window.partitionBy("o_custkey")
+    placed = (table(spark, sf, "orders").withColumn("d0", F.min("o_orderdate").over(per))
+              .withColumn("page_no", F.floor((F.row_number().over(per.orderBy("o_orderkey")) - 1) / 3).cast("int")))
+    orders = placed.groupBy("o_custkey", "page_no", "d0").agg(body.alias("body"))
     return orders.select(
-        F.col("o_custkey").alias("doc_id"), F.lit(0).alias("page_no"),
-        F.concat(F.lit("List valid on : "), F.date_format("d0", "dd.MM.yyyy"),
+        F.col("o_custkey").alias("doc_id"), "page_no",
+        F.concat(F.when(F.col("page_no") == 0, F.concat(F.lit("List valid on :\u00a0"), F.date_format("d0", "dd.MM.yyyy"))).otherwise(""),
                  F.lit("\nCompany holder of the certification  Customer "), F.col("o_custkey"),
                  F.lit("\n  Site one\nN° certificat\n"), F.col("body")).alias("text"))
 
