@@ -37,16 +37,31 @@ def _folds() -> tuple[str, str, dict[str, str]]:
 
 
 _PLAIN, _FOLDED, _LONGER = _folds()
-_LONG_CLASS = "[" + "".join(_LONGER) + "]"
+
+
+def _ranges(chars) -> str:
+    """A short character class: runs of neighbours, and all beyond U+024F as one."""
+    codes = sorted(ord(c) for c in chars if ord(c) < 0x250)
+    runs: list[list[int]] = []
+    for code in codes:
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]|[^\\x00-\\x{24f}]"
+
+
+_MAY_BE_LONG = _ranges(_LONGER)
 
 
 def fold_key(c: Column) -> Column:
-    """Accent-, case- and punctuation-free comparison key. The few characters
-    that stand for several letters are looked up one by one, in texts that have any."""
+    """Accent-, case- and punctuation-free comparison key. Plain ASCII needs no
+    table; the few characters that stand for several letters are looked up one
+    by one, in texts that may have any."""
     table = F.from_json(F.lit(json.dumps(_LONGER)), "map<string,string>")
     spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    c = F.when(c.rlike(_LONG_CLASS), spelled).otherwise(c)
-    return F.regexp_replace(F.lower(F.translate(c, _PLAIN, _FOLDED)), "[^a-z0-9]+", "")
+    folded = F.translate(F.when(c.rlike(_MAY_BE_LONG), spelled).otherwise(c), _PLAIN, _FOLDED)
+    return F.regexp_replace(F.lower(F.when(c.rlike(r"[^\x00-\x7f]"), folded).otherwise(c)), "[^a-z0-9]+", "")
 
 
 def strip(c: Column) -> Column:

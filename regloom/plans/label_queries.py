@@ -18,14 +18,15 @@ NOUN_SQL = "split_part(p_name, ' ', 2)"
 
 
 def _labelled(spark, sf, raw: dict[str, str], label, key=None):
-    """Label every order line by its part's noun and count."""
+    """Label every order line by its part's noun and count. The rules run once
+    per distinct raw value; rows are counted per value first."""
     rows = table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         phrase(noun(F.col("p_name")), raw).alias("raw"))
+    counted = rows.groupBy("raw").agg(F.count("*").alias("_n"))
     if key is not None:
-        rows = rows.withColumn("key", key(F.col("raw")))
-    return (rows.select(label(F.col("raw")).alias("label")).groupBy("label")
-            .agg(F.count("*").alias("n")))
+        counted = counted.withColumn("key", key(F.col("raw")))
+    return counted.select(label(F.col("raw")).alias("label"), "_n").groupBy("label").agg(F.sum("_n").alias("n"))
 
 
 def _label_sql(expected: dict[str, str | None]) -> str:
@@ -97,9 +98,10 @@ def method_technology(spark, sf):
     rows = table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         stated.alias("stated"), F.lower(name).alias("name"), evidence.alias("evidence"))
-    return (rows.select(classify.technology(F.col("stated"), F.col("name"), F.col("evidence"),
-                                            key=F.col("name")).alias("label"))
-            .groupBy("label").agg(F.count("*").alias("n")))
+    counted = rows.groupBy("stated", "name", "evidence").agg(F.count("*").alias("_n"))
+    return (counted.select(classify.technology(F.col("stated"), F.col("name"), F.col("evidence"),
+                                               key=F.col("name")).alias("label"), "_n")
+            .groupBy("label").agg(F.sum("_n").alias("n")))
 
 
 AIMS = {
@@ -121,9 +123,10 @@ def aim_of_method(spark, sf):
     rows = table(spark, sf, "lineitem").join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         phrase(noun(F.col("p_name")), {k: v[0] for k, v in AIMS.items()}).alias("aim"))
-    return (rows.select(classify.target_of_list(F.col("aim")).alias("target"),
-                        classify.action(F.col("aim")).alias("action"))
-            .groupBy("target", "action").agg(F.count("*").alias("n")))
+    counted = rows.groupBy("aim").agg(F.count("*").alias("_n"))
+    return (counted.select(classify.target_of_list(F.col("aim")).alias("target"),
+                           classify.action(F.col("aim")).alias("action"), "_n")
+            .groupBy("target", "action").agg(F.sum("_n").alias("n")))
 
 
 TARGETS = {"anvil": ("Shiga Toxin producers", "Shiga toxin-producing E. coli (STEC)"),
