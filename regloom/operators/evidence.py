@@ -108,21 +108,20 @@ def evidence_lines(pages: DataFrame, hints=vocab.EVIDENCE_HINTS, most: int = 25,
     for hint in hints:
         hit = F.contains(low, F.lit(hint))
         test = hit if test is None else test | hit
-    order = Window.partitionBy(doc).orderBy(page, "line_no")
-
-    def leading(frame: DataFrame, n: int, kind: str) -> DataFrame:
-        return (frame.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-                .select(doc, F.lit(kind).alias("kind"), "rank",
-                        F.substring("line", 1, width).alias("line")))
-
-    hits = leading(lines.filter(test), most, "hint")
-    with_hits = hits.filter("rank = 1").select(doc)
-    heads = leading(lines, opening, "opening").join(with_hits, doc, "left_anti")
+    # Lines with and without a hint are ranked apart: where no line has one, the
+    # second ranking is that of all lines. One pass serves both kinds.
+    order = Window.partitionBy(doc, "hit").orderBy(page, "line_no")
+    ranked = (lines.withColumn("hit", F.coalesce(test, F.lit(False))).withColumn("rank", F.row_number().over(order))
+              .filter(F.col("rank") <= max(most, opening))
+              .withColumn("_any", F.max("hit").over(Window.partitionBy(doc))))
+    shown = (ranked.filter((F.col("hit") & (F.col("rank") <= most)) | (~F.col("_any") & (F.col("rank") <= opening)))
+             .select(doc, F.when(F.col("hit"), "hint").otherwise("opening").alias("kind"), "rank",
+                     F.substring("line", 1, width).alias("line")))
     silent = (pages.groupBy(doc).agg(F.max(F.col(text).rlike(r"(?U)\S")).alias("_any"))
               .filter(~F.coalesce("_any", F.lit(False)))
               .select(doc, F.lit("no_text").alias("kind"), F.lit(0).alias("rank"),
                       F.lit(None).cast("string").alias("line")))
-    return union(hits, heads, silent)
+    return union(shown, silent)
 
 
 def search_pages(pages: DataFrame, pattern: str = vocab.TABLE_WORDS, excerpt: int = 400,
