@@ -166,6 +166,23 @@ def test_recall_and_scores(spark, sf):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("lengths", ["unit", "unequal"])
+def test_recall_in_production_blocks(spark, lengths):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 48))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    if lengths == "unequal":
+        x *= rng.lognormal(0, 0.7, (len(x), 1))
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(10_000 + i, [1e6 * i, 1.0]) for i in range(3)]
+    got = projected_nn.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).toPandas()
+    recall = []
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len(set(np.argsort(-score)[:20]) & set(got[got.query_id == q].vec_id)) / 20)
+    assert np.mean(recall) >= 0.9
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
