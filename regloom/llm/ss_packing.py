@@ -5,9 +5,11 @@ document's full windows are cut off first, and the rest is placed whole into
 the fill level (or a new window) for which the sum over levels of the squared
 number of windows at that level is smallest afterwards. A level array keeps
 these numbers, so a placement is one vector operation. Windows that reach
-``size`` are written. Those still open at the end of a partition, or when
-``OPEN`` of them are open, are joined, cut into full windows, and what remains
-into windows of powers of two, which need no padding.
+``size`` are written. Of those still open at the end of a partition, or when
+``OPEN`` of them are open, the fullest, as many as the tokens can fill, stay as
+they are; the pieces of the others fill their room and then windows of powers of
+two, which need no padding: the largest piece that fits, and a cut only where
+none does.
 
 Each partition of the input packs its own documents where they are read:
 nothing is shuffled, memory holds one slice of text and the open windows, and a
@@ -19,6 +21,7 @@ ignored; repeated rows are packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,26 +87,31 @@ class Packer:
 
     def flush(self) -> None:
         """Close all open windows without padding."""
-        pieces = [p for level in sorted(self.windows) for w in self.windows[level] for p in w]
-        left = sum(len(p[2]) for p in pieces)
-        window, room, target = [], self._next(left), 0
-        target = room
-        for row, start, ids in pieces:
-            while len(ids):
-                part, ids = ids[:room], ids[room:]
-                window.append((row, start, part))
-                start += len(part)
-                room -= len(part)
-                if not room:
-                    self.done.append(window)
-                    left -= target
-                    window, target = [], self._next(left)
-                    room = target
+        held = [w for level in sorted(self.windows, reverse=True) for w in self.windows[level]]
+        left = sum(len(p[2]) for w in held for p in w)
+        full, rest = divmod(left, self.size)  # every open window has room: more are open than can be filled
+        pool = sorted((p for w in held[full:] for p in w), key=self._length)
+        targets = [self.size] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+        for k, target in enumerate(targets):
+            window = held[k] if k < full else []
+            room = target - sum(len(p[2]) for p in window)
+            while room:
+                fits = bisect_right(pool, room, key=self._length)
+                if fits:
+                    piece = pool.pop(fits - 1)
+                else:
+                    row, start, ids = pool.pop()
+                    piece = row, start, ids[:room]
+                    insort(pool, (row, start + room, ids[room:]), key=self._length)
+                window.append(piece)
+                room -= len(piece[2])
+            self.done.append(window)
         self.windows, self.open = {}, 0
         self.counts[:] = 0
 
-    def _next(self, left: int) -> int:
-        return self.size if left >= self.size else 1 << (left.bit_length() - 1) if left else 0
+    @staticmethod
+    def _length(piece: tuple) -> int:
+        return len(piece[2])
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, with_ids: bool = False) -> DataFrame:

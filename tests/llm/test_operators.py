@@ -304,6 +304,21 @@ def test_open_windows_are_bounded():
     assert sum(len(p[2]) for w in packer.done for p in w) == 4000
 
 
+def test_flush_keeps_the_fullest_windows():
+    rng = np.random.default_rng(9)
+    packer = ss_packing.Packer(64)
+    for i, n in enumerate(rng.integers(20, 60, 300).tolist()):
+        packer.document(i, np.full(n, i, np.uint16))
+    held = [[(p[0], len(p[2])) for p in w] for level in sorted(packer.windows, reverse=True) for w in packer.windows[level]]
+    packer.done = []
+    packer.flush()
+    done = [[(p[0], len(p[2])) for p in w] for w in packer.done]
+    tokens_left = sum(n for w in held for _, n in w)
+    assert tokens_left // 64 > 10 and sum(n for w in done for _, n in w) == tokens_left
+    assert [sum(n for _, n in w) for w in done][:tokens_left // 64] == [64] * (tokens_left // 64)
+    assert all(any(set(w) <= set(d) for d in done) for w in held[:tokens_left // 64])
+
+
 def test_best_fit_equals_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(100):
