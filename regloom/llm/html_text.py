@@ -29,8 +29,8 @@ RAW = set("script style textarea title noscript iframe xmp noembed noframes".spl
 UNSEEN = set("head script style template noscript iframe object title meta link datalist noembed noframes".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
              "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option optgroup p pre search section "
-             "select summary table ul".split())
-SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure".split())
+             "select summary table ul xmp".split())
+SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre xmp blockquote table figure".split())
 #: Tags that close an open p.
 CLOSE_P = BLOCKS - set("body dd dt html legend li option optgroup select".split())
 #: Start tag: open elements that it closes, and those at which the search stops.
@@ -41,9 +41,11 @@ IMPLIED = {
     "th": ({"td", "th"}, {"tr", "table"}),
     **{x: ({"tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}) for x in ("thead", "tbody", "tfoot")}}
 SCOPE = set("table td th caption html template object button marquee applet".split())
+#: A quote opens a quoted run only behind "=", as in a browser.
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                 r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+                 r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)"
+                 r"(?P<rest>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)>", re.S)
+ATTRIBUTE = re.compile(r"([^\s>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -117,6 +119,8 @@ def build(page: str) -> Node:
             body = page[at:end.start() if end else len(page)]
             if name == "textarea":
                 node.parts.append(html.unescape(body))
+            elif name == "xmp":
+                node.parts.append(body)
             at = end.end() if end else len(page)
         elif name not in VOID:
             stack.append(node)
@@ -220,7 +224,7 @@ def render(root: Node) -> str:
                 out.lead = mark
             elif name == "dd":
                 out.indent += "  "
-            elif name == "pre":
+            elif name in ("pre", "xmp"):
                 pre += 1
             elif name == "table":
                 holders.append((out, []))
@@ -260,7 +264,7 @@ def render(root: Node) -> str:
             elif name == "dd":
                 out.end()
                 out.indent = out.indent[:-2]
-            elif name == "pre":
+            elif name in ("pre", "xmp"):
                 pre -= 1
                 out.end(kept=True)
             if name in BLOCKS or name in ("tr", "caption"):

@@ -443,6 +443,14 @@ def test_layout():
     assert html_text.render(html_text.build(PAGE)) == TEXT
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<a title='it's'>Hello</a> <p>don't</p>", "Hello\n\ndon't"), ("<p it's hidden'>one</p><p>isn't</p>", "one\n\nisn't"),
+    ("<a title = \"x>y\" rel='a>b'>link</a>", "link"), ("<a href=it's>one</a> two's", "one two's"),
+    ("a<xmp>  <b>x</b> &amp;\n y</xmp>b", "a\n\n  <b>x</b> &amp;\n y\n\nb")])
+def test_stray_quotes_and_xmp(page, text):
+    assert html_text.render(html_text.build(page)) == text
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "</", "<!--", "<a href='x", "</td></table>", "<script>", "&#x110000;"])
 def test_broken_markup(page):
     html_text.render(html_text.build(page))
