@@ -24,9 +24,14 @@ documents hold is split by adaptive joins.
 
 Defined cases: texts without words, and null texts, have no shingles and are
 linked with nothing; a text of fewer than five words has one shingle, all its
-words; rows of one doc_id with different texts are linked each by its text; rows without doc_id are linked with
+words; rows without doc_id are linked with
 nothing; an empty table gives an empty result; other columns are ignored by
 ``clusters`` and carried by ``one_of_each``.
+
+Loss where doc_id is not unique: rows of one doc_id with different texts are one
+node where their texts are the first of their classes, so each also joins what
+the other is linked with; and ``one_of_each`` keeps a single row of a doc_id,
+which one is not defined, so an unlike text of the same doc_id is lost.
 """
 from __future__ import annotations
 
