@@ -41,7 +41,8 @@ STAGES = [("quality_rules", by_rules), ("quality_classifier", by_classifier), ("
           ("mixing", mixed), ("packing", packed)]
 
 #: Robust estimates, training and packing are not expressible in SQL; the tests
-#: hold the stages against brute-force versions.
+#: hold near-dedup, mixing and packing against plain Python on their own input, the
+#: rules and the classifier against labels.
 ORACLE_SQL = None
 
 
