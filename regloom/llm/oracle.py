@@ -43,3 +43,18 @@ d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), l
 g AS (SELECT payload_digest, max(page_id) AS response FROM d GROUP BY 1)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
    CASE WHEN page_id <> response THEN response END AS refers_to FROM d JOIN g USING (payload_digest)"""
+
+FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS s FROM documents),
+h AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda k:
+   CAST('0x' || substr(s, CAST(8 * k + 1 AS INT), 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+        WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+   coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(pre) END AS prefix_chars,
+   CASE WHEN form <> 'plain' THEN len(mid) END AS middle_chars,
+   sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+          ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""

@@ -5,11 +5,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bfd_packing, html_text, mixing, near_dup, oracle, projected_nn, quality_rules, ss_packing, token_counts,
-               warc_zip, weak_classifier)
+from . import (bfd_packing, fill_in_middle, html_text, mixing, near_dup, oracle, projected_nn, quality_rules, secret_lexer,
+               ss_packing, token_alignment, token_counts, warc_zip, weak_classifier)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op4_minhash_near_dup": oracle.NEAR, "op7_zip_warc": oracle.WARC, "op9_source_mixing": oracle.MIX}
+ORACLES: dict[str, str] = {"op4_minhash_near_dup": oracle.NEAR, "op7_zip_warc": oracle.WARC, "op9_source_mixing": oracle.MIX,
+                           "op12_fill_in_middle": oracle.FIM}
 
 
 def _query(fn):
@@ -69,3 +70,18 @@ def op6_section_tokens(spark, sf):
 @_query
 def op3_html_layout(spark, sf):
     return html_text.extract(_table(spark, sf, "pages"))
+
+
+@_query
+def op11_secret_lexer(spark, sf):
+    return secret_lexer.digests(_table(spark, sf, "documents"))
+
+
+@_query
+def op12_fill_in_middle(spark, sf):
+    return fill_in_middle.digests(_table(spark, sf, "documents"))
+
+
+@_query
+def op13_token_alignment(spark, sf):
+    return token_alignment.digests(_table(spark, sf, "documents"))
