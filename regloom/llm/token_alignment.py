@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,8 +43,11 @@ from . import arrow_text as at
 from .staging import materialize
 from .tokens import gather
 
-SLICE = 3 << 20
-KEPT_UNITS = 400_000
+SLICE = 1 << 20
+KEPT_UNITS = 200_000
+#: How byte-level vocabularies split texts into words (fixed).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = r"^[\t-\r\x20-\x7e\x{a1}-\x{24f}\x{2010}-\x{2027}\x{20ac}]*$"
 #: White space that A's pattern knows beside the six ASCII spaces.
 OTHER_SPACE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 VISIBLE = np.zeros(256, bool)
@@ -67,22 +72,30 @@ class Side:
     """Ids of units by one tokenizer, remembered for the life of a Python worker."""
 
     def __init__(self, entries: list[bytes], encode):
-        self.entries, self.encode = entries, encode
+        self.encode = encode
         self.width = np.array([len(e) for e in entries], np.int64)
+        self.first = np.cumsum(self.width) - self.width
+        self.letters = np.frombuffer(b"".join(entries), np.uint8)
         self.forget()
 
     def forget(self) -> None:
         self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, units: list[str]) -> np.ndarray:
+    def add(self, units: pa.Array) -> np.ndarray:
         """Encode new units; whether their tokens give their bytes back."""
         coded = self.encode(units)
-        sizes = np.array([len(c) for c in coded], np.int64)
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.fromiter(itertools.chain.from_iterable(coded), np.int32, int(sizes.sum()))
         self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.flat = np.concatenate([self.flat, *[np.asarray(c, np.int32) for c in coded]])
-        entries = self.entries
-        return np.array([b"".join([entries[i] for i in c]) == u.encode() for c, u in zip(coded, units)], bool)
+        self.flat = np.concatenate((self.flat, flat))
+        body, bounds = at.raw(at.strings(units))
+        width, upto = self.width[flat], np.concatenate(([0], np.cumsum(sizes)))
+        valid = at.per_text(width, upto) == np.diff(bounds)
+        kept = np.repeat(valid, sizes)
+        same = self.letters[gather(self.first[flat[kept]], width[kept])] == body[np.repeat(valid, np.diff(bounds))]
+        valid[valid] = at.per_text(~same, np.concatenate(([0], np.cumsum(np.diff(bounds)[valid])))) == 0
+        return valid
 
     def tokens(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive units, and how many each unit has."""
@@ -90,6 +103,50 @@ class Side:
         return self.flat[gather(self.starts[units], sizes)], sizes
 
 
+def byte_coder(path: str):
+    """Entries of a byte-level vocabulary and a function that encodes units.
+
+    Where ids follow the order of merges, units of characters whose classes every
+    Unicode version has alike are coded by ranks, which gives the same ids sooner;
+    all others by the vocabulary's own library."""
+    import tiktoken
+    from tokenizers import Tokenizer
+    exact = Tokenizer.from_file(path)
+    exact.encode_special_tokens = True
+    letters = _byte_letters()
+    special = {i for i, t in exact.get_added_tokens_decoder().items() if t.special}
+    entries = [bytes(letters[c] for c in exact.id_to_token(i)) for i in range(exact.get_vocab_size())]
+    model = json.loads(exact.to_str())
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["model"]["merges"]]
+    ordered = model["normalizer"] is None and all(
+        model["model"]["vocab"].get(a + b) == 256 + k for k, (a, b) in enumerate(merges))
+    by_rank = tiktoken.Encoding("byte-level", pat_str=WORDS, special_tokens={}, mergeable_ranks={
+        e: i for i, e in enumerate(entries) if i not in special}).encode_ordinary if ordered else None
+
+    def encode(units: pa.Array) -> list:
+        listed = units.to_pylist()
+        if by_rank is None:
+            return [e.ids for e in exact.encode_batch_fast(listed, add_special_tokens=False)]
+        plain = pc.match_substring_regex(units, PLAIN).to_numpy(zero_copy_only=False)
+        out = [by_rank(u) if p else None for u, p in zip(listed, plain.tolist())]
+        odd = np.flatnonzero(~plain).tolist()
+        for i, e in zip(odd, exact.encode_batch_fast([listed[i] for i in odd], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    return entries, encode
+
+
+def piece_coder(path: str):
+    """Entries of a piece vocabulary and a function that encodes units, each of
+    which begins with the space that the vocabulary puts itself."""
+    from sentencepiece import SentencePieceProcessor
+    pieces = SentencePieceProcessor(model_file=path)
+    entries = [bytes([int(pieces.id_to_piece(i)[3:5], 16)]) if pieces.is_byte(i) else
+               pieces.id_to_piece(i).replace("▁", " ").encode() for i in range(pieces.get_piece_size())]
+    return entries, lambda units: pieces.encode([u[1:] for u in units.to_pylist()], num_threads=1)
+
+
 @dataclass
 class Aligned:
     """Tokens of a batch of texts; offsets count the bytes of all its valid texts."""
@@ -98,21 +155,14 @@ class Aligned:
     ids: tuple[np.ndarray, np.ndarray]
     ends: tuple[np.ndarray, np.ndarray]
     cuts: np.ndarray  # ends of groups
+    group: tuple[np.ndarray, np.ndarray]
     links: tuple[np.ndarray, np.ndarray]  # overlapping A and B tokens
 
 
 class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
-        from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-        coder, pieces = Tokenizer.from_file(byte_path), SentencePieceProcessor(model_file=piece_path)
-        coder.encode_special_tokens = True
-        letters = _byte_letters()
-        spelled = [bytes(letters[c] for c in coder.id_to_token(i)) for i in range(coder.get_vocab_size())]
-        named = [bytes([int(pieces.id_to_piece(i)[3:5], 16)]) if pieces.is_byte(i) else
-                 pieces.id_to_piece(i).replace("▁", " ").encode() for i in range(pieces.get_piece_size())]
-        self.a = Side(spelled, lambda units: [e.ids for e in coder.encode_batch_fast(units, add_special_tokens=False)])
-        self.b = Side(named, lambda units: pieces.encode([u[1:] for u in units], num_threads=1))
+        self.a, self.b = Side(*byte_coder(byte_path)), Side(*piece_coder(piece_path))
+        self.size_a, self.size_b = len(self.a.width), len(self.b.width)
         self.forget()
 
     def forget(self) -> None:
@@ -142,10 +192,9 @@ class Aligner:
         if missing.any():
             new = words.filter(pa.array(missing))
             place[missing] = len(self.known) + np.arange(len(new))
-            listed = new.to_pylist()
-            self.valid = np.concatenate((self.valid, self.a.add(listed) & self.b.add(listed)))
+            self.valid = np.concatenate((self.valid, self.a.add(new) & self.b.add(new)))
             self.known = pa.concat_arrays([self.known, new])
-        return place[coded.indices.to_numpy(zero_copy_only=False)], np.searchsorted(bounds, first, side="right") - 1
+        return place[coded.indices.to_numpy(zero_copy_only=False)], np.repeat(np.arange(len(sizes)), at.per_text(cut, bounds))
 
     def align(self, texts: pa.Array) -> Aligned:
         """Tokens, groups and links of some texts (none of them null)."""
@@ -166,8 +215,12 @@ class Aligner:
         inside = starts[0][a] < starts[1][b]  # equal starts are in the other direction already
         links = (np.concatenate((under["a"].to_numpy(np.int64), a[inside])),
                  np.concatenate((under["b"].to_numpy(np.int64), b[inside])))
-        cuts = np.intersect1d(ends[0], ends[1], assume_unique=True)
-        return Aligned(len(texts), tuple(doc), tuple(ids), tuple(ends), cuts, links)
+        ending = np.zeros((2, int(ends[0][-1]) + 1 if len(ends[0]) else 1), bool)
+        ending[0, ends[0]] = ending[1, ends[1]] = True
+        both = ending[0] & ending[1]
+        before = np.cumsum(both)  # groups that end at an offset or before it
+        return Aligned(len(texts), tuple(doc), tuple(ids), tuple(ends), np.flatnonzero(both),
+                       tuple(before[e - 1] for e in ends), links)
 
 
 @functools.lru_cache(maxsize=1)
@@ -180,17 +233,20 @@ def _decimals(n: int) -> pa.Array:
     return pc.cast(pa.array(np.arange(n)), pa.string())
 
 
+def _last_tokens(group: np.ndarray) -> np.ndarray:
+    """Place of the last token of each group."""
+    return np.cumsum(np.bincount(group)) - 1 if len(group) else group
+
+
 def group_texts(found: Aligned, size: int) -> list[bytes]:
     """Per text its groups as ``a1,a2|b1;a3|b2,b3``, ids in order; ids are below ``size``."""
-    (ids_a, ids_b), (ends_a, ends_b) = found.ids, found.ends
-    group_a, group_b = (np.searchsorted(found.cuts, e) for e in found.ends)
-    n = len(ids_a) + len(ids_b)
-    place_a = np.arange(len(ids_a)) + np.searchsorted(group_b, group_a, side="left")
-    place_b = np.arange(len(ids_b)) + np.searchsorted(group_a, group_b, side="right")
-    ids, mark = np.empty(n, np.int32), np.zeros(n, np.int8)
+    (ids_a, ids_b), (group_a, group_b) = found.ids, found.group
+    upto_a, upto_b = (np.cumsum(np.bincount(g, minlength=len(found.cuts))) for g in found.group)
+    place_a = np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[group_a]
+    place_b = np.arange(len(ids_b)) + upto_a[group_b]
+    ids, mark = np.empty(len(ids_a) + len(ids_b), np.int32), np.zeros(len(ids_a) + len(ids_b), np.int8)
     ids[place_a], ids[place_b] = ids_a, ids_b
-    mark[place_a[np.searchsorted(ends_a, found.cuts)]] = 1
-    mark[place_b[np.searchsorted(ends_b, found.cuts)]] = 2
+    mark[place_a[upto_a - 1]], mark[place_b[upto_b - 1]] = 1, 2
     parts = pc.binary_join_element_wise(_decimals(size).take(pa.array(ids)), SEPARATORS.take(pa.array(mark)), "")
     body, bounds = at.raw(at.strings(parts))
     upto = np.cumsum(sum(np.bincount(d, minlength=found.n_texts) for d in found.doc))
@@ -209,13 +265,13 @@ def groups(docs: DataFrame, vocabularies: tuple[str, str] | None = None) -> Data
         for batch in batches:
             for part in at.slices(batch, most=SLICE):
                 found = aligner(*paths).align(at.strings(part.column("text")))
-                owner = found.doc[0][np.searchsorted(found.ends[0], found.cuts)]
+                owner = found.doc[0][_last_tokens(found.group[0])]
                 opens = np.concatenate(([True], owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, bool)
                 starts = np.concatenate(([0], found.cuts[:-1])) if len(owner) else found.cuts
                 base = np.repeat(starts[opens], np.diff(np.append(np.flatnonzero(opens), len(owner))))
                 first = np.repeat(np.flatnonzero(opens), np.diff(np.append(np.flatnonzero(opens), len(owner))))
-                lists = [pa.ListArray.from_arrays(np.concatenate(([0], np.searchsorted(e, found.cuts, side="right"))).astype(np.int32),
-                                                  pa.array(i)) for e, i in zip(found.ends, found.ids)]
+                lists = [pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(np.bincount(g, minlength=len(owner))))).astype(np.int32),
+                                                  pa.array(i)) for g, i in zip(found.group, found.ids)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(pa.array(owner)), pa.array(np.arange(len(owner)) - first),
                      pa.array(starts - base), pa.array(found.cuts - base), *lists],
@@ -242,7 +298,7 @@ def aligned(docs: DataFrame, vocabularies: tuple[str, str] | None = None) -> Dat
                 found = both.align(at.strings(part.column("text")))
                 n, count = found.n_texts, lambda x: pa.array(np.bincount(x, minlength=found.n_texts).astype(np.int64))
                 (a, b), owner = found.links, found.doc[0]
-                codes = found.ids[0][a].astype(np.int64) * len(both.b.entries) + found.ids[1][b]
+                codes = found.ids[0][a].astype(np.int64) * both.size_b + found.ids[1][b]
                 pairs, place = np.unique(codes, return_inverse=True)
                 held, times = np.unique(owner[a] * max(len(pairs), 1) + place, return_counts=True)
                 whose, where = np.divmod(held, max(len(pairs), 1))
@@ -252,10 +308,10 @@ def aligned(docs: DataFrame, vocabularies: tuple[str, str] | None = None) -> Dat
                 listed = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.full(n, len(pairs)))).astype(np.int32)),
                                                    pa.array(v.astype(np.int64))) for v in (pairs, np.bincount(where, minlength=len(pairs)))]
                 digest = [hashlib.sha256(t).hexdigest() if t else "" for t in group_texts(
-                    found, max(len(both.a.entries), len(both.b.entries)))]
+                    found, max(both.size_a, both.size_b))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(kind), *[count(d) for d in found.doc],
-                     count(owner[np.searchsorted(found.ends[0], found.cuts)]), count(owner[a]), pa.array(digest, pa.string()),
+                     count(owner[_last_tokens(found.group[0])]), count(owner[a]), pa.array(digest, pa.string()),
                      pa.array(np.full(n, number, np.int64)),
                      *[pa.ListArray.from_arrays(pa.array(offsets), pa.array(v.astype(np.int32))) for v in (where, times)],
                      *[pc.if_else(pa.array(once), v, None) for v in listed]],
