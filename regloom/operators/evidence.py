@@ -7,6 +7,7 @@ from .. import vocab
 from ..functions import classify
 from ..functions.text import find, strip
 from ..session import union
+from . import stitch
 
 
 def opening_pages(pages: DataFrame, n: int | None = vocab.OPENING_PAGES,
@@ -51,19 +52,26 @@ def find_expert_lab(pages: DataFrame, tokens=vocab.KNOWN_LAB_TOKENS, sentences=v
                     patterns=vocab.EXPERT_LAB_PATTERNS, doc: str = "doc_id",
                     page: str = "page_no", text: str = "text") -> DataFrame:
     """Known names anywhere in the text first, in list order; else the first
-    sentence pattern whose capture is acceptable. One aggregate, one pass."""
+    sentence pattern whose capture is acceptable. Sentences may run over page
+    breaks: what begins on one page and ends on a later one is found where they
+    meet, and of each pattern the first match in the document counts."""
     low = F.lower(F.col(text))
     rank = None
     for i, token in enumerate(tokens):
         test = F.contains(low, F.lit(token.lower()))
         rank = F.when(test, i) if rank is None else rank.when(test, i)
     captures = [trim_capture(find(F.col(text), "(?U)" + s)) for s in sentences]
-    rows = pages.select(doc, page, rank.alias("_rank"),
-                        *[c.alias(f"_c{i}") for i, c in enumerate(captures)])
+    inside = pages.select(doc, page, F.lit(0).alias("_part"), rank.alias("_rank"),
+                          *[c.alias(f"_c{i}") for i, c in enumerate(captures)])
+    meeting = stitch.seams(stitch.forms(pages, doc, page, text, ("lined",)), doc, page, ("lined",))
+    over = [F.try_element_at(stitch.crossing(F.col("lined"), F.col("lined_cut"), "(?U)" + s), F.lit(1)) for s in sentences]
+    across = meeting.select(doc, page, F.lit(1).alias("_part"), F.lit(None).cast("int").alias("_rank"), *[
+        trim_capture(find(m, "(?U)" + s)).alias(f"_c{i}") for i, (m, s) in enumerate(zip(over, sentences))])
+    rows = union(inside, across)
     # Of each pattern only its first match counts, whether acceptable or not.
     agg = rows.groupBy(doc).agg(
         F.min("_rank").alias("_rank"),
-        *[F.min_by(f"_c{i}", F.when(F.col(f"_c{i}").isNotNull(), F.col(page))).alias(f"_c{i}")
+        *[F.min_by(f"_c{i}", F.when(F.col(f"_c{i}").isNotNull(), F.struct(page, "_part"))).alias(f"_c{i}")
           for i in range(len(captures))])
     named = None
     for i, token in enumerate(tokens):

@@ -127,6 +127,22 @@ def laboratories_in_text(spark, sf):
     return evidence.find_expert_lab(_line_pages(spark, sf), LAB_TOKENS, LAB_SENTENCES, LAB_RULES)
 
 
+@query("laboratories_across_pages", r"""
+WITH c AS (SELECT doc_id, nullif(regexp_extract(text, '(?:is|and|que|und)\s+([A-Za-zé][a-zé]{2,12} [a-zé]{3,9})', 1), '') AS c1
+  FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '(^|[ \n])(is|and|que|und) ', '\1\2' || chr(10), 'g'), ' (the )', chr(10) || '\1', 'g') AS text FROM documents)),
+t AS (SELECT doc_id, trim(regexp_replace(c1, '(?is)\s+(in|at|on|for|and|with|from|according|located|based|situated|en|au|aux|dans|selon|pour|et|sur)([^\p{L}\p{N}_].*)?$|[.;,].*$', '')) AS c1 FROM c)
+SELECT doc_id, CASE WHEN contains(replace(lower(strip_accents(c1)), ' ', ''), 'thha') THEN 'The Laboratory' WHEN length(c1) < 3 OR (NOT contains(c1, ' ') AND c1 = lower(c1))
+   OR lower(c1) IN ('for','the','this','these','all','both','each','one','two','and','with','les','une','des','study','report') THEN NULL
+   ELSE nullif(c1, '') END AS expert_laboratory FROM t""")
+def laboratories_across_pages(spark, sf):
+    """The documents on pages that break behind each word a sentence begins with, and between blanks."""
+    broken = F.regexp_replace("text", r"(^|[ \n])(is|and|que|und) ", "$1$2\u0001")
+    pages = F.split(F.regexp_replace(broken, " (?=the )", "\u0001"), "\u0001")
+    cut = inputs.documents(spark, sf).select("doc_id", F.posexplode(pages).alias("page_no", "text"))
+    return evidence.find_expert_lab(cut, ["zzqx"], [r"(?:is|and|que|und)\s+([A-Za-zé][a-zé]{2,12} [a-zé]{3,9})"],
+                                    [("The Laboratory", ["thha"])])
+
+
 @query("applied_evidence", """
 WITH lab AS (SELECT l_partkey, 'Lab ' || min(l_suppkey) AS lab FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
 ev AS (SELECT l_partkey, CASE WHEN max(l_quantity) > 49 THEN 'molecular_pcr' END AS ev FROM lineitem GROUP BY 1),

@@ -56,3 +56,13 @@ def upsert_snapshots(rows: DataFrame, base: str, key: str, order: list[str], min
     return (rows.writeStream.foreachBatch(apply)
             .option("checkpointLocation", f"{home}-from-{first:08d}")
             .trigger(availableNow=True).start())
+
+
+def once_per_record(rows: DataFrame, key: list[str], collected: str, within: str) -> DataFrame:
+    """Rows of a stream without those sent again. Rows are the same if all columns
+    ``key`` are; the first to arrive stays. The state of a record is held until the
+    watermark, ``within`` behind the latest ``collected``, has passed it by ``within``
+    more; a copy that comes even later is dropped as late itself, so it is not
+    taken for new. Rows without a time are the same as copies of their key only
+    while that is held."""
+    return rows.withWatermark(collected, within).dropDuplicatesWithinWatermark(key)
