@@ -10,8 +10,8 @@ and indented by depth, table rows are lines whose cells are padded to common
 column widths, and preformatted text keeps its white space.
 
 Defined cases: null html gives an empty text; broken markup never fails, and
-unknown tags are inline; pages of any length are rendered whole, without
-recursion; repeated rows are rendered each; an empty table gives an empty
+unknown tags are inline, a tag that nothing closes is text; pages of any length are
+rendered whole, without recursion and in time in proportion to it; repeated rows are rendered each; an empty table gives an empty
 result; other columns are ignored.
 """
 from __future__ import annotations
@@ -44,12 +44,17 @@ SCOPE = set("table td th caption html template object button marquee applet".spl
 #: A quote opens a quoted run only behind "=", as in a browser.
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                  r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)"
-                 r"(?P<rest>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)>", re.S)
+                 r"(?P<rest>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)(?P<shut>>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
+#: Levels of indentation that are shown, and the width to which cells are padded; deeper lists
+#: and longer cells keep their text, so output stays in proportion to the page.
+DEEPEST, WIDEST = 32, 200
+
+
 class Node:
     __slots__ = ("name", "attrs", "parts", "level")
 
@@ -74,20 +79,22 @@ def build(page: str) -> Node:
     element if that is open in the same table cell, and is dropped otherwise."""
     root = Node("#root")
     stack, at = [root], 0
+    places: dict[str, list[int]] = {}  # of the open elements of each name, in the stack
+
+    def top(names: set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
-    def close(names: set[str], stops: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                del stack[i:]
-                return
-            if stack[i].name in stops:
-                return
+    def cut(i: int) -> None:
+        for node in stack[i:]:
+            places[node.name].pop()
+        del stack[i:]
 
-    def close_all(names: set[str], stops: set[str]) -> None:
-        size = None
-        while size != len(stack):
-            size = len(stack)
-            close(names, stops)
+    def close(names: set[str], stops: set[str]) -> bool:
+        i = top(names)
+        if not i or i < top(stops):
+            return False
+        cut(i)
+        return True
 
     while at < len(page):
         m = TAG.search(page, at)
@@ -99,9 +106,12 @@ def build(page: str) -> Node:
         at = m.end()
         if not m["name"]:
             continue
+        if not m["shut"]:  # nothing behind it closes a tag
+            stack[-1].parts.append(html.unescape(page[m.start():]))
+            break
         name = m["name"].lower()
         if m["end"]:
-            if name == "p" and not any(n.name == "p" for n in stack):
+            if name == "p" and not places.get("p"):
                 stack[-1].parts.append(Node("p"))
             elif name == "br":
                 stack[-1].parts.append(Node("br"))
@@ -111,9 +121,10 @@ def build(page: str) -> Node:
         if name in CLOSE_P:
             close({"p"}, SCOPE)
         if name in IMPLIED:
-            close_all(*IMPLIED[name])
-        node = Node(name, m["rest"])
-        stack[-1].parts.append(node)
+            while close(*IMPLIED[name]):
+                pass
+        node, parent = Node(name, m["rest"]), stack[-1]
+        parent.parts.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}\s*/?>", re.I).search(page, at)
             body = page[at:end.start() if end else len(page)]
@@ -123,16 +134,13 @@ def build(page: str) -> Node:
                 node.parts.append(body)
             at = end.end() if end else len(page)
         elif name not in VOID:
+            head = top({"head"}) if name == "body" else 0
+            if head:  # body ends a head that was left open
+                parent.parts.pop()
+                cut(head)
+                stack[-1].parts.append(node)
+            places.setdefault(name, []).append(len(stack))
             stack.append(node)
-        if name == "head":
-            continue
-        if name == "body":  # ends a head that was left open
-            for i in range(len(stack) - 2, 0, -1):
-                if stack[i].name == "head":
-                    stack[i].parts.remove(node)
-                    stack[i - 1].parts.append(node)
-                    del stack[i]
-                    break
     return root
 
 
@@ -144,7 +152,7 @@ class Lines:
         self.flow: list[str] = []
         self.gap = False
         self.lead = ""
-        self.indent = ""
+        self.depth = 0
 
     def text(self, value: str, kept: bool) -> None:
         if kept:
@@ -164,7 +172,7 @@ class Lines:
             if self.gap and self.done:
                 self.done.append("")
             self.gap = False
-            self.done.append((self.indent + self.lead + line).rstrip())
+            self.done.append(("  " * min(self.depth, DEEPEST) + self.lead + line).rstrip())
             self.lead = ""
         elif kept and self.done:
             self.done.append("")
@@ -180,7 +188,7 @@ def aligned(rows: list[list[str]]) -> list[str]:
     for row in rows:
         for i, cell in enumerate(row):
             widths[i:i + 1] = [max(len(cell), widths[i] if i < len(widths) else 0)]
-    return [" | ".join(c.ljust(w) for c, w in zip(row, widths)).rstrip() for row in rows]
+    return [" | ".join(c.ljust(min(w, WIDEST)) for c, w in zip(row, widths)).rstrip() for row in rows]
 
 
 def render(root: Node) -> str:
@@ -215,7 +223,7 @@ def render(root: Node) -> str:
             if name in ("ul", "ol", "menu", "dir"):
                 start = x.attributes().get("start", "1") if name == "ol" else ""
                 lists.append([name, int(start) if start.isdigit() else 1])
-                out.indent += "  " * (len(lists) > 1)
+                out.depth += len(lists) > 1
             elif name == "li":
                 mark = "- "
                 if lists and lists[-1][0] == "ol":
@@ -223,7 +231,7 @@ def render(root: Node) -> str:
                     lists[-1][1] += 1
                 out.lead = mark
             elif name == "dd":
-                out.indent += "  "
+                out.depth += 1
             elif name in ("pre", "xmp"):
                 pre += 1
             elif name == "table":
@@ -260,10 +268,10 @@ def render(root: Node) -> str:
                 lists.pop()
                 out.end()
                 if lists:
-                    out.indent = out.indent[:-2]
+                    out.depth = max(out.depth - 1, 0)
             elif name == "dd":
                 out.end()
-                out.indent = out.indent[:-2]
+                out.depth = max(out.depth - 1, 0)
             elif name in ("pre", "xmp"):
                 pre -= 1
                 out.end(kept=True)
