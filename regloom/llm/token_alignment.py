@@ -159,21 +159,22 @@ class Aligned:
     links: tuple[np.ndarray, np.ndarray]  # overlapping A and B tokens
 
 
-class Aligner:
-    def __init__(self, byte_path: str, piece_path: str):
-        self.a, self.b = Side(*byte_coder(byte_path)), Side(*piece_coder(piece_path))
-        self.size_a, self.size_b = len(self.a.width), len(self.b.width)
+class Units:
+    """Distinct units of texts, coded once by each side and remembered for the life
+    of a Python worker."""
+
+    def __init__(self, *sides: Side):
+        self.sides = sides
         self.forget()
 
     def forget(self) -> None:
         self.known, self.valid = pa.array([], pa.string()), np.zeros(0, bool)
-        self.a.forget()
-        self.b.forget()
+        for side in self.sides:
+            side.forget()
 
-    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Known unit numbers of all texts in order, and the text of each."""
-        spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
-        body, bounds = at.raw(at.strings(spaced))
+        body, bounds = at.raw(texts)
         sizes = np.diff(bounds)
         cut = np.zeros(len(body), bool)
         plain = ~pc.match_substring_regex(texts, OTHER_SPACE).to_numpy(zero_copy_only=False)
@@ -192,14 +193,22 @@ class Aligner:
         if missing.any():
             new = words.filter(pa.array(missing))
             place[missing] = len(self.known) + np.arange(len(new))
-            self.valid = np.concatenate((self.valid, self.a.add(new) & self.b.add(new)))
+            self.valid = np.concatenate((self.valid, np.all([side.add(new) for side in self.sides], axis=0)))
             self.known = pa.concat_arrays([self.known, new])
         return place[coded.indices.to_numpy(zero_copy_only=False)], np.repeat(np.arange(len(sizes)), at.per_text(cut, bounds))
 
+
+class Aligner:
+    def __init__(self, byte_path: str, piece_path: str):
+        self.a, self.b = Side(*byte_coder(byte_path)), Side(*piece_coder(piece_path))
+        self.size_a, self.size_b = len(self.a.width), len(self.b.width)
+        self.units = Units(self.a, self.b)
+
     def align(self, texts: pa.Array) -> Aligned:
         """Tokens, groups and links of some texts (none of them null)."""
-        units, owner = self.units(texts)
-        broken = np.bincount(owner[~self.valid[units]], minlength=len(texts)) > 0
+        spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
+        units, owner = self.units.find(at.strings(spaced))
+        broken = np.bincount(owner[~self.units.valid[units]], minlength=len(texts)) > 0
         kept = ~broken[owner]
         units, owner = units[kept], owner[kept]
         doc, ids, starts, ends = [], [], [], []

@@ -8,11 +8,9 @@ to the section that holds most of its characters, the earlier one in a tie, and
 is counted as crossing. Counts of a document's sections add up to its tokens.
 
 The byte-level vocabulary puts a space before the word that follows, so the
-first token of a sentence crosses from the one before. Encoding splits at white
-space runs: a text is a row of units, each a run of ASCII white space and the
-word after it; units and their spans are kept from slice to slice of a worker,
-up to ``KEPT_UNITS`` and one slice. Texts with other
-white space are encoded whole.
+first token of a sentence crosses from the one before. Texts are coded in units
+that begin at a space behind a visible character, where the vocabulary's pattern
+always splits; distinct units are coded once and kept (``token_alignment.Units``).
 
 Defined cases: null and empty texts have one section of no characters and no
 tokens; special strings count as ordinary text; repeated rows are counted each;
@@ -21,7 +19,6 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 from collections.abc import Iterator
 
@@ -30,14 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import arrow_text as at
-from .tokens import gather
+from .token_alignment import Side, Units, byte_coder
 
-UNIT = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+\Z")
 SECTION = re.compile(r"\n\s*|(?<=[.!?])[ \t]+")
-#: White space that the vocabulary's pattern knows beside the ASCII six.
-OTHER_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 SLICE = 4 << 20
-KEPT_UNITS = 600_000
 
 
 def default_vocabulary() -> str:
@@ -58,73 +51,56 @@ def attributed(starts: np.ndarray, ends: np.ndarray, sections: np.ndarray, lengt
     owner = first.copy()
     crossing = last > first
     stops = np.append(sections[1:], length)
-    for t in np.flatnonzero(crossing).tolist():
+    two = np.flatnonzero(last == first + 1)
+    middle = stops[first[two]]
+    owner[two] += ends[two] - middle > middle - starts[two]
+    for t in np.flatnonzero(last > first + 1).tolist():
         held = [min(ends[t], stops[s]) - max(starts[t], sections[s]) for s in range(first[t], last[t] + 1)]
         owner[t] = first[t] + int(np.argmax(held))
     return owner, crossing
 
 
-class Units:
-    """Token spans of units, remembered for the life of a Python worker."""
+class Coder:
+    """A byte-level vocabulary, its units, and the library's own tokenizer."""
 
     def __init__(self, path: str):
+        self.path, self.side = path, Side(*byte_coder(path))
+        self.known = Units(self.side)
+
+    @functools.cached_property
+    def tokenizer(self):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.chars, self.sizes, self.firsts, self.starts, self.ends = (np.zeros(0, np.int64) for _ in range(5))
-
-    def codes(self, text: str) -> np.ndarray:
-        number = self.number
-        return np.array([number.setdefault(u, len(number)) for u in UNIT.findall(text)], np.int64)
-
-    def encode_new(self) -> None:
-        """Encode the units that were numbered since the last call."""
-        units = list(itertools.islice(self.number, len(self.chars), None))
-        if not units:
-            return
-        sizes, flat = [], []
-        for i in range(0, len(units), 4096):
-            for e in self.tokenizer.encode_batch(units[i:i + 4096], add_special_tokens=False):
-                found = e.offsets
-                sizes.append(len(found))
-                flat += found
-        pairs = np.array(flat, np.int64).reshape(-1, 2)
-        sizes = np.array(sizes, np.int64)
-        self.firsts = np.concatenate((self.firsts, len(self.starts) + np.cumsum(sizes) - sizes))
-        self.sizes = np.concatenate((self.sizes, sizes))
-        self.chars = np.concatenate((self.chars, np.array([len(u) for u in units], np.int64)))
-        self.starts, self.ends = (np.concatenate((x, pairs[:, k])) for k, x in enumerate((self.starts, self.ends)))
-
-    def spans(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Character spans of all tokens of each text."""
-        if len(self.number) > KEPT_UNITS:
-            self.forget()
-        coded = [None if OTHER_SPACE.search(t) else self.codes(t) for t in texts]
-        self.encode_new()
-        out = []
-        for text, codes in zip(texts, coded):
-            if codes is None:
-                pairs = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-                out.append((pairs[:, 0], pairs[:, 1]))
-                continue
-            chars, sizes = self.chars[codes], self.sizes[codes]
-            spots = gather(self.firsts[codes], sizes)
-            base = np.repeat(np.cumsum(chars) - chars, sizes)
-            out.append((self.starts[spots] + base, self.ends[spots] + base))
-        return out
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = True
+        return found
 
 
 @functools.lru_cache(maxsize=1)
-def units(path: str) -> Units:
-    return Units(path)
+def units(path: str) -> Coder:
+    return Coder(path)
+
+
+def spans(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens per text, the bounds of the texts and the spans of all tokens, in
+    characters of all texts laid end to end (none of them null). A token that holds
+    part of a character's bytes spans that character."""
+    coder = units(path)
+    found, owner = coder.known.find(texts)
+    ids, sizes = coder.side.tokens(found)
+    width = coder.side.width[ids]
+    ends = np.cumsum(width)
+    body, bounds = at.raw(texts)
+    chars = np.concatenate(([0], np.cumsum((body & 0xC0) != 0x80)))  # begun before each byte
+    n_tokens = at.per_text(np.ones(len(ids), np.int64), np.concatenate(([0], np.cumsum(np.bincount(
+        owner, weights=sizes, minlength=len(texts)).astype(np.int64)))))
+    return n_tokens, chars[bounds], chars[ends - width + 1] - 1, chars[ends]
 
 
 def token_spans(texts: list[str], path: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    return units(path).spans(texts)
+    """Character spans of all tokens of each text."""
+    n_tokens, bounds, starts, ends = spans(pa.array(texts, pa.string()), path)
+    upto = np.concatenate(([0], np.cumsum(n_tokens)))
+    return [(starts[a:b] - base, ends[a:b] - base) for a, b, base in zip(upto, upto[1:], bounds)]
 
 
 def count(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -137,21 +113,19 @@ def count(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for part in at.slices(batch, most=SLICE):
-                texts = at.strings(part.column("text")).to_pylist()
-                columns: list[list] = [[] for _ in range(6)]
-                rows = []
-                for text, (starts, ends) in zip(texts, token_spans(texts, path)):
-                    sections = section_starts(text)
-                    owner, crossing = attributed(starts, ends, sections, len(text))
-                    n = len(sections)
-                    rows.append(n)
-                    for column, values in zip(columns, (
-                            np.arange(n), sections, np.diff(np.append(sections, len(text))), np.bincount(owner, minlength=n),
-                            np.bincount(owner[crossing], minlength=n), np.full(n, len(starts)))):
-                        column.append(values)
+                texts = at.strings(part.column("text"))
+                n_tokens, bounds, starts, ends = spans(texts, path)
+                each = [section_starts(t) for t in texts.to_pylist()]
+                rows = np.array([len(x) for x in each])
+                begin = np.concatenate(each)
+                whole = begin + np.repeat(bounds[:-1], rows)
+                owner, crossing = attributed(starts, ends, whole, bounds[-1])
+                n = len(whole)
+                columns = (np.arange(n) - np.repeat(np.cumsum(rows) - rows, rows), begin, np.diff(np.append(whole, bounds[-1])),
+                           np.bincount(owner, minlength=n), np.bincount(owner[crossing], minlength=n), np.repeat(n_tokens, rows))
                 owners = part.column("doc_id").take(pa.array(np.repeat(np.arange(len(texts)), rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [owners.cast(kind), *[pa.array(np.concatenate(c).astype(np.int64)) for c in columns]],
+                    [owners.cast(kind), *[pa.array(c.astype(np.int64)) for c in columns]],
                     names=["doc_id", "section", "start", "length", "n_tokens", "n_crossing", "doc_tokens"])
 
     return used.mapInArrow(run, f"doc_id {dict(used.dtypes)['doc_id']}, section long, start long, length long, "
