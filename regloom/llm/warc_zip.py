@@ -216,7 +216,7 @@ def ranges(packages: DataFrame) -> DataFrame:
                 with system.open_input_file(base) as file:
                     found = members(file, file.size())
                     if INDEX not in found or ARCHIVE not in found:
-                        continue
+                        raise ValueError(f"{path} holds no stored {ARCHIVE} with its {INDEX}")
                     file.seek(found[INDEX][0])
                     lines = file.read(found[INDEX][1]).decode().splitlines()
                 first = found[ARCHIVE][0]
@@ -234,7 +234,14 @@ def ranges(packages: DataFrame) -> DataFrame:
                     pa.array([[x for e in r[2] for x in e] for r in out], pa.list_(pa.int64()))],
                     names=["path", "start", "length", "places"])
 
-    return packages.select("path").mapInArrow(run, "path string, start long, length long, places array<long>")
+    return packages.select("path").repartition(_tasks(packages), "path").mapInArrow(
+        run, "path string, start long, length long, places array<long>")
+
+
+def _tasks(packages: DataFrame) -> int:
+    """A number of partitions that adaptive execution leaves as it is: rows that name
+    packages and ranges are few bytes, what is read for them is not."""
+    return max(1, packages.count())
 
 
 def parsed(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
@@ -276,7 +283,7 @@ def read(packages: DataFrame, with_payload: bool = False) -> DataFrame:
                                                  names=names[:used])
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    found = ranges(packages).select("path", "start", "length", "places").repartition("path", "start")
+    found = ranges(packages).select("path", "start", "length", "places").repartition(2 * _tasks(packages), "path", "start")
     return found.mapInArrow(run, schema + ", payload binary" * with_payload)
 
 
