@@ -173,7 +173,8 @@ def read_rows(segments: DataFrame, row: int = ROW, vocabulary: str | None = None
                     "file", "row", "n_tokens", "n_segments", "cu_seqlens", "n_resets", "ids_crc32"])
 
     files = segments.select("file").distinct()
-    return files.mapInArrow(run, "file string, row long, n_tokens long, n_segments long, cu_seqlens array<long>, "
+    # Names of files are few bytes, so a number is given, which adaptive execution leaves as it is.
+    return files.repartition(max(1, files.count()), "file").mapInArrow(run, "file string, row long, n_tokens long, n_segments long, cu_seqlens array<long>, "
                                  "n_resets long, ids_crc32 long")
 
 
