@@ -266,3 +266,38 @@ def test_units_encode_like_whole_texts(brute_tokens, texts):
     for i, text in enumerate(texts):
         for side, want in enumerate(brute_tokens(text)):
             assert found.ids[side][found.doc[side] == i].tolist() == [t[2] for t in want]
+
+
+# --- reading back, long pages ------------------------------------------------
+
+def test_packages_and_matrices_are_read_by_many_tasks(spark, documents, sf):
+    from regloom.llm import bfd_packing, staging, warc_zip
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    packages = warc_zip.write(pages, staging.new_folder(spark, "test-warc"), package_bytes=1_500)
+    n = packages.count()
+    read = warc_zip.read(packages)
+    assert n >= 24 and read.rdd.getNumPartitions() > 8 and read.count() == pages.count()
+    segments = bfd_packing.pack(documents, staging.new_folder(spark, "test-packed"), block_tokens=8_000)
+    rows = bfd_packing.read_rows(segments)
+    assert segments.select("file").distinct().count() >= 8 and rows.rdd.getNumPartitions() >= 8 and rows.count() > 0
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<a ", "<li>", "</i>", "<ul><li>x", "<p><table><td>", '<a x="', "<body>", "<dd>"])
+def test_long_pages_take_linear_time(unit):
+    import time
+    from regloom.llm import html_text
+    page = unit * ((1 << 20) // len(unit))
+    begun = time.process_time()
+    html_text.render(html_text.build(page))
+    assert time.process_time() - begun < 10
+
+
+def test_odd_pages():
+    from regloom.llm import html_text
+
+    def text(page):
+        return html_text.render(html_text.build(page))
+
+    assert text("<head><b>x<body><p>seen") == "seen"
+    assert text("one <a two <b three") == "one <a two <b three"
+    assert text("<p>one<table><tr><td>two<div>three") .split() == ["one", "two", "three"]
