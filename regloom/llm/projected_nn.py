@@ -18,8 +18,10 @@ partial top-k per query.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part; vectors of different length are different spaces;
-equal vectors and ties come by smaller id; null ids take no part; fewer
-candidates than wanted give all; an empty table gives an empty result.
+equal vectors have equal scores and come by smaller id; rows that share an id are
+queries and candidates of their own, so such an id has as many answers as rows;
+null ids take no part; fewer candidates than wanted give all; other columns
+are ignored; an empty table gives an empty result.
 """
 from __future__ import annotations
 
@@ -82,10 +84,18 @@ class Tree:
         return np.einsum("ij,ij->i", gap, gap)
 
 
+def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, each summed in one order, so equal vectors have equal ones."""
+    return np.ascontiguousarray(vectors * query).sum(axis=1)
+
+
 def search(block: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
-           wanted: int = WANTED, sure: float = SURE, dims: int = DIMS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query id, candidate id, inner product) of each query's best in a block,
-    and the number of verified vectors."""
+           wanted: int = WANTED, sure: float = SURE, dims: int = DIMS, rows: np.ndarray | None = None,
+           query_rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query, candidate id, inner product) of each query's best in a block, and the
+    number of verified vectors. A query is named, and told from its own vector, by
+    ``query_rows`` and ``rows``, or where these are not given by the ids."""
+    rows, query_rows = ids if rows is None else rows, query_ids if query_rows is None else query_rows
     width = block.shape[1]
     directions = np.random.default_rng(SEED).standard_normal((width + 1, dims))
 
@@ -101,10 +111,11 @@ def search(block: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: n
     norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     images = projected(queries * (longest / norms)[:, None], np.zeros(len(queries)))
     out_q, out_c, out_s, seen = [], [], [], 0
-    for query, query_id, norm, image in zip(queries, query_ids.tolist(), norms, images):
+    slack = 1e-12 * longest * width  # more than products in another order can differ, per unit of the query
+    for query, query_row, norm, image in zip(queries, query_rows.tolist(), norms, images):
         boxes = tree.distances(image)
         leaves = np.argsort(boxes, kind="stable")
-        best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
+        best_s, best = np.zeros(0), np.zeros(0, np.int64)
         at = 0
         while at < len(leaves):
             some = np.concatenate([ranked[k] for k in leaves[at:at + STEP].tolist()])
@@ -112,19 +123,23 @@ def search(block: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: n
             seen += len(some)
             scores = block[some] @ query
             if len(best_s) >= wanted:
-                near = scores >= best_s.min()
-                some, scores = some[near], scores[near]
-            other = ids[some] != query_id
-            best_s, best_i = np.concatenate((best_s, scores[other])), np.concatenate((best_i, ids[some[other]]))
-            if len(best_s) > wanted:
-                top = np.lexsort((best_i, -best_s))[:wanted]
-                best_s, best_i = best_s[top], best_i[top]
+                some = some[scores >= best_s[-1] - slack * norm]
+            elif len(some) > wanted:
+                some = some[scores >= np.partition(scores, -wanted - 1)[-wanted - 1] - slack * norm]
+            some = some[rows[some] != query_row]
+            best_s, best = np.concatenate((best_s, products(block[some], query))), np.concatenate((best, some))
+            top = np.lexsort((rows[best], ids[best], -best_s))[:wanted]
+            best_s, best = best_s[top], best[top]
             if at < len(leaves) and len(best_s) >= wanted:
-                last = 2 * longest ** 2 - 2 * best_s.min() * longest / norm
+                # Copies of the last one lie at its projected place: its distance is passed first.
+                gap = points[best[best_s == best_s[-1]]] - image
+                if boxes[leaves[at]] <= np.einsum("ij,ij->i", gap, gap).max() * (1 + 1e-9):
+                    continue
+                last = 2 * longest ** 2 - 2 * best_s[-1] * longest / norm
                 if last <= 0 or chi_square_cdf(boxes[leaves[at]] / last, dims) >= sure:
                     break
-        out_q.append(np.full(len(best_s), query_id))
-        out_c.append(best_i)
+        out_q.append(np.full(len(best_s), query_row))
+        out_c.append(ids[best])
         out_s.append(best_s)
     return np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_s), seen
 
@@ -143,7 +158,7 @@ def nearest(rows: DataFrame, every: int = 20, wanted: int = WANTED, sure: float
             vector: str = "embedding", block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by
     ``every``, its nearest among all other rows."""
-    used = materialize(usable(rows, id_, vector), "vectors").withColumn(
+    used = materialize(usable(rows, id_, vector).withColumn("row", F.monotonically_increasing_id()), "vectors").withColumn(
         "band", F.floor(2 * F.log2("square") + 0.5))
     counts = used.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"))
     lowest = F.max("band").over(Window.partitionBy("dim")) - (BANDS - 1)
@@ -152,27 +167,27 @@ def nearest(rows: DataFrame, every: int = 20, wanted: int = WANTED, sure: float
     facts = counts.groupBy("dim", "lowest").agg(F.sum("n").alias("_n"), F.map_from_entries(F.collect_list(
         F.struct("band", F.ceil(F.col("n") / block)))).alias("blocks"))
     spread = used.join(F.broadcast(facts), "dim").withColumn("band", F.greatest("band", "lowest"))  # a row per dimension
-    placed = spread.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.element_at("blocks", F.col("band"))))
+    placed = spread.withColumn("block", F.pmod(F.xxhash64("row"), F.element_at("blocks", F.col("band"))))
     asked = spread.filter(F.col("vec_id") % every == 0).withColumn(
-        "chunk", F.pmod(F.xxhash64(F.lit("q"), "vec_id", "v"), F.ceil(F.col("_n") / every / CHUNK))).drop("band")
+        "chunk", F.pmod(F.xxhash64(F.lit("q"), "row"), F.ceil(F.col("_n") / every / CHUNK))).drop("band")
     # A query goes to every block; a block goes to every chunk of queries.
     chunks = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_n") / every / CHUNK) - 1)
     held = placed.withColumn("chunk", F.explode(chunks)).select(
-        "dim", "band", "block", "chunk", "vec_id", "v", F.lit(False).alias("query"))
+        "dim", "band", "block", "chunk", "row", "vec_id", "v", F.lit(False).alias("query"))
     sent = asked.select("*", F.explode("blocks").alias("band", "_count")).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1))).select(
-        "dim", "band", "block", "chunk", "vec_id", "v", F.lit(True).alias("query"))
+        "dim", "band", "block", "chunk", "row", "vec_id", "v", F.lit(True).alias("query"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         asks, has = frame[frame["query"]], frame[~frame["query"]]
         if not len(asks) or not len(has):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []})
         q, c, s, _ = search(np.stack(has["v"].to_list()), has["vec_id"].to_numpy(), np.stack(asks["v"].to_list()),
-                            asks["vec_id"].to_numpy(), wanted, sure)
-        return pd.DataFrame({"query_id": q, "vec_id": c, "score": s})
+                            asks["vec_id"].to_numpy(), wanted, sure, rows=has["row"].to_numpy(), query_rows=asks["row"].to_numpy())
+        return pd.DataFrame({"row": q, "query_id": asks.set_index("row")["vec_id"].loc[q].to_numpy(), "vec_id": c, "score": s})
 
     found = held.unionByName(sent).groupBy("dim", "band", "block", "chunk").applyInPandas(
-        run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        run, "row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))

@@ -301,3 +301,25 @@ def test_odd_pages():
     assert text("<head><b>x<body><p>seen") == "seen"
     assert text("one <a two <b three") == "one <a two <b three"
     assert text("<p>one<table><tr><td>two<div>three") .split() == ["one", "two", "three"]
+
+
+# --- neighbours: ties and repeated ids ---------------------------------------
+
+def test_copies_and_repeated_ids(spark):
+    import numpy as np
+    from regloom.llm import projected_nn
+    rng = np.random.default_rng(1)
+    one, other = rng.standard_normal(16), rng.standard_normal((300, 16))
+    rows = [(i, one.tolist()) for i in range(3000, 8000)] + [(i, v.tolist()) for i, v in enumerate(other, 1)]
+    rows += [(0, one.tolist()), (0, (-one).tolist()), (2, other[1].tolist())]
+    rng.shuffle(rows)
+    rows = [(int(i), [float(x) for x in v]) for i, v in rows]
+    got = projected_nn.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4), every=1000)
+    vectors, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    want = []
+    for k in np.flatnonzero(ids % 1000 == 0).tolist():
+        scores = projected_nn.products(vectors, vectors[k])
+        best = [m for m in np.lexsort((ids, -scores)).tolist() if m != k][:20]
+        want += [(int(ids[k]), rank, int(ids[m]), float(scores[m])) for rank, m in enumerate(best, 1)]
+    assert len(want) == 7 * 20  # two rows share the id 0, each has its answer
+    assert sorted(map(tuple, got.collect())) == sorted(want)
