@@ -137,7 +137,7 @@ SELECT doc_id, CASE WHEN contains(replace(lower(strip_accents(c1)), ' ', ''), 't
 def laboratories_across_pages(spark, sf):
     """The documents on pages that break behind each word a sentence begins with, and between blanks."""
     broken = F.regexp_replace("text", r"(^|[ \n])(is|and|que|und) ", "$1$2\u0001")
-    pages = F.split(F.regexp_replace(broken, " (?=the )", "\u0001"), "\u0001")
+    pages = F.split(F.regexp_replace(broken, " (the )", "\u0001$1"), "\u0001")
     cut = inputs.documents(spark, sf).select("doc_id", F.posexplode(pages).alias("page_no", "text"))
     return evidence.find_expert_lab(cut, ["zzqx"], [r"(?:is|and|que|und)\s+([A-Za-zé][a-zé]{2,12} [a-zé]{3,9})"],
                                     [("The Laboratory", ["thha"])])

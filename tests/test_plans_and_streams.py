@@ -20,7 +20,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 CHECKED = ["facet_counts", "tested_category_heatmap", "result_summary", "latest_copy", "resolved_keys",
            "reconciled_records", "organism_labels", "selected_pages", "page_ranges", "certificate_records",
-           "relative_trueness", "organism_page_records", "sanitized_requests", "answered_requests", "daily_quota"]
+           "relative_trueness", "organism_page_records", "sanitized_requests", "answered_requests", "daily_quota",
+           "product_groups", "rule_table_labels", "laboratories_across_pages", "run_log", "upserted_snapshot", "collected_once"]
 
 
 def plan(df):
