@@ -170,3 +170,27 @@ def test_records_sent_again_are_landed_once(spark):
     # Behind the watermark of hour 36 the first records' state is gone; their copy is late.
     assert arrivals.dropped_late(progress) == 1
     assert progress[-1]["stateOperators"][0]["numRowsTotal"] < 5
+
+
+def test_date_filters_are_counted_from_the_cube(spark):
+    from regloom.operators import browse, requests
+    rng = random.Random(6)
+    rows = [(str(i), rng.choice(["A", "B", "C", "D", "", None]), BASE.date() + dt.timedelta(days=rng.randint(0, 900)) if i % 9 else None,
+             rng.choice(["active", "expired"]), rng.random() < 0.5) for i in range(600)]
+    entries = spark.createDataFrame(rows, "id string, manufacturer_name string, current_expiry date, status string, has_performance_data boolean")
+    ranges = [("2024-06-01", ""), ("", "2025-02-17"), ("2025-03-31", "2024-03-05"), ("2024-02-10", "2024-02-10"), ("nonsense", ""),
+              ("2026-09-30", "2020-01-01"), ("2024-04-20", "2024-04-03"), ("2024-05-01", "2024-04-01"), ("2024-05-15", "2024-03-20"),
+              ("2020-01-01", ""), ("2024-03-01", "2024-05-01")]
+    filters = spark.createDataFrame([(str(i), b, a) for i, (b, a) in enumerate(ranges)], "filter_id string, expires_before string, expires_after string")
+    got = {r["filter_id"]: r for r in browse.summarize_makers(requests.count_by_dates(filters, entries, "2024-06-15"), ["filter_id"]).collect()}
+    for i, (b, a) in enumerate(ranges):
+        hit = [r for r in rows if r[2] and b != "nonsense" and (not b or str(r[2]) < b) and (not a or str(r[2]) >= a)]
+        makers = sorted({r[1] for r in hit if r[1]})
+        if not hit:
+            assert str(i) not in got
+            continue
+        r = got[str(i)]
+        assert (r["n_rows"], r["n_makers"], r["expired"], r["with_performance"], r["first_makers"] or "") == (
+            len(hit), len(makers), sum(x[3] == "expired" for x in hit), sum(x[4] for x in hit), ", ".join(makers[:3]))
+        assert r["expiring_soon"] == sum(0 <= (x[2] - dt.date(2024, 6, 15)).days / 30.44 < 12 for x in hit)
+    assert len(got) >= 7
