@@ -5,11 +5,12 @@ document's full windows are cut off first, and the rest is placed whole into
 the fill level (or a new window) for which the sum over levels of the squared
 number of windows at that level is smallest afterwards. A level array keeps
 these numbers, so a placement is one vector operation. Windows that reach
-``size`` are written. Of those still open at the end of a partition, or when
-``OPEN`` of them are open, the fullest, as many as the tokens can fill, stay as
-they are; the pieces of the others fill their room and then windows of powers of
-two, which need no padding: the largest piece that fits, and a cut only where
-none does.
+``size`` are written. No more than ``most_open`` are open: where a new one would be
+too many, a piece goes to the best level there is, and if it fits none, what a
+window of the commonest level lacks is cut off from it, which takes most from the
+sum. At the end of a partition the emptiest windows are taken back one by one and
+their pieces placed again in the same way, until all others are full; the tokens
+that are left go into windows of powers of two, which need no padding.
 
 Each partition of the input packs its own documents where they are read:
 nothing is shuffled, memory holds one slice of text and the open windows, and a
@@ -21,7 +22,6 @@ ignored; repeated rows are packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,73 +45,77 @@ class Packer:
         self.windows: dict[int, list[list]] = {}
         self.open = 0
         self.done: list[list] = []
+        self.placed_again = 0
 
-    def level_for(self, n: int) -> int:
-        """Fill level that takes n tokens at the least sum of squares; 0: a new window."""
+    def level_for(self, n: int, new: bool = True) -> int:
+        """Fill level that takes n tokens at the least sum of squares. 0: a new window,
+        or, where ``new`` ones are not allowed, no level has room."""
         counts, size = self.counts, self.size
         here, after = counts[1:size - n + 1], counts[n + 1:size + 1]
-        new = 2 * int(counts[n]) + 1
         if not len(here):
             return 0
         change = 2 * (after - here) + 2
         change[-1] = 1 - 2 * int(here[-1])  # a full window leaves the sum
         change[here == 0] = FAR
         best = int(change.argmin())
-        return best + 1 if change[best] <= new else 0
-
-    def add(self, piece: tuple) -> None:
-        n = len(piece[2])
-        if n == self.size:
-            self.done.append([piece])
-            return
-        level = self.level_for(n)
-        if level:
-            window = self.windows[level].pop()
-            self.counts[level] -= 1
-            self.open -= 1
-        else:
-            window = []
+        return best + 1 if change[best] <= (2 * int(counts[n]) + 1 if new else FAR - 1) else 0
+
+    def add(self, piece: tuple, new: bool = True) -> None:
+        row, start, ids = piece
+        while len(ids):
+            more = new and self.open < self.most_open
+            level = self.level_for(len(ids), more)
+            if not level and self.open and not more and len(ids) < self.size:
+                level = int(self.counts.argmax())
+            n = min(len(ids), self.size - level)
+            self._put((row, start, ids[:n]), level)
+            start, ids = start + n, ids[n:]
+
+    def _take(self, level: int) -> list:
+        self.counts[level] -= 1
+        self.open -= 1
+        return self.windows[level].pop()
+
+    def _put(self, piece: tuple, level: int) -> None:
+        """The piece into a window of the level; 0: into a new one."""
+        window = self._take(level) if level else []
         window.append(piece)
-        if level + n == self.size:
+        filled = level + len(piece[2])
+        if filled == self.size:
             self.done.append(window)
             return
-        self.windows.setdefault(level + n, []).append(window)
-        self.counts[level + n] += 1
+        self.windows.setdefault(filled, []).append(window)
+        self.counts[filled] += 1
         self.open += 1
-        if self.open > self.most_open:
-            self.flush()
 
     def document(self, row, ids: np.ndarray) -> None:
         for start in range(0, len(ids), self.size):
             self.add((row, start, ids[start:start + self.size]))
 
-    def flush(self) -> None:
-        """Close all open windows without padding."""
-        held = [w for level in sorted(self.windows, reverse=True) for w in self.windows[level]]
-        left = sum(len(p[2]) for w in held for p in w)
-        full, rest = divmod(left, self.size)  # every open window has room: more are open than can be filled
-        pool = sorted((p for w in held[full:] for p in w), key=self._length)
-        targets = [self.size] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
-        for k, target in enumerate(targets):
-            window = held[k] if k < full else []
-            room = target - sum(len(p[2]) for p in window)
-            while room:
-                fits = bisect_right(pool, room, key=self._length)
-                if fits:
-                    piece = pool.pop(fits - 1)
-                else:
-                    row, start, ids = pool.pop()
-                    piece = row, start, ids[:room]
-                    insort(pool, (row, start + room, ids[room:]), key=self._length)
-                window.append(piece)
-                room -= len(piece[2])
-            self.done.append(window)
-        self.windows, self.open = {}, 0
-        self.counts[:] = 0
-
-    @staticmethod
-    def _length(piece: tuple) -> int:
-        return len(piece[2])
+    def close(self) -> None:
+        """Fill all open windows without padding. ``placed_again`` counts the tokens moved."""
+        while self.open:
+            window = self._take(int(self.counts.nonzero()[0][0]))
+            if not self.open:
+                self.done.extend(self._powers(window))
+                return
+            for piece in window:
+                self.placed_again += len(piece[2])
+                self.add(piece, new=False)
+
+    def _powers(self, window: list) -> Iterator[list]:
+        """A window cut where the powers of two in its length end, the largest first."""
+        left = sum(len(p[2]) for p in window)
+        part: list = []
+        room = 1 << left.bit_length() - 1
+        for row, start, ids in window:
+            while len(ids):
+                n = min(len(ids), room)
+                part.append((row, start, ids[:n]))
+                start, ids, room, left = start + n, ids[n:], room - n, left - n
+                if not room:
+                    yield part
+                    part, room = [], 1 << max(left.bit_length() - 1, 0)
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, with_ids: bool = False) -> DataFrame:
@@ -155,7 +159,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SIZE, with_
                     # Copies, so that an open window does not hold the whole slice.
                     packer.document((doc, b - a), ids[a:b].copy())
                 yield from rows()
-        packer.flush()
+        packer.close()
         yield from rows()
 
     schema = f"doc_id {dict(used.dtypes)['doc_id']}, " + ", ".join(f"{c} long" for c in names)

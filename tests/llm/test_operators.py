@@ -300,23 +300,49 @@ def test_open_windows_are_bounded():
     for i in range(100):
         packer.document(i, np.arange(40, dtype=np.uint16))
         assert packer.open <= 10
-    packer.flush()
+    packer.close()
     assert sum(len(p[2]) for w in packer.done for p in w) == 4000
 
 
-def test_flush_keeps_the_fullest_windows():
+@pytest.mark.parametrize("most_open", [3, 4096])
+def test_closing_fills_windows_and_loses_no_id(most_open):
     rng = np.random.default_rng(9)
+    for count in (0, 1, 2, 7, 300):
+        packer, texts = ss_packing.Packer(64, most_open), []
+        for i, n in enumerate(rng.integers(1, 150, count).tolist()):
+            texts.append(rng.integers(0, 9999, n).astype(np.uint16))
+            packer.document(i, texts[-1])
+        packer.close()
+        fills = [sum(len(p[2]) for p in w) for w in packer.done]
+        total = sum(map(len, texts))
+        assert fills.count(64) == total // 64 and packer.open == 0 and not packer.counts.any()
+        assert sorted(f for f in fills if f < 64) == [1 << b for b in range(6) if total % 64 >> b & 1]
+        pieces = sorted(((row, start, ids) for w in packer.done for row, start, ids in w), key=lambda p: p[:2])
+        for i, text in enumerate(texts):
+            mine = [p for p in pieces if p[0] == i]
+            assert [p[1] for p in mine] == [0, *np.cumsum([len(p[2]) for p in mine])[:-1]]
+            assert (np.concatenate([p[2] for p in mine]) == text).all()
+
+
+def test_pieces_placed_at_closing_follow_the_sum_of_squares():
+    rng = np.random.default_rng(10)
     packer = ss_packing.Packer(64)
     for i, n in enumerate(rng.integers(20, 60, 300).tolist()):
         packer.document(i, np.full(n, i, np.uint16))
-    held = [[(p[0], len(p[2])) for p in w] for level in sorted(packer.windows, reverse=True) for w in packer.windows[level]]
-    packer.done = []
-    packer.flush()
-    done = [[(p[0], len(p[2])) for p in w] for w in packer.done]
-    tokens_left = sum(n for w in held for _, n in w)
-    assert tokens_left // 64 > 10 and sum(n for w in done for _, n in w) == tokens_left
-    assert [sum(n for _, n in w) for w in done][:tokens_left // 64] == [64] * (tokens_left // 64)
-    assert all(any(set(w) <= set(d) for d in done) for w in held[:tokens_left // 64])
+    placed, put = [], packer._put
+    packer._put = lambda piece, level: (placed.append((len(piece[2]), level, packer.counts.copy())), put(piece, level))
+    packer.close()
+
+    def total(counts, level, n):
+        after = counts.copy()
+        after[level] -= 1
+        after[level + n] += 1
+        return int((after[1:64] ** 2).sum())
+
+    assert placed
+    for n, level, counts in placed:
+        options = [h for h in range(1, 65 - n) if counts[h]]
+        assert not options or total(counts, level, n) == min(total(counts, h, n) for h in options)
 
 
 def test_best_fit_equals_brute_force():
