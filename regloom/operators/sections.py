@@ -103,16 +103,27 @@ def matrix_column(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.trim(x))))
 
 
-def strain_rows(text: Column, panel: str) -> Column:
-    """Array of (strain, symbol) of the table named ``panel``, up to the next
-    numbered table. A symbol may carry footnote letters; rows without a symbol
-    are not rows."""
-    table = F.regexp_extract(
+def panel_table(text: Column, panel: str) -> Column:
+    """Text of the table named ``panel``, up to the next numbered table."""
+    return F.regexp_extract(
         text, rf"(?sU)(?i:Table\s*\d+\.\s*{panel})(.*?)(?:\bTable\s*\d+\.|\z)", 1)
-    row = vocab.STRAIN_ROW
-    return F.arrays_zip(
-        F.transform(F.regexp_extract_all(table, F.lit(row), 1), squeeze).alias("strain"),
-        F.regexp_extract_all(table, F.lit(row), 2).alias("symbol"))
+
+
+def strain_matches(table: Column) -> Column:
+    """Array of the printed rows of a strain table. A symbol may carry footnote
+    letters; rows without a symbol are not rows."""
+    return F.regexp_extract_all(table, F.lit(vocab.STRAIN_ROW), 0)
+
+
+def strain_row(printed: Column) -> Column:
+    """(strain, symbol) of one printed row."""
+    return F.struct(squeeze(F.regexp_extract(printed, vocab.STRAIN_ROW, 1)).alias("strain"),
+                    F.regexp_extract(printed, vocab.STRAIN_ROW, 2).alias("symbol"))
+
+
+def strain_rows(text: Column, panel: str) -> Column:
+    """Array of (strain, symbol) of the table named ``panel``."""
+    return F.transform(strain_matches(panel_table(text, panel)), strain_row)
 
 
 def _panel(tested, correct, discrepancies) -> Column:
@@ -174,14 +185,13 @@ def panels(story: Column, table: Column, incl_rows: Column, excl_rows: Column
 
 def strain_table(docs: DataFrame, doc: str = "doc_id", text: str = "text",
                  panel_names=("Inclusivity", "Exclusivity")) -> DataFrame:
-    """Long form: (document, panel, strain, symbol)."""
-
-    def rows_of(panel: str) -> Column:
-        return F.transform(strain_rows(F.col(text), panel), lambda r: F.struct(
-            F.lit(panel.lower()).alias("panel"), r["strain"].alias("strain"), r["symbol"].alias("symbol")))
-
-    found = F.flatten(F.array(*[rows_of(p) for p in panel_names]))
-    return docs.select(doc, F.explode_outer(found).alias("r")).filter("r IS NOT NULL").select(doc, "r.*")
+    """Long form: (document, panel, strain, symbol). Tables are cut in a projection
+    of their own and their rows exploded as printed, so each is searched once."""
+    cut = docs.select(doc, *[panel_table(F.col(text), p).alias(f"_{p}") for p in panel_names])
+    tables = cut.select(doc, F.explode(F.array(*[F.struct(
+        F.lit(p.lower()).alias("panel"), F.col(f"_{p}").alias("table")) for p in panel_names])).alias("t"))
+    printed = tables.select(doc, "t.panel", F.explode(strain_matches(F.col("t.table"))).alias("_row"))
+    return printed.select(doc, "panel", strain_row(F.col("_row")).alias("r")).select(doc, "panel", "r.*")
 
 
 def certificate_records(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
