@@ -3,14 +3,16 @@
 A rule (priority, needle, label) applies to values that contain its needle; of all
 rules that apply, the one of least priority gives the label, as in the chains of
 ``functions.rules``. Thousands of rules are matched without trying each on each
-value: a needle is sought by its rarest gram, so values and rules meet in an
-equi-join on grams, and ``contains`` confirms what met. Only distinct values take
-part, and of their grams only those that a rule seeks.
+value: a value is cut into the windows of ``GRAM`` characters that begin at each of
+its places, a needle is sought by one window, and so values and rules meet in an
+equi-join; ``contains`` confirms what met. Only distinct values take part.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 GRAM = 4
 
 
@@ -19,32 +21,40 @@ def _grams(c: Column, width: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1)))
 
 
-def sought(rules: DataFrame, values: DataFrame, width: int = GRAM) -> DataFrame:
-    """Rules with the gram they are sought by: a needle shorter than ``width`` as a
-    whole, any other by that of its grams which the fewest values hold."""
+def _windows(values: DataFrame, width: int) -> DataFrame:
+    """(hash, window): the windows of each value, those at its end filled up, so that
+    a needle shorter than a window is the beginning of one."""
+    filled = F.concat("value", F.lit("\0" * (width - 1)))
+    return values.select("hash", F.explode(_grams(filled, width)).alias("window"))
+
+
+def sought(rules: DataFrame, windows: DataFrame, width: int = GRAM) -> DataFrame:
+    """Rules with the windows they are sought by: a needle shorter than ``width`` all
+    that begin with it, any other that of its own which the fewest values hold.
+    ``windows``: (window, often). Rules none of whose windows any value holds go."""
     short, long = rules.filter(F.length("needle") < width), rules.filter(F.length("needle") >= width)
-    held = values.select(F.explode(_grams(F.col("value"), width)).alias("gram"))
-    asked = long.select("needle", F.explode(_grams(F.col("needle"), width)).alias("gram")).distinct()
-    often = held.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
-    rarest = asked.join(often, "gram", "left").groupBy("needle").agg(
-        F.min(F.struct(F.coalesce("often", F.lit(0)), F.col("gram"))).alias("least"))
-    return (short.withColumn("gram", F.col("needle"))
-            .unionByName(long.join(rarest, "needle").withColumn("gram", F.col("least.gram")).drop("least")))
+    begins = windows.select("window", F.explode(F.array(*[F.substring("window", 1, n) for n in range(1, width)])).alias("needle"))
+    asked = long.select("needle", F.explode(_grams(F.col("needle"), width)).alias("window"))
+    rarest = asked.join(windows, "window", "left").groupBy("needle").agg(
+        F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), F.col("window"))).alias("least")).filter("least.often > 0")
+    return (short.join(begins, "needle").select("needle", "best", "window")
+            .unionByName(long.join(rarest.select("needle", "least.window"), "needle")))
 
 
 def first_rule(values: DataFrame, rules: DataFrame, width: int = GRAM) -> DataFrame:
     """(value, label) of the distinct values of ``values`` (column ``value``) to which a
     rule of ``rules`` (priority, needle, label) applies; equal priorities are decided
-    by the needle. Rules with a null or empty needle never apply."""
-    usable = rules.select("priority", "needle", "label").filter("length(needle) > 0")
-    distinct = values.select("value").filter("value IS NOT NULL").distinct()
-    by_gram = sought(usable, distinct, width)
-    grams = F.flatten(F.array(*[_grams(F.col("value"), w) for w in range(1, width + 1)]))
-    # Grams travel with a hash of their value; whatever meets is confirmed on the values.
-    hashed = F.xxhash64("value").alias("hash")
-    met = (distinct.select(hashed, F.explode(grams).alias("gram")).join(by_gram, "gram").drop("gram")
-           .join(distinct.select(hashed, "value"), "hash").filter(F.contains("value", "needle")))
-    return met.groupBy("value").agg(F.min_by("label", F.struct("priority", "needle")).alias("label"))
+    by the needle, then the label. Rules with a null or empty needle never apply."""
+    usable = rules.filter("length(needle) > 0").groupBy("needle").agg(F.min(F.struct("priority", "label")).alias("best"))
+    distinct = materialize(values.select("value").filter("value IS NOT NULL").distinct()
+                           .select(F.xxhash64("value").alias("hash"), "value"), "rule-values")
+    held = _windows(distinct, width)
+    counted = materialize(held.groupBy("window").agg(F.count(F.lit(1)).alias("often")), "rule-windows")
+    # Windows travel with a hash of their value; whatever meets is confirmed on the values.
+    met = held.join(sought(usable, counted, width), "window").select("hash", "needle", "best").distinct()
+    confirmed = met.join(distinct, "hash").filter(F.contains("value", "needle"))
+    return confirmed.groupBy("hash", "value").agg(
+        F.min_by("best.label", F.struct("best.priority", "needle")).alias("label")).drop("hash")
 
 
 def apply_rules(df: DataFrame, column: str, rules: DataFrame, label: str = "label", key: Column | None = None,
