@@ -103,6 +103,27 @@ def test_sentences_across_pages_equal_the_whole_text(spark):
         assert [(p, n) for p, n, _ in lines[d]] == [(i + 1, len(want)) for i in range(len(want))]
 
 
+@pytest.mark.parametrize("closing", [None, 0, 2000])
+def test_pages_behind_the_last_closing_are_not_put_together(spark, monkeypatch, closing):
+    """A long document whose sentences find no end, one on their page, or one far behind."""
+    pages = [f"Page {i}" for i in range(3000)]
+    pages[5] = ("Among the 9 non-target strains tested, 6 strains were not enumerated with the " + "usual method" * (closing == 0)
+                + " strains were enumerated by both methods: Proteus x and Hafnia y" + "." * (closing == 0))
+    if closing:
+        pages[closing] = "one method. And more"
+    frame = spark.createDataFrame([(1, i, p) for i, p in enumerate(pages)], "doc_id int, page_no int, text string").repartition(4)
+    spans, whole = [], report.stitch.assembled
+    monkeypatch.setattr(report.stitch, "assembled", lambda p, ranges, *rest: (spans.append(ranges), whole(p, ranges, *rest))[1])
+    got = report.prose(frame).first()
+    last = closing or 5
+    assert {(r.kind, r.first, r.last) for r in spans[0].collect()} == {("among", 5, last), ("named", 5, last)}
+    assert got.inclusivity is None
+    # "both methods" ends the first sentence in any case; the second has no end in the first case.
+    assert (got.exclusivity.n_tested, got.exclusivity.n_correctly_detected) == (9, 6)
+    assert [d.strain for d in got.exclusivity.discrepancies][:1] == ([] if closing is None else ["Proteus x"])
+    assert len(got.exclusivity.discrepancies) == (0 if closing is None else 2)
+
+
 def test_merging_counts_every_report(spark):
     pages, cells = report_inputs(spark)
     more = spark.createDataFrame([("r", 0, "Certificate number: AB 01/02-03/04 Qualitative method"), ("s", 0, "Qualitative method")],
