@@ -3,8 +3,11 @@
 Every document gets a vector of transformed statistics. For each language and
 source, the minimum covariance determinant (MCD) is estimated by concentration
 steps over all documents of the group: take the half with the smallest
-Mahalanobis distances, recompute mean and covariance, repeat. A document is
-rejected by a plain base rule or by its distance to its group's estimate.
+Mahalanobis distances, recompute mean and covariance, repeat. The steps run from
+three deterministic starts (medians and quartile ranges, spatial signs around the
+medians, plain mean and covariance), and the one whose half has the least
+determinant is taken. A document is rejected by a plain base rule or by its
+distance to its group's estimate.
 
 The steps are aggregates per group with map-side partial sums: distances are
 counted in fine logarithmic bins with sums of values and products, and the bins
@@ -170,23 +173,44 @@ def _start(rows: DataFrame) -> DataFrame:
         (F.col("o")[i]["s"] * F.col("o")[j]["s"] if i == j else F.lit(0.0)) for i, j in PAIRS]).alias("cov"))
 
 
+def _starts(rows: DataFrame) -> DataFrame:
+    """(grp, start, center, cov): three estimates per group to begin from."""
+    robust = materialize(_start(rows), "mcd-start")
+    spread = [F.sqrt(F.col("cov")[PAIRS.index((i, i))]) + FLOORS[i] for i in range(P)]
+    z = [(F.col("x")[i] - F.col("center")[i]) / spread[i] for i in range(P)]
+    signed = (rows.join(robust, "grp").withColumn("_z", F.array(*z))
+              .withColumn("_r2", F.greatest(sum((F.col("_z")[i] * F.col("_z")[i] for i in range(P)), F.lit(0.0)), F.lit(1e-12))))
+    means = signed.groupBy("grp").agg(
+        *[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(P)],
+        *[F.avg(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}{j}") for i, j in PAIRS],
+        *[F.avg(F.col("_z")[i] * F.col("_z")[j] / F.col("_r2")).alias(f"u{i}{j}") for i, j in PAIRS])
+    both = means.join(robust, "grp")
+    signs = both.select("grp", F.lit(1).alias("start"), "center", F.array(*[
+        P * F.col(f"u{i}{j}") * spread[i] * spread[j] for i, j in PAIRS]).alias("cov"))
+    plain = both.select("grp", F.lit(2).alias("start"), F.array(*[F.col(f"m{i}") for i in range(P)]).alias("center"), F.array(*[
+        F.col(f"p{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") for i, j in PAIRS]).alias("cov"))
+    return robust.select("grp", F.lit(0).alias("start"), "center", "cov").unionByName(signs).unionByName(plain)
+
+
 def _inverted(estimates: DataFrame) -> DataFrame:
-    """Add the inverse of each group's covariance, its eigenvalues held above
-    the floors' variances. One small row per group."""
+    """Add the inverse and the determinant of each covariance, its eigenvalues held
+    above the floors' variances. One small row per group and start."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         floor = np.diag(np.square(FLOORS))
         for frame in frames:
-            inverse = []
+            inverse, det = [], []
             for cov in frame["cov"]:
                 full = np.zeros((P, P))
                 for (i, j), v in zip(PAIRS, cov):
                     full[i, j] = full[j, i] = v
                 inverse.append([float(v) for v in np.linalg.inv(full + floor)[tuple(zip(*PAIRS))]])
-            yield pd.DataFrame({"grp": frame["grp"], "center": frame["center"], "inverse": inverse})
+                det.append(float(np.linalg.det(full + floor)))
+            yield pd.DataFrame({"grp": frame["grp"], "start": frame["start"], "center": frame["center"],
+                                "inverse": inverse, "determinant": det})
 
-    return estimates.select("grp", "center", "cov").mapInPandas(
-        run, "grp string, center array<double>, inverse array<double>")
+    return estimates.select("grp", "start", "center", "cov").mapInPandas(
+        run, "grp string, start int, center array<double>, inverse array<double>, determinant double")
 
 
 def _distance() -> Column:
@@ -196,34 +220,39 @@ def _distance() -> Column:
 
 
 def _concentrated(placed: DataFrame) -> DataFrame:
-    """Per group, mean and covariance of the rows with the smallest distances:
-    whole distance bins, up to the one at which half of the rows is reached.
-    One aggregate over the rows; the rest works on bins."""
+    """Per group and start, mean and covariance of the rows with the smallest
+    distances: whole distance bins, up to the one at which half of the rows is
+    reached. One aggregate over the rows; the rest works on bins."""
     sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(P)]
     sums += [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}{j}") for i, j in PAIRS]
-    bins = (placed.groupBy("grp", F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin"))
+    bins = (placed.groupBy("grp", "start", F.floor(F.log(F.col("d2") + 1e-9) * BINS).alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"), *sums))
-    before = Window.partitionBy("grp").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("grp", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     inner = (bins.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-             .withColumn("_all", F.sum("n").over(Window.partitionBy("grp")))
+             .withColumn("_all", F.sum("n").over(Window.partitionBy("grp", "start")))
              .filter(F.col("_before") < F.ceil(F.col("_all") / 2)))
-    total = inner.groupBy("grp").agg(F.max("bin").alias("half"), F.sum("n").alias("n"), *[
-        F.sum(c).alias(c) for c in bins.columns if c not in ("grp", "bin", "n")])
+    total = inner.groupBy("grp", "start").agg(F.max("bin").alias("half"), F.sum("n").alias("n"), *[
+        F.sum(c).alias(c) for c in bins.columns if c not in ("grp", "start", "bin", "n")])
     return total.select(
-        "grp", "half", F.array(*[F.col(f"s{i}") / F.col("n") for i in range(P)]).alias("center"),
+        "grp", "start", "half", F.array(*[F.col(f"s{i}") / F.col("n") for i in range(P)]).alias("center"),
         F.array(*[F.col(f"p{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n")
                   for i, j in PAIRS]).alias("cov"))
 
 
 def estimate(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """(grp, center, inverse, scale) by concentration steps from a robust
-    start. ``rows`` has grp and the vector x, and is read once per step."""
-    now = materialize(_inverted(_start(rows)), "mcd")
+    """(grp, center, inverse, determinant, scale): of the concentration steps from each
+    start, those that end at the least determinant; of equal ones the first start.
+    ``rows`` has grp and the vector x, and is read once per step."""
+    now = materialize(_inverted(_starts(rows)), "mcd")
     for _ in range(steps):
         now = materialize(_inverted(_concentrated(rows.join(now, "grp").withColumn("d2", _distance()))), "mcd")
-    middle = _concentrated(rows.join(now, "grp").withColumn("d2", _distance())).select("grp", "half")
-    return now.join(middle, "grp").select("grp", "center", "inverse", F.greatest(
-        F.exp((F.col("half") + 1) / BINS) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
+    least = now.groupBy("grp").agg(F.min_by(F.struct("start", "center", "inverse", "determinant"),
+                                            F.struct("determinant", "start")).alias("_best"))
+    best = materialize(least.select("grp", "_best.*"), "mcd-least")
+    middle = _concentrated(rows.join(best, "grp").withColumn("d2", _distance())).select("grp", "half")
+    # Written, so that its size is known to be small where it meets all rows.
+    return materialize(best.join(middle, "grp").select("grp", "center", "inverse", "determinant", F.greatest(
+        F.exp((F.col("half") + 1) / BINS) / CHI2_MEDIAN, F.lit(1.0)).alias("scale")), "mcd-estimates")
 
 
 def judge(docs: DataFrame, limit: float = LIMIT, steps: int = STEPS) -> DataFrame:
@@ -237,8 +266,8 @@ def judge(docs: DataFrame, limit: float = LIMIT, steps: int = STEPS) -> DataFram
     return (rows.join(estimates, "grp", "left")
             .withColumn("distance", _distance() / F.col("scale"))
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True)))
-            .select("row_key", "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                    "n_repeat_words", "base_failed", "distance", "kept"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                    "distance", "lang", "source", "row_key"))
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:

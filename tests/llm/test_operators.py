@@ -48,6 +48,28 @@ def test_concentration_finds_the_majority(spark):
     assert (distance(bad) > quality_rules.LIMIT).all() and (distance(good) < quality_rules.LIMIT).mean() > 0.98
 
 
+def test_least_determinant_equals_many_random_starts(spark):
+    """Three groups of other shapes against concentration from 300 random subsets."""
+    rng = np.random.default_rng(12)
+    mixed = rng.normal(size=(4, 4)) * 0.3
+    groups = {
+        "junk": np.concatenate((rng.normal(0, 0.3, (300, 4)), rng.normal(2, 0.1, (140, 4)))),
+        "tilted": np.concatenate((rng.normal(size=(400, 4)) @ mixed, rng.normal(3, 0.5, (120, 4)))),
+        "heavy": rng.standard_t(2, (400, 4)) * [0.1, 0.2, 0.3, 0.4]}
+    frame = spark.createDataFrame([(g, [float(v) for v in x]) for g, xs in groups.items() for x in xs], "grp string, x array<double>")
+    found = {r.grp: r for r in quality_rules.estimate(frame, steps=8).collect()}
+    floor = np.diag(np.square(quality_rules.FLOORS))
+    for name, x in groups.items():
+        h, least = -(-len(x) // 2), np.inf
+        for _ in range(300):
+            half = x[rng.choice(len(x), 8, replace=False)]
+            for _ in range(15):
+                d = x - half.mean(0)
+                half = x[np.argsort(np.einsum("ni,ij,nj->n", d, np.linalg.inv(np.cov(half.T, bias=True) + floor), d))[:h]]
+            least = min(least, np.linalg.det(np.cov(half.T, bias=True) + floor))
+        assert 0.9 * least < found[name].determinant < 1.25 * least, (name, found[name].determinant / least)
+
+
 def test_rules_on_odd_rows(odd, odd_rows):
     got = quality_rules.judge(odd).collect()
     assert len(got) == len(odd_rows)
