@@ -8,7 +8,7 @@ is cut where the running total of words passes the budget. A source with target
 T has had T words served at time 1, whatever its size.
 
 Running totals over a source or over the whole order are taken in two levels:
-within slots (hash slots of a source, range partitions of the order), and over
+within slots (range partitions of the order, in sources and over all), and over
 the small table of slot totals. One source may hold most rows.
 
 Defined cases: null or empty texts have size 0 and are taken 0 times; null is a
@@ -96,8 +96,10 @@ def _before(rows: DataFrame, group: list[str], slot: str, value: str, order: lis
 def _mix(rows: DataFrame, weights, share: float, most: int) -> DataFrame:
     """``rows``: uid, doc_id, source, key, size, already written."""
     aims = materialize(targets(rows, weights, share, most), "mix-targets")
-    slotted = rows.withColumn("slot", F.substring("_key", 1, 3))
-    placed = _before(slotted, ["source"], "slot", "size", ["_key", "size", "_row_key", "_uid"], "_words")
+    # Slots are ranges of the whole order, so neither a hot source nor one repeated or null id makes a large one.
+    order = ["_key", "size", "_row_key", "_uid"]
+    slotted = materialize(rows.repartitionByRange("source", *order).withColumn("slot", F.spark_partition_id()), "mix-slots")
+    placed = _before(slotted, ["source"], "slot", "size", order, "_words")
     named = aims.select(F.col("source").alias("_source"), "source_size", "target")
     placed = placed.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source", "slot")
     copies = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
@@ -109,8 +111,8 @@ def _mix(rows: DataFrame, weights, share: float, most: int) -> DataFrame:
     budget = aims.agg((share * F.coalesce(F.sum("source_size"), F.lit(0))).alias("_budget"))
     inside = F.col("_served") <= F.col("_budget")
     return (served.crossJoin(F.broadcast(budget)).groupBy("_uid").agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "size", "source", "source_size", "target")],
-        F.sum(F.when(inside, F.col("size")).otherwise(0)).alias("taken"),
+        *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")],
+        F.sum(F.when(inside, F.col("size")).otherwise(0)).alias("taken"), F.first("source").alias("source"),
         F.sum(F.when(inside & (F.col("size") > 0), 1).otherwise(0)).alias("copies")))
 
 
@@ -121,7 +123,7 @@ def _placed(docs: DataFrame, *columns: Column) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, taken, copies."""
+    """One row per document: doc_id, size, source_size, target, taken, source, copies."""
     return _mix(materialize(sizes(_placed(docs)), "mix-sizes"), weights, share, most).drop("_uid")
 
 
