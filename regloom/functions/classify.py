@@ -39,9 +39,9 @@ def plausible_lab(raw: Column, stopwords=vocab.LAB_STOPWORDS) -> Column:
 
 
 def expert_lab(raw: Column, patterns=vocab.EXPERT_LAB_PATTERNS,
-               key: Column | None = None) -> Column:
+               key: Column | None = None, stopwords=vocab.LAB_STOPWORDS) -> Column:
     """A known laboratory always wins; another name only if it looks like one."""
-    kept = F.when(plausible_lab(raw), tidy(raw))
+    kept = F.when(plausible_lab(raw, stopwords), tidy(raw))
     return F.when(present(raw), first_containing(_key(raw, key), patterns, kept))
 
 

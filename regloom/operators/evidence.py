@@ -50,7 +50,7 @@ def trim_capture(c: Column) -> Column:
 
 def find_expert_lab(pages: DataFrame, tokens=vocab.KNOWN_LAB_TOKENS, sentences=vocab.LAB_SENTENCES,
                     patterns=vocab.EXPERT_LAB_PATTERNS, doc: str = "doc_id",
-                    page: str = "page_no", text: str = "text") -> DataFrame:
+                    page: str = "page_no", text: str = "text", stopwords=vocab.LAB_STOPWORDS) -> DataFrame:
     """Known names anywhere in the text first, in list order; else the first
     sentence pattern whose capture is acceptable. Sentences may run over page
     breaks: what begins on one page and ends on a later one is found where they
@@ -77,7 +77,7 @@ def find_expert_lab(pages: DataFrame, tokens=vocab.KNOWN_LAB_TOKENS, sentences=v
     for i, token in enumerate(tokens):
         test = F.col("_rank") == i
         named = F.when(test, token) if named is None else named.when(test, token)
-    from_sentence = F.coalesce(*[classify.expert_lab(F.col(f"_c{i}"), patterns)
+    from_sentence = F.coalesce(*[classify.expert_lab(F.col(f"_c{i}"), patterns, stopwords=stopwords)
                                  for i in range(len(captures))])
     return agg.select(doc, F.coalesce(classify.expert_lab(named, patterns), from_sentence)
                       .alias("expert_laboratory"))
