@@ -22,10 +22,10 @@ def _grams(c: Column, width: int) -> Column:
 
 
 def _windows(values: DataFrame, width: int) -> DataFrame:
-    """(hash, window): the windows of each value, those at its end filled up, so that
+    """(window): the windows of each value, those at its end filled up, so that
     a needle shorter than a window is the beginning of one."""
     filled = F.concat("value", F.lit("\0" * (width - 1)))
-    return values.select("hash", F.explode(_grams(filled, width)).alias("window"))
+    return values.select(F.explode_outer(_grams(filled, width)).alias("window")).filter("window IS NOT NULL")
 
 
 def sought(rules: DataFrame, windows: DataFrame, width: int = GRAM) -> DataFrame:
@@ -46,15 +46,17 @@ def first_rule(values: DataFrame, rules: DataFrame, width: int = GRAM) -> DataFr
     rule of ``rules`` (priority, needle, label) applies; equal priorities are decided
     by the needle, then the label. Rules with a null or empty needle never apply."""
     usable = rules.filter("length(needle) > 0").groupBy("needle").agg(F.min(F.struct("priority", "label")).alias("best"))
-    distinct = materialize(values.select("value").filter("value IS NOT NULL").distinct()
-                           .select(F.xxhash64("value").alias("hash"), "value"), "rule-values")
-    held = _windows(distinct, width)
-    counted = materialize(held.groupBy("window").agg(F.count(F.lit(1)).alias("often")), "rule-windows")
-    # Windows travel with a hash of their value; whatever meets is confirmed on the values.
-    met = held.join(sought(usable, counted, width), "window").select("hash", "needle", "best").distinct()
-    confirmed = met.join(distinct, "hash").filter(F.contains("value", "needle"))
-    return confirmed.groupBy("hash", "value").agg(
-        F.min_by("best.label", F.struct("best.priority", "needle")).alias("label")).drop("hash")
+    distinct = materialize(values.select("value").filter("value IS NOT NULL").distinct(), "rule-values")
+    counted = materialize(_windows(distinct, width).groupBy("window").agg(F.count(F.lit(1)).alias("often")), "rule-windows")
+    # Rules are numbered in their order and written, so that their size is known when they meet the values: few rules
+    # come to where the values lie, whose windows then do not move. What meets is confirmed there, and the least number kept.
+    ranked = materialize(usable.orderBy("best.priority", "needle").select(
+        "needle", F.monotonically_increasing_id().alias("best"), F.col("best.label").alias("label")), "rule-order")
+    asked = materialize(sought(ranked.select("needle", "best"), counted, width), "rule-sought")
+    filled = F.concat("value", F.lit("\0" * (width - 1)))
+    met = distinct.select("value", F.explode_outer(_grams(filled, width)).alias("window")).join(asked, "window")
+    least = met.filter(F.contains("value", "needle")).groupBy("value").agg(F.min("best").alias("best"))
+    return least.join(ranked.select("best", "label"), "best").select("value", "label")
 
 
 def apply_rules(df: DataFrame, column: str, rules: DataFrame, label: str = "label", key: Column | None = None,
