@@ -68,50 +68,55 @@ def quota_windows(events: DataFrame, cap: int = vocab.REQUEST_QUOTA, length: str
 
 
 class EventTimeQuota(StatefulProcessor):
-    """The first ``cap`` events of a (key, bucket) by event time, whatever the order of
-    arrival. Held are at most ``cap`` events, the earliest so far: an event pushed out
-    by earlier ones is refused at once, for nothing that comes later can change
-    it. When the watermark passes the bucket's end, its timer fires: the held ones
-    are accepted and the state goes."""
+    """The first ``cap`` events of a (user, bucket) by event time, whatever the order of
+    arrival. A key is a bucket and a slot of users, all of which one call handles, since
+    a call of its own for each user costs far more than its events. Held are at most ``cap``
+    events of a user, the earliest so far: an event pushed out by earlier ones is refused
+    at once, for nothing that comes later can change it. When the watermark passes the
+    bucket's end, its timer fires: the held ones are accepted and the state goes."""
 
     def __init__(self, cap: int, bucket_ms: int):
         self.cap, self.bucket_ms = cap, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "micros bigint, event_id bigint")
+        self.held = handle.getListState("held", "user_id bigint, micros bigint, event_id bigint")
 
     def _rows(self, key, held: pd.DataFrame, accepted: bool) -> pd.DataFrame:
-        return held.assign(user_id=int(key[0]), bucket_ms=int(key[1]), accepted=accepted)[
+        return held.assign(bucket_ms=int(key[1]), accepted=accepted)[
             ["event_id", "user_id", "micros", "bucket_ms", "accepted"]]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = list(self.held.get())
         if not known:
             self.handle.registerTimer(int(key[1]) + self.bucket_ms)
-        first = pd.DataFrame(known, columns=["micros", "event_id"], dtype="int64")
+        first = pd.DataFrame(known, columns=["user_id", "micros", "event_id"], dtype="int64")
         for frame in rows:
-            met = pd.concat([first, frame[["micros", "event_id"]]]).sort_values(["micros", "event_id"], kind="stable")
-            first, out = met.iloc[:self.cap], met.iloc[self.cap:]
+            met = pd.concat([first, frame[["user_id", "micros", "event_id"]]]).sort_values(
+                ["user_id", "micros", "event_id"], kind="stable")
+            early = met.groupby("user_id", sort=False).cumcount() < self.cap
+            first, out = met[early], met[~early]
             if len(out):
                 yield self._rows(key, out, False)
-        self.held.put([(int(t), int(e)) for t, e in first.itertuples(index=False)])
+        self.held.put([(int(u), int(t), int(e)) for u, t, e in first.itertuples(index=False)])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         known = list(self.held.get())
         self.held.clear()
         if known:
-            yield self._rows(key, pd.DataFrame(known, columns=["micros", "event_id"], dtype="int64"), True)
+            yield self._rows(key, pd.DataFrame(known, columns=["user_id", "micros", "event_id"], dtype="int64"), True)
 
     def close(self) -> None:
         pass
 
 
+#: Slots of users in a bucket.
+SLOTS = 128
 UNIT_MS = {"hour": 3_600_000, "day": 86_400_000}
 
 
 def quota_by_event_time(events: DataFrame, cap: int = vocab.REQUEST_QUOTA, unit: str = "hour",
-                        lateness: str = "1 hour") -> DataFrame:
+                        lateness: str = "1 hour", slots: int = SLOTS) -> DataFrame:
     """Decision per event in order of event time, equal to the batch form for all
     events that are not late. An event is late if its time is not behind the
     watermark, which trails the latest event of former batches by ``lateness``; late
@@ -120,7 +125,8 @@ def quota_by_event_time(events: DataFrame, cap: int = vocab.REQUEST_QUOTA, unit:
     keyed = (events.filter("user_id IS NOT NULL AND ts IS NOT NULL AND event_id IS NOT NULL")
              .select(F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "ts").withWatermark("ts", lateness)
              .withColumn("micros", F.unix_micros("ts")).withColumn("bucket_ms", F.unix_millis(F.date_trunc(unit, "ts"))))
-    decided = keyed.groupBy("user_id", "bucket_ms").transformWithStateInPandas(
+    keyed = keyed.withColumn("slot", F.pmod(F.xxhash64("user_id"), F.lit(slots)).cast("int"))
+    decided = keyed.groupBy("slot", "bucket_ms").transformWithStateInPandas(
         statefulProcessor=EventTimeQuota(cap, UNIT_MS[unit]), outputMode="Append", timeMode="EventTime",
         outputStructType="event_id bigint, user_id bigint, micros bigint, bucket_ms bigint, accepted boolean")
     return decided.select("event_id", "user_id", F.timestamp_micros("micros").alias("ts"),
