@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
 from ..functions import classify
-from ..functions.text import blank_to_null, find, squeeze
+from ..functions.staged import once
+from ..functions.text import INLINE, blank_to_null, find, squeeze
 
 _TAG = r"(?s)<[^>]*>"
 # An anchor's attributes, and what follows up to its end, the next anchor or the end.
@@ -17,6 +18,7 @@ _ANCHOR = r"(?is)<a\b([^>]*)>(.*?)(?=</a\b|<a\b|\z)"
 _VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _HREF = r"(?is)(?:^|[\s\"'/])href" + _VALUE
 _REL = r"(?is)(?:^|[\s\"'/])rel" + _VALUE
+_UPDATED_LINE = "(?i)" + f"{INLINE}+".join("mise à jour et publiée le".split(" "))
 _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
              ("&amp;", "&")]
 
@@ -41,17 +43,24 @@ def text_of(html: Column, gap: str = " ") -> Column:
 def line_array(html: Column) -> Column:
     """Non-blank squeezed lines; a line break tag ends a line."""
     broken = F.regexp_replace(html, r"(?i)<br\b[^>]*>", "\n")
-    lines = F.split(unescape(F.regexp_replace(broken, _TAG, "")), "\n")
-    return F.filter(F.transform(lines, squeeze), lambda x: x != "")
+    # Blanks are squeezed in the whole text, not line by line.
+    return F.filter(F.split(_squeezed_lines(unescape(F.regexp_replace(broken, _TAG, ""))), "\n"), lambda x: x != "")
+
+
+def _squeezed_lines(text: Column) -> Column:
+    """Text in which each line is squeezed."""
+    single = F.regexp_replace(text, f"{INLINE}+", " ")
+    return F.btrim(F.regexp_replace(single, " ?\n ?", "\n"), F.lit(" \n"))
 
 
 def link_array(html: Column) -> Column:
-    """Array of (href, label) in document order."""
-    anchors = F.arrays_zip(F.regexp_extract_all(html, F.lit(_ANCHOR), 1).alias("attrs"),
-                           F.regexp_extract_all(html, F.lit(_ANCHOR), 2).alias("label"))
-    linked = F.filter(anchors, lambda x: x["attrs"].rlike(_HREF))
+    """Array of (href, label) in document order. Anchors are searched once; a tag ends at its first ``>``."""
+    found = F.regexp_extract_all(html, F.lit(_ANCHOR), 0)
+    anchors = F.transform(found, lambda x: F.struct(
+        F.substring_index(x, ">", 1).alias("tag"), F.substr(x, F.instr(x, ">") + 1).alias("label")))
+    linked = F.filter(anchors, lambda x: F.substr(x["tag"], F.lit(3)).rlike(_HREF))
     return F.transform(linked, lambda x: F.struct(
-        unescape(attribute(x["attrs"], _HREF)).alias("href"), text_of(x["label"]).alias("label")))
+        unescape(attribute(F.substr(x["tag"], F.lit(3)), _HREF)).alias("href"), text_of(x["label"]).alias("label")))
 
 
 def attribute(attrs: Column, pattern: str) -> Column:
@@ -81,30 +90,36 @@ def url_slug(url: Column) -> Column:
     return F.element_at(F.split(F.btrim(path, F.lit("/")), "/"), -1)
 
 
+def _inside(element: Column, tag: str) -> Column:
+    """What follows the tag an element begins with, up to its closing tag or the end; '' if the tag has no end."""
+    close = F.instr(element, ">")
+    rest = F.substr(element, close + 1)
+    return F.when(close > 0, F.element_at(F.split(rest, rf"(?i)</{tag}>", 2), 1)).otherwise("")
+
+
 def page_blocks(pages: DataFrame, heading: str = "h2", block: str = "p", page_id: str = "page_id",
-                url: str = "url", html: str = "html") -> DataFrame:
+                url: str = "url", html: str = "html", is_visible: bool = False) -> DataFrame:
     """Blocks under each heading: (page, url, heading_no, heading, block_no,
-    block). A block runs to its closing tag, the next block or the heading."""
-    body = visible(F.col(html))
+    block). A block runs to its closing tag, the next block or the heading.
+    ``is_visible`` says that scripts, styles and comments are gone already."""
+    body = F.col(html) if is_visible else visible(F.col(html))
     sections = F.split(body, rf"(?i)(?=<{heading}\b)")
     parts = (pages.select(page_id, url, F.posexplode_outer(sections).alias("heading_no", "_sec"))
              .filter(F.col("_sec").rlike(rf"(?i)^<{heading}\b")))
-    title = text_of(F.regexp_extract(
-        F.col("_sec"), rf"(?is)^<{heading}\b[^>]*>(.*?)(?:</{heading}>|\z)", 1))
+    title = text_of(_inside(F.col("_sec"), heading))
     blocks = F.split(F.col("_sec"), rf"(?i)(?=<{block}\b)")
-    return (parts.select(page_id, url, "heading_no", title.alias("heading"),
-                         F.posexplode_outer(blocks).alias("block_no", "_b"))
+    # The heading is read once a section, not once a block.
+    return (once(parts, {"heading": title}).select(page_id, url, "heading_no", "heading",
+                                                   F.posexplode_outer(blocks).alias("block_no", "_b"))
             .filter(F.col("_b").rlike(rf"(?i)^<{block}\b"))
-            .withColumn("block", F.regexp_extract(
-                "_b", rf"(?is)^<{block}\b[^>]*>(.*?)(?:</{block}>|\z)", 1))
+            .withColumn("block", _inside(F.col("_b"), block))
             .drop("_b"))
 
 
 def block_fields(blocks: DataFrame, standards: str | None = None) -> DataFrame:
     """Name, maker, aim, standard and the two document links of each block;
     blocks with neither maker nor link are navigation and are dropped."""
-    lines = line_array(F.col("block"))
-    staged = blocks.withColumn("_lines", lines).withColumn("_links", link_array(F.col("block")))
+    staged = once(blocks, {"_lines": line_array(F.col("block")), "_links": link_array(F.col("block"))})
     rest = F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))
     is_maker = (lambda x: F.lower(x).startswith("titulaire") | F.lower(x).startswith("société"))
     maker_line = F.try_element_at(F.filter(rest, is_maker), F.lit(-1))
@@ -127,8 +142,9 @@ def block_fields(blocks: DataFrame, standards: str | None = None) -> DataFrame:
         "_links", lambda x: is_report(x) & ~is_certificate(x)), F.lit(-1))["href"]
     page_standard = F.col(standards) if standards else F.lit(None).cast("string")
     kept = [c for c in blocks.columns if c not in ("block", standards)]
-    return (staged.withColumn("manufacturer", maker).withColumn("aim_raw", aim)
-            .withColumn("certificate_url", certificate).withColumn("summary_report_url", report)
+    # Blocks are dropped by fields that are read once for the test and the result.
+    return (once(staged, {"manufacturer": maker, "aim_raw": aim, "certificate_url": certificate,
+                          "summary_report_url": report})
             .filter((F.coalesce("manufacturer", F.lit("")) != "")
                     | F.col("certificate_url").isNotNull()
                     | F.col("summary_report_url").isNotNull())
@@ -145,7 +161,11 @@ def block_fields(blocks: DataFrame, standards: str | None = None) -> DataFrame:
 
 def page_standards(html: Column, heading: str = "h2", shop: str = vocab.STANDARDS_SHOP) -> Column:
     """Standards linked before the first heading, in page order, else null."""
-    before = F.element_at(F.split(visible(html), rf"(?i)<{heading}\b"), 1)
+    return _standards_of(html, visible(html), heading, shop)
+
+
+def _standards_of(html: Column, body: Column, heading: str = "h2", shop: str = vocab.STANDARDS_SHOP) -> Column:
+    before = F.element_at(F.split(body, rf"(?i)<{heading}\b", 2), 1)
     has = html.rlike(rf"(?i)<{heading}\b")
     named = F.filter(link_array(before), lambda x: F.contains(x["href"], F.lit(shop))
                      | x["label"].rlike(r"^(NF\s|ISO\s|EN\s)"))
@@ -155,10 +175,21 @@ def page_standards(html: Column, heading: str = "h2", shop: str = vocab.STANDARD
 
 def last_updated(html: Column) -> Column:
     """Text of the page's own date line."""
-    lines = F.filter(line_array(F.regexp_replace(visible(html), r"(?i)</(p|div|h\d|li)>", "\n")),
-                     lambda x: x.rlike("(?i)mise à jour et publiée le"))
-    return F.trim(find(F.try_element_at(lines, F.lit(1)),
-                       vocab.PAGE_UPDATED))
+    return _updated_of(_date_text(visible(html)))
+
+
+def _date_text(body: Column) -> Column:
+    """Text in lines, among which the page's date line is sought."""
+    ended = F.regexp_replace(F.regexp_replace(body, r"(?i)</(p|div|h\d|li)>", "\n"), r"(?i)<br\b[^>]*>", "\n")
+    return unescape(F.regexp_replace(ended, _TAG, ""))
+
+
+def _updated_of(text: Column) -> Column:
+    """Takes ``_date_text``; only the first line that has the words is cut out and squeezed."""
+    at = F.regexp_instr(text, F.lit(_UPDATED_LINE))
+    line = F.concat(F.substring_index(F.substr(text, F.lit(1), at - 1), "\n", -1),
+                    F.substring_index(F.substr(text, at), "\n", 1))
+    return F.when(at > 0, F.trim(find(squeeze(line), vocab.PAGE_UPDATED)))
 
 
 def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url",
@@ -166,14 +197,16 @@ def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str =
     """Organism pages to raw page records, in one map-only stage."""
     h1 = F.nullif(text_of(F.regexp_extract(F.col(html), r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)),
                   F.lit(""))
-    head = pages.select(page_id, url, html, h1.alias("_raw"),
-                        page_standards(F.col(html)).alias("_std"),
-                        last_updated(F.col(html)).alias("_upd"))
-    carried = head.withColumn(url, F.struct(F.col(url).alias("url"), "_raw", "_std", "_upd"))
-    blocks = page_blocks(carried, page_id=page_id, url=url, html=html)
+    # What is one per page is read before its blocks are unrolled, what is one per section in ``page_blocks``.
+    body = once(pages.select(page_id, url, html), {"_body": visible(F.col(html))})
+    head = once(body, {"_raw": h1, "_std": _standards_of(F.col(html), F.col("_body")), "_dated": _date_text(F.col("_body")),
+                       "_slug": url_slug(F.col(url))})
+    named = once(head, {"_upd": _updated_of(F.col("_dated")), "_organism": classify.organism_of_slug(F.col("_slug"), F.col("_raw"))})
+    carried = named.select(page_id, F.struct(F.col(url).alias("url"), "_raw", "_std", "_upd", "_organism").alias(url),
+                           F.col("_body").alias(html))
+    blocks = page_blocks(carried, page_id=page_id, url=url, html=html, is_visible=True)
     flat = blocks.select(page_id, "heading", "block_no", "heading_no", "block",
-                         F.col(url)["url"].alias("url"), F.col(url)["_raw"].alias("_raw"),
-                         F.col(url)["_std"].alias("_std"), F.col(url)["_upd"].alias("_upd"))
+                         *[F.col(url)[c].alias(c) for c in ("url", "_raw", "_std", "_upd", "_organism")])
     f = block_fields(flat, standards="_std")
     none = F.lit(None).cast("string")
     return f.select(
@@ -183,8 +216,7 @@ def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str =
         .alias("manufacturer"),
         F.struct("action", classify.technology_from_heading(F.col("heading")).alias("category"))
         .alias("method_type"),
-        F.struct(classify.organism_of_slug(url_slug(F.col("url")), F.col("_raw"))
-                 .alias("normalized"), F.col("_raw").alias("raw")).alias("target_organism"),
+        F.struct(F.col("_organism").alias("normalized"), F.col("_raw").alias("raw")).alias("target_organism"),
         F.struct(F.col("reference_standard").alias("standard"), F.col("aim_raw").alias("raw"))
         .alias("reference_method"),
         F.struct(F.lit("live_web_page").alias("source_document_type"),
@@ -203,8 +235,7 @@ def row_cells(pages: DataFrame, row: str = "tr", cell: str = "t[hd]", page_id: s
                                  F.lit(rf"(?is)<{cell}\b[^>]*>(.*?)</{cell}>"), 1)
     return (pages.select(page_id, F.posexplode_outer(rows).alias("row_no", "_r"))
             .filter(F.col("_r").rlike(rf"(?i)^<{row}\b"))
-            .select(page_id, "row_no", F.regexp_extract(
-                "_r", rf"(?is)^<{row}\b[^>]*>(.*?)(?:</{row}>|\z)", 1).alias("row_html"))
+            .select(page_id, "row_no", _inside(F.col("_r"), row).alias("row_html"))
             .withColumn("cell_html", inner)
             .withColumn("cells", F.transform("cell_html", lambda x: text_of(x))))
 
