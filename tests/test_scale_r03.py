@@ -39,3 +39,34 @@ def test_odd_markup_keeps_its_lines_links_and_dates(spark):
     assert r.lines[:2] == ["a b", "c & <d"]
     assert [tuple(x) for x in r.links] == [("/x", "one"), ("y", "two \"")]
     assert (r.date, r.o, r.c, r.n, r.none) == ("3 mai 2020", "", "a", "x</q>", None)
+
+
+def test_ranges_of_dates_meet_days_not_entries(spark):
+    """Many ranges over few conditions: each condition meets the entries once."""
+    import datetime as dt
+    from regloom.operators import requests
+    base = dt.date(2020, 1, 1)
+    rows = [(f"e{i}", "S" + str(i % 2), "active" if i % 3 else "expired", "tech", "org", f"m{i * 7 % 23:02d}" if i % 11 else None, "lab",
+             f"kit {i % 5}", "label", f"c{i}", "", base + dt.timedelta(days=i * 13 % 400) if i % 7 else None, i % 4 == 0) for i in range(300)]
+    entries = spark.createDataFrame(rows, "id string, source string, status string, method_category string, organism string, manufacturer_name string, "
+                                    "expert_laboratory string, commercial_name string, method_category_label string, source_certificate_number string, "
+                                    "reference_method string, current_expiry date, has_performance_data boolean")
+    asked = []
+    for n in range(120):
+        lo = str(base + dt.timedelta(days=n * 3)) if n % 3 else ""
+        hi = str(base + dt.timedelta(days=n * 3 + n % 97)) if n % 4 else ("2020-02-31" if n == 8 else "")
+        asked.append((f"r{n}", ["S1"] if n % 5 == 0 else [], lo, hi, ["", "", "kit 3", "2"][n % 4]))
+    none = F.array().cast("array<string>")
+    reqs = spark.createDataFrame(asked, "request_id string, sources array<string>, expires_after string, expires_before string, text string").select(
+        "*", *[none.alias(c) for c in ("statuses", "technologies", "organisms", "manufacturers", "expert_laboratories")], F.lit(True).alias("understood"))
+    today = dt.date(2020, 6, 1)
+    got = {r.request_id: tuple(r)[1:] for r in requests.answer(reqs, entries, str(today)).collect()}
+    for rid, sources, lo, hi, words in asked:
+        hit = [r for r in rows if (not sources or r[1] in sources) and (words == "" or words in " ".join(x.lower() for x in (r[7], r[5], r[4], r[8], r[6], r[9]) if x))
+               and hi != "2020-02-31" and ((not lo and not hi) or (r[11] and (not lo or str(r[11]) >= lo) and (not hi or str(r[11]) < hi)))]
+        names = sorted({r[5] for r in hit if r[5]})
+        soon = sum(1 for r in hit if r[11] and 0 <= (r[11] - today).days / 30.44 < 12)
+        assert got[rid] == (len(hit), len(names), soon, sum(r[2] == "expired" for r in hit), sum(r[12] for r in hit), ", ".join(names[:3])), rid
+    filters = requests.conditions_of(requests.distinct_filters(reqs)[0])
+    days = requests.count_conditions(filters, entries, str(today))
+    assert days.agg(F.sum("_n")).first()[0] <= filters.select("condition_id").distinct().count() * len(rows)
