@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import web
-from .inputs import LINE_ORDER, phrase, table
+from .inputs import LINE_ORDER, phrase, spread, table
 from .registry import query
 
 
@@ -158,7 +158,8 @@ def detail_fields(spark, sf):
         F.when(F.col("c_mktsegment") == "MACHINERY",
                "<tr><td>Study report</td><td><a href=\"/r.pdf\">Download</a></td></tr>")
         .otherwise("<tr><td>Study report</td><td>none</td></tr>"), F.lit("</table>"))
-    pages = table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+    # A page is a row of a small file: dealt out, or one task reads and parses all of them.
+    pages = spread(table(spark, sf, "customer"), "c_custkey").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
     d = web.detail_fields(pages)
     return d.select("page_id", F.col("Matrices").alias("matrices"),
                     F.col("Supplier - manufacturer").alias("maker"), "certificate_pdf_url",

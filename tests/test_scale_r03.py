@@ -70,3 +70,9 @@ def test_ranges_of_dates_meet_days_not_entries(spark):
     filters = requests.conditions_of(requests.distinct_filters(reqs)[0])
     days = requests.count_conditions(filters, entries, str(today))
     assert days.agg(F.sum("_n")).first()[0] <= filters.select("condition_id").distinct().count() * len(rows)
+
+
+def test_rows_of_small_files_are_dealt_before_costly_expressions(spark, sf):
+    for name, key in (("text_keys", "doc_id"), ("detail_fields", "c_custkey")):
+        leaf = plan(entry.queries()[name](spark, sf)).split("FileScan")[0].rstrip().split("\n")[-2:]
+        assert any(f"Exchange hashpartitioning({key}" in x and "REPARTITION_BY_NUM" in x for x in leaf), name
