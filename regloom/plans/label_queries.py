@@ -11,7 +11,7 @@ from .. import vocab
 from ..functions import classify, text, values
 from ..operators import catalogue
 from . import inputs
-from .inputs import noun, phrase, sql_phrase, table
+from .inputs import noun, phrase, spread, sql_phrase, table
 from .registry import query
 
 NOUN_SQL = "split_part(p_name, ' ', 2)"
@@ -198,7 +198,8 @@ SELECT doc_id, md5(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '',
 FROM documents""")
 def text_keys(spark, sf):
     t = F.col("text")
-    return table(spark, sf, "documents").select(
+    # A file of one row group is one task, and the keys cost far more than dealing the texts.
+    return spread(table(spark, sf, "documents"), "doc_id").select(
         "doc_id", F.md5(text.fold_key(t)).alias("fold"), F.md5(text.name_key(t)).alias("name_key"),
         F.md5(text.slug(t)).alias("slug"), F.md5(text.tidy(t)).alias("tidy"))
 
