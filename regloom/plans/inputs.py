@@ -28,10 +28,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows dealt by their key before they are unrolled into many: a small file is one
-    task, and what is unrolled from its rows stays partitioned by the key."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by their keys before they are unrolled into many: a small file is one
+    task, and what is unrolled from its rows stays partitioned by the keys."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def phrase(c: Column, mapping: dict[str, str]) -> Column:

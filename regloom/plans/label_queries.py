@@ -218,7 +218,8 @@ def printed_values(spark, sf):
     number = F.concat(F.lit("AB "), F.lpad((F.col("l_suppkey") % 90 + 10).cast("string"), 2, "0"),
                       F.lit(" / 02 – 03 /04"))
     cents = F.round(values.to_double(values.last_number(price)) * -100).cast("bigint")
-    return (table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate")
+    return (spread(lines, "l_orderkey", "l_linenumber", "l_suppkey").select(
         "l_orderkey", F.col("l_linenumber").cast("string").alias("l_linenumber_s"),
         cents.alias("cents"), values.english_date(english).cast("string").alias("english"),
         values.french_date(french).cast("string").alias("french"),

@@ -73,6 +73,7 @@ def test_ranges_of_dates_meet_days_not_entries(spark):
 
 
 def test_rows_of_small_files_are_dealt_before_costly_expressions(spark, sf):
-    for name, key in (("text_keys", "doc_id"), ("detail_fields", "c_custkey")):
-        leaf = plan(entry.queries()[name](spark, sf)).split("FileScan")[0].rstrip().split("\n")[-2:]
-        assert any(f"Exchange hashpartitioning({key}" in x and "REPARTITION_BY_NUM" in x for x in leaf), name
+    for name, key in (("text_keys", "doc_id"), ("detail_fields", "c_custkey"), ("printed_values", "l_orderkey")):
+        text = plan(entry.queries()[name](spark, sf))
+        assert f"Exchange hashpartitioning({key}" in text and "REPARTITION_BY_NUM" in text, name
+        assert "regexp" not in text.split("REPARTITION_BY_NUM")[1], name
