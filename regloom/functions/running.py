@@ -9,13 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialize
+
 BLOCK = 8192
 
 
 def running_max(df: DataFrame, keys: list[str], position: str, values: dict[str, Column],
                 inclusive: bool = True, block: int = BLOCK) -> DataFrame:
     """Add, per row, the largest non-null value of each column among the rows
-    of the same keys up to ``position`` (before it when not ``inclusive``)."""
+    of the same keys up to ``position`` (before it when not ``inclusive``).
+
+    Rows are written once with the values of their own block, so that rows that come
+    partitioned by their keys are not shuffled, nor worked out twice, for the carried ones."""
     work = df.withColumn("_block", F.floor(F.col(position) / block))
     for name, value in values.items():
         work = work.withColumn(f"_v_{name}", value)
@@ -24,13 +29,13 @@ def running_max(df: DataFrame, keys: list[str], position: str, values: dict[str,
             .rowsBetween(Window.unboundedPreceding, upto))
     earlier = (Window.partitionBy(*keys).orderBy("_block")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carried = work.groupBy(*keys, "_block").agg(
+    local = materialize(work.select("*", *[F.max(f"_v_{n}").over(here).alias(f"_l_{n}") for n in values]), "running")
+    carried = local.groupBy(*keys, "_block").agg(
         *[F.max(f"_v_{n}").alias(f"_b_{n}") for n in values])
     carried = carried.select(*keys, "_block",
                              *[F.max(f"_b_{n}").over(earlier).alias(f"_c_{n}") for n in values])
     # One row per block; blocks that receive nothing need not join.
     carried = carried.filter(" OR ".join(f"_c_{n} IS NOT NULL" for n in values))
-    local = work.select("*", *[F.max(f"_v_{n}").over(here).alias(f"_l_{n}") for n in values])
     joined = local.join(carried, [*keys, "_block"], "left")
     out = joined.select(
         *df.columns,

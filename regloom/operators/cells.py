@@ -1,16 +1,16 @@
 """Category rows of results tables, from a long table of cells.
 
-``report_cells(doc_id, page_no, table_no, row_no, col_no, cell)``; a table is
-(document, page, table). Rows of a table are never gathered: what one row needs
-to know of earlier rows comes from ``running_max``.
+``report_cells(doc_id, page_no, table_no, row_no, col_no, cell)``, or the rows as
+lists of cells; a table is (document, page, table). Rows of a table are never
+gathered: what one row needs to know of earlier rows comes from ``running_max``.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schemas
 from ..functions import values
-from ..functions.running import running_max
+from ..functions.running import BLOCK, running_max
 from ..functions.text import squeeze
 from ..session import materialize
 
@@ -19,6 +19,15 @@ _ALL = r"(?i)^all\s+(categor|product)"
 _DIGITS = r"^\d+$"
 
 
+def _squeezed(c: Column) -> Column:
+    """``squeeze`` of a plain column: ASCII without white space other than single blanks needs
+    no expression. The column is read several times, so it must be cheap."""
+    odd = F.length(c) != F.octet_length(c)
+    for blank in ("  ", "\t", "\n", "\r", "\x0b", "\f"):
+        odd = odd | F.contains(c, F.lit(blank))
+    return F.when(odd, squeeze(c)).otherwise(F.trim(c))
+
+
 def table_rows(cells: DataFrame) -> DataFrame:
     """One row per table row: its non-blank cells (blank ones are the spans of
     merged cells) and their columns, in column order. Written to the shared
@@ -27,14 +36,25 @@ def table_rows(cells: DataFrame) -> DataFrame:
     A cell is squeezed once, before the shuffle, and blank ones become null
     there, which a collected list leaves out.
     """
-    squeezed = F.nullif(squeeze(F.col("cell")), F.lit(""))
+    squeezed = F.nullif(_squeezed(F.col("cell")), F.lit(""))
     ordered = F.array_sort(F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("col_no", "cell"))))
     grouped = cells.select(*TABLE, "row_no", "col_no", squeezed.alias("cell")).groupBy(*TABLE, "row_no").agg(ordered.alias("_c"))
     return materialize(grouped.filter(F.size("_c") > 0).select(
-        *TABLE, "row_no", F.transform("_c", lambda x: x["cell"]).alias("values"),
+        *TABLE, "row_no", F.element_at("_c", 1)["cell"].alias("first"), F.transform("_c", lambda x: x["cell"]).alias("values"),
         F.transform("_c", lambda x: x["col_no"]).alias("cols")), "table-rows")
 
 
+def listed_rows(rows: DataFrame) -> DataFrame:
+    """The same from rows that come whole, ``(doc_id, page_no, table_no, row_no, cells)`` with the
+    cells of a row in a list. Nothing is shuffled or written, so rows dealt by document stay so
+    in all that follows. The first cell is read alone: most tests on rows need no other."""
+    filled = F.filter(F.transform("cells", _squeezed), lambda x: x != "")
+    cols = F.filter(F.transform("cells", lambda x, i: F.when(_squeezed(x) != "", i)), lambda i: i.isNotNull())
+    lead = _squeezed(F.try_element_at("cells", F.lit(1)))
+    first = F.when(lead != "", lead).otherwise(F.try_element_at(filled, F.lit(1)))
+    return rows.select(*TABLE, "row_no", first.alias("first"), filled.alias("values"), cols.alias("cols")).filter("first IS NOT NULL")
+
+
 def is_data_row(first: Column) -> Column:
     return first.rlike(_DIGITS) | first.rlike(_ALL)
 
@@ -42,7 +62,7 @@ def is_data_row(first: Column) -> Column:
 def data_starts(rows: DataFrame) -> DataFrame:
     """First data row per table, by a partial aggregate. Tables that begin with
     data, or have none, carry no header and are left out."""
-    first = F.element_at("values", 1)
+    first = F.col("first")
     spans = rows.groupBy(*TABLE).agg(
         F.min(F.when(is_data_row(first), F.col("row_no"))).alias("data_start"),
         F.min("row_no").alias("_top"))
@@ -53,7 +73,11 @@ def headers(rows: DataFrame) -> DataFrame:
     """Labels per table: header rows are joined column by column, blank columns
     dropped. Columns: table key, data_start, labels."""
     # Data rows cannot be header rows; leaving them out first keeps the join small.
-    heads = (rows.filter(~is_data_row(F.element_at("values", 1)))
+    # Nor can rows behind a data row of their own block, which are dropped before any join.
+    top = Window.partitionBy(*TABLE, "_block").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    above = (rows.withColumn("_block", F.floor(F.col("row_no") / BLOCK)).withColumn("_data", is_data_row(F.col("first")))
+             .withColumn("_below", F.max("_data").over(top)).filter(~F.col("_below")).drop("_block", "_data", "_below", "first"))
+    heads = (above
              .join(data_starts(rows), TABLE).filter(F.col("row_no") < F.col("data_start")))
     parts = (heads.select(*TABLE, "data_start", "row_no",
                           F.explode_outer(F.arrays_zip("cols", "values")).alias("z"))
@@ -78,7 +102,7 @@ def data_rows(rows: DataFrame, header: DataFrame) -> DataFrame:
     """Data rows of the given tables, without cross-category rows."""
     return (rows.drop("cols").join(header, TABLE)
             .filter(F.col("row_no") >= F.col("data_start"))
-            .filter(~F.element_at("values", 1).rlike(_ALL)))
+            .filter(~F.col("first").rlike(_ALL)))
 
 
 def walk_categories(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
@@ -90,14 +114,14 @@ def walk_categories(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
     """
     width = F.size("labels")
     size = F.size("values")
-    first = F.element_at("values", 1)
+    first = F.col("first")
     flat = size == width + 1
     total = ~flat & (size == width - 1) & (F.lower(first) == "total")
     label = ~flat & ~total & (size <= 2) & first.rlike(_DIGITS)
     marked = (rows.withColumn("kind", F.when(flat, "flat").when(total, "total")
                               .when(label, "label")).filter("kind IS NOT NULL")
-              .drop("labels", "data_start"))
-    seen = running_max(materialize(marked, "category-rows"), TABLE, "row_no", {
+              .drop("labels", "data_start", "first"))
+    seen = running_max(marked, TABLE, "row_no", {
         "last_label": F.when(F.col("kind") == "label", F.struct(
             F.col("row_no").alias("row"), F.element_at("values", -1).alias("name"))),
         "last_total": F.when(F.col("kind") == "total", F.col("row_no"))}, inclusive=False)
@@ -183,11 +207,11 @@ def method_comparison(table_rows: DataFrame) -> DataFrame:
               .withColumn("_ref", _from_end("se", "ref"))
               .filter("_alt IS NOT NULL AND _ref IS NOT NULL"))
     rows = data_rows(table_rows, header)
-    first = F.element_at("values", 1)
+    first = F.col("first")
     kinds = (rows.withColumn("opens", first.rlike(_DIGITS))
              .withColumn("totals", F.lower(first) == "total")
              .filter("opens OR totals"))
-    segments = running_max(materialize(kinds, "category-rows"), TABLE, "row_no",
+    segments = running_max(kinds.drop("first", "labels", "data_start"), TABLE, "row_no",
                            {"segment": F.when(F.col("opens"), F.col("row_no"))})
     grouped = (segments.filter("segment IS NOT NULL")
                .groupBy(*TABLE, F.col("segment").alias("row_no"), "_alt", "_ref")

@@ -86,3 +86,26 @@ def test_first_matching_table_wins_and_total_rows_replace(spark):
     got = [(r.doc_id, r.category, r.sensitivity_alternative_pct, r.sensitivity_reference_pct) for r in
            cells.method_comparison(cells.table_rows(to_cells(spark, tables))).orderBy("row_no").collect()]
     assert got == [("d", "Meat", 95.0, 96.0), ("d", "Fish", 80.0, 81.0)]
+
+
+def test_rows_in_lists_are_neither_shuffled_nor_changed(spark):
+    """The same rows as from single cells, odd white space and blank leading cells included."""
+    grids = {("d", 1, 0): random_grid(random.Random(7), 60) + [[None, " a  b", "c"], ["", "\t"], ["x\ny", None, "z  z "]]}
+    listed = spark.createDataFrame([(d, p, t, r, row) for (d, p, t), grid in grids.items() for r, row in enumerate(grid)],
+                                   "doc_id string, page_no int, table_no int, row_no int, cells array<string>")
+    got = cells.listed_rows(listed)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = cells.table_rows(to_cells(spark, grids)).orderBy("row_no").collect()
+    assert [r.asDict() for r in got.orderBy("row_no").collect()] == [r.asDict() for r in want]
+    for make in (cells.headers, cells.relative_trueness):
+        both = [sorted(map(str, make(rows).collect())) for rows in (got, cells.table_rows(to_cells(spark, grids)))]
+        assert both[0] == both[1] and both[0]
+
+
+def test_rows_behind_data_rows_meet_no_header(spark):
+    """Header rows in a block behind the first data row, and above it in several blocks."""
+    rows = [("d", 0, 0, 0, ["Category", "SD"]), ("d", 0, 0, 9000, ["more", "bias"]), ("d", 0, 0, 9001, ["1", "x"]),
+            ("d", 0, 0, 9002, ["Total", "y"]), ("d", 0, 0, 20000, ["Total", "z"]), ("e", 0, 0, 3, ["1", "2"]), ("f", 0, 0, 3, ["a", "2"])]
+    df = spark.createDataFrame(rows, "doc_id string, page_no int, table_no int, row_no int, cells array<string>")
+    assert [(r.doc_id, r.data_start, r.labels) for r in cells.headers(cells.listed_rows(df)).collect()] == [
+        ("d", 9001, ["Category more", "SD bias"])]
