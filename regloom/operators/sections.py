@@ -30,18 +30,18 @@ def with_sections(docs: DataFrame, name: str, text: str = "text",
     next hit.
 
     A plain substring test picks the headings a text has at all, and only those
-    are searched by regular expression. The headings are looped over as data:
-    unrolled, they would make a method too long to be compiled.
+    are searched by regular expression. Each heading is a branch with a fixed pattern,
+    which is compiled once a task: as data of a loop, patterns would be compiled for every
+    text. The branches stand in a filter's array, which keeps them out of generated methods.
     """
-    table = F.array(*[F.struct(F.lit(key).alias("name"), F.lit("(?iU)" + p).alias("pattern"),
-                               F.lit(_needle(p)).alias("needle")) for key, p in headings])
-    present_ = F.filter(table, lambda h: F.contains(F.col("_upper"), h["needle"]))
-    hits = F.transform(F.col("_present"), lambda h: F.struct(
-        F.regexp_instr(text, h["pattern"]).alias("start"),
-        F.length(F.regexp_substr(text, h["pattern"])).alias("size"), h["name"].alias("name")))
-    staged = (docs.withColumn("_upper", F.upper(text)).withColumn("_present", present_)
-              .withColumn("_found", F.array_sort(F.filter(hits, lambda h: h["start"] > 0)))
-              .drop("_upper", "_present"))
+    def hit(key: str, pattern: str) -> Column:
+        # The first letter is looked at before the word boundary, which is dear to test at every place.
+        found_ = F.lit("(?iU)" + re.sub(r"(^|\|)\\b([A-Z])", r"\1(?=\2)\\b\2", pattern))
+        return F.when(F.contains("_upper", F.lit(_needle(pattern))), F.struct(
+            F.regexp_instr(text, found_).alias("start"), F.length(F.regexp_substr(text, found_)).alias("size"), F.lit(key).alias("name")))
+
+    hits = F.filter(F.array(*[hit(key, p) for key, p in headings]), lambda h: h["start"] > 0)
+    staged = docs.withColumn("_upper", F.upper(text)).withColumn("_found", F.array_sort(hits)).drop("_upper")
     found = F.col("_found")
 
     def cut(hit: Column, i: Column) -> Column:
