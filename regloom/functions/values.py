@@ -91,6 +91,12 @@ def last_number(c: Column) -> Column:
     return F.try_element_at(F.regexp_extract_all(c, F.lit(r"(-?\d+[.,]?\d*)"), 1), F.lit(-1))
 
 
+def last_double(c: Column) -> Column:
+    """``to_double`` of ``last_number``; a text that is a number alone is not searched for others."""
+    alone = c.rlike(r"^-?[0-9]+[.,]?[0-9]*\z")
+    return F.when(alone, F.replace(c, F.lit(","), F.lit(".")).try_cast("double")).otherwise(to_double(last_number(c)))
+
+
 def months_left(expiry: Column, today) -> Column:
     return F.datediff(expiry, _date_literal(today)) / F.lit(30.44)
 

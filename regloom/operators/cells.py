@@ -12,7 +12,7 @@ from .. import schemas
 from ..functions import values
 from ..functions.running import BLOCK, running_max
 from ..functions.text import squeeze
-from ..session import materialize
+from ..session import materialize, union
 
 TABLE = ["doc_id", "page_no", "table_no"]
 _ALL = r"(?i)^all\s+(categor|product)"
@@ -49,6 +49,10 @@ def listed_rows(rows: DataFrame) -> DataFrame:
     cells of a row in a list. Nothing is shuffled or written, so rows dealt by document stay so
     in all that follows. The first cell is read alone: most tests on rows need no other."""
     filled = F.filter(F.transform("cells", _squeezed), lambda x: x != "")
+    # One test a row: most rows are plain and need their cells trimmed only.
+    whole = F.array_join("cells", "|")
+    plain = (F.length(whole) == F.octet_length(whole)) & ~whole.rlike(r"[\t-\r]|  ")
+    filled = F.when(plain, F.array_remove(F.array_compact(F.transform("cells", lambda x: F.trim(x))), "")).otherwise(filled)
     cols = F.filter(F.transform("cells", lambda x, i: F.when(_squeezed(x) != "", i)), lambda i: i.isNotNull())
     lead = _squeezed(F.try_element_at("cells", F.lit(1)))
     first = F.when(lead != "", lead).otherwise(F.try_element_at(filled, F.lit(1)))
@@ -56,7 +60,9 @@ def listed_rows(rows: DataFrame) -> DataFrame:
 
 
 def is_data_row(first: Column) -> Column:
-    return first.rlike(_DIGITS) | first.rlike(_ALL)
+    # Their first character spares most rows the expressions.
+    lead = F.substring(first, 1, 1)
+    return (lead.between("0", "9") & first.rlike(_DIGITS)) | (lead.isin("a", "A") & first.rlike(_ALL))
 
 
 def data_starts(rows: DataFrame) -> DataFrame:
@@ -105,6 +111,60 @@ def data_rows(rows: DataFrame, header: DataFrame) -> DataFrame:
             .filter(~F.col("first").rlike(_ALL)))
 
 
+def _labels(heads: Column) -> Column:
+    """Labels of a list of header rows ``(row_no, cols, values)``: those of ``headers``."""
+    def label(col: Column) -> Column:
+        parts = F.flatten(F.transform(heads, lambda h: F.transform(
+            F.filter(F.arrays_zip(h["cols"].alias("cols"), h["values"].alias("values")), lambda z: z["cols"] == col),
+            lambda z: F.struct(h["row_no"].alias("row_no"), z["values"].alias("value")))))
+        return F.array_join(F.transform(F.array_sort(parts), lambda x: x["value"]), " ")
+
+    cols = F.array_sort(F.array_distinct(F.flatten(F.transform(heads, lambda h: h["cols"]))))
+    return F.transform(cols, label)
+
+
+def _in_block(upto: int | None = None):
+    """Rows of a block in order: all that come before, up to so many from the row on."""
+    order = Window.partitionBy(*TABLE, "_block").orderBy("row_no")
+    return order if upto is None else order.rowsBetween(Window.unboundedPreceding, upto)
+
+
+def headed_rows(rows: DataFrame, keywords: list[str], places: dict[str, Column]) -> DataFrame:
+    """Data rows of the tables that lie in their first block and whose header has the keywords,
+    with ``width`` (labels) and the ``places`` worked out on the labels. All is found along one
+    order of the rows of a block, so rows dealt by document are read once and not joined.
+    ``_far`` marks the first row of each later block instead: its table is not among these alone."""
+    first, top = F.col("first"), F.col("row_no") == F.col("_top")
+    far = F.col("_block") > 0
+    whole = _in_block(Window.unboundedFollowing)
+    marked = (rows.withColumn("_block", F.greatest(F.floor(F.col("row_no") / BLOCK), F.lit(0)))
+              .withColumn("_data_start", F.min(F.when(is_data_row(first), F.col("row_no"))).over(whole))
+              .withColumn("_top", F.min("row_no").over(whole))
+              .filter((far & top) | (~far & (F.col("_data_start") > F.col("_top")))))
+    above = F.when(F.col("row_no") < F.col("_data_start"), F.struct("row_no", "cols", "values"))
+    listed = marked.withColumn("_heads", F.when(top, F.collect_list(above).over(whole))).drop("cols")
+    labels = F.col("labels")
+    good = F.lit(True)
+    for word in keywords:
+        good = good & F.contains(F.lower(F.array_join(labels, " ")), F.lit(word))
+    header = F.struct(F.size(labels).alias("width"), *[c.alias(name) for name, c in places.items()])
+    headed = (listed.withColumn("labels", F.when(~far & top, _labels(F.col("_heads")))).drop("_heads")
+              .withColumn("_header", F.when(labels.isNotNull() & good, header)).drop("labels")
+              .withColumn("_header", F.max("_header").over(_in_block(0))))
+    return (headed.filter(far | (F.col("_header").isNotNull() & (F.col("row_no") >= F.col("_data_start")) & ~(F.substring(first, 1, 1).isin("a", "A") & first.rlike(_ALL))))
+            .select(*TABLE, "_block", "row_no", "first", "values", far.alias("_far"), "_header.*"))
+
+
+def _by_block(found: DataFrame, rows: DataFrame, walk) -> DataFrame:
+    """What was found in first blocks; tables that go on behind are walked whole instead."""
+    found = materialize(found, "table-results")
+    far = found.filter("_far").select(*TABLE).distinct()
+    near = found.filter("NOT _far").drop("_far")
+    if far.isEmpty():
+        return near
+    return union(near.join(far, TABLE, "left_anti"), walk(rows.join(far, TABLE, "left_semi")))
+
+
 def walk_categories(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
     """Rows that carry a category's metrics: (table, row, category, metrics)
     and the ``carry`` columns; metrics line up with the labels after the first.
@@ -112,19 +172,25 @@ def walk_categories(rows: DataFrame, carry: list[str] = ()) -> DataFrame:
     Flat rows hold number, name and metrics. Otherwise a label-only row names
     the category and the next ``Total`` row holds its metrics, once.
     """
-    width = F.size("labels")
-    size = F.size("values")
-    first = F.col("first")
-    flat = size == width + 1
-    total = ~flat & (size == width - 1) & (F.lower(first) == "total")
-    label = ~flat & ~total & (size <= 2) & first.rlike(_DIGITS)
-    marked = (rows.withColumn("kind", F.when(flat, "flat").when(total, "total")
-                              .when(label, "label")).filter("kind IS NOT NULL")
+    marked = (rows.withColumn("kind", _kind(F.size("labels"))).filter("kind IS NOT NULL")
               .drop("labels", "data_start", "first"))
-    seen = running_max(marked, TABLE, "row_no", {
-        "last_label": F.when(F.col("kind") == "label", F.struct(
-            F.col("row_no").alias("row"), F.element_at("values", -1).alias("name"))),
-        "last_total": F.when(F.col("kind") == "total", F.col("row_no"))}, inclusive=False)
+    return _walked(running_max(marked, TABLE, "row_no", _last(), inclusive=False), carry)
+
+
+def _kind(width: Column) -> Column:
+    size, first = F.size("values"), F.col("first")
+    flat = size == width + 1
+    total = (size == width - 1) & (F.lower(first) == "total")
+    return F.when(flat, "flat").when(total, "total").when((size <= 2) & first.rlike(_DIGITS), "label")
+
+
+def _last() -> dict[str, Column]:
+    return {"last_label": F.when(F.col("kind") == "label", F.struct(
+                F.col("row_no").alias("row"), F.element_at("values", -1).alias("name"))),
+            "last_total": F.when(F.col("kind") == "total", F.col("row_no"))}
+
+
+def _walked(seen: DataFrame, carry: list[str]) -> DataFrame:
     pending = (F.col("last_label").isNotNull()
                & (F.col("last_total").isNull() | (F.col("last_label.row") > F.col("last_total"))))
     kept = seen.filter((F.col("kind") == "flat") | ((F.col("kind") == "total") & pending))
@@ -148,12 +214,11 @@ def _place(test) -> Column:
 
 
 def first_table(rows: DataFrame) -> DataFrame:
-    """Rows of the first table of each document that yields any."""
-    rows = materialize(rows, "table-results")
-    best = rows.groupBy("doc_id").agg(F.min(F.struct("page_no", "table_no")).alias("_t"))
-    return (rows.join(best, "doc_id")
-            .filter((F.col("page_no") == F.col("_t.page_no"))
-                    & (F.col("table_no") == F.col("_t.table_no"))).drop("_t"))
+    """Rows of the first table of each document that yields any; ``rows`` are stored. Only
+    documents with rows of several tables meet their first one."""
+    at = F.struct("page_no", "table_no")
+    several = rows.groupBy("doc_id").agg(F.min(at).alias("_t"), F.max(at).alias("_last")).filter("_t <> _last").drop("_last")
+    return rows.join(several, "doc_id", "left").filter(F.col("_t").isNull() | (at == F.col("_t"))).drop("_t")
 
 
 def relative_trueness(table_rows: DataFrame) -> DataFrame:
@@ -164,21 +229,30 @@ def relative_trueness(table_rows: DataFrame) -> DataFrame:
 
     places = {"_bias": having("bias"), "_sd": having("sd"), "_lower": having("lower"),
               "_upper": having("upper"), "_n": _place(lambda x: F.lower(x).rlike(r"\bn\b"))}
-    header = tables_with(headers(table_rows), ["category", "sd"]).withColumns(places)
-    walked = walk_categories(data_rows(table_rows, header), carry=list(places))
-    cells = walked.select(*TABLE, "row_no", "category", *[
-        F.try_element_at("metrics", F.col(c)).alias(c) for c in places])
 
     def number(c: str) -> Column:
-        return values.to_double(values.last_number(F.col(c)))
-
-    count = F.when(F.col("_n").rlike(_DIGITS), F.col("_n").try_cast("int"))
-    return first_table(cells.filter("_sd IS NOT NULL AND _lower IS NOT NULL AND _upper IS NOT NULL")
-                       .select(*TABLE, "row_no", "category", number("_bias").alias("bias_log"),
-                               number("_sd").alias("sd_log"), count.alias("n_samples"),
-                               count.alias("n_interpretable"),
-                               number("_lower").alias("lower_limit_95"),
-                               number("_upper").alias("upper_limit_95")))
+        return values.last_double(F.col(c))
+
+    def shown(walked: DataFrame, *more: str) -> DataFrame:
+        cells = walked.select(*TABLE, "row_no", "category", *more, *[
+            F.try_element_at("metrics", F.col(c)).alias(c) for c in places])
+        count = F.when(F.col("_n").rlike(_DIGITS), F.col("_n").try_cast("int"))
+        complete = F.col("_sd").isNotNull() & F.col("_lower").isNotNull() & F.col("_upper").isNotNull()
+        return cells.filter(complete | F.col("_far") if more else complete).select(
+            *TABLE, "row_no", "category", *more, number("_bias").alias("bias_log"), number("_sd").alias("sd_log"),
+            count.alias("n_samples"), count.alias("n_interpretable"), number("_lower").alias("lower_limit_95"),
+            number("_upper").alias("upper_limit_95"))
+
+    def walk(rows: DataFrame) -> DataFrame:
+        header = tables_with(headers(rows), keywords).withColumns(places)
+        return shown(walk_categories(data_rows(rows, header), carry=list(places)))
+
+    keywords = ["category", "sd"]
+    headed = (headed_rows(table_rows, keywords, places)
+              .withColumn("kind", F.when(F.col("_far"), "flat").otherwise(_kind(F.col("width")))).filter("kind IS NOT NULL").drop("first"))
+    for name, value in _last().items():
+        headed = headed.withColumn(name, F.max(value).over(_in_block(-1)))
+    return first_table(_by_block(shown(_walked(headed, ["_far", *places]), "_far"), table_rows, walk))
 
 
 def _from_end(*words: str) -> Column:
@@ -202,30 +276,39 @@ def method_comparison(table_rows: DataFrame) -> DataFrame:
     """Qualitative rows per category, from ``table_rows``. A row led by a number opens a category;
     a later ``Total`` row replaces its values; a category named Total is void.
     Values are read by their place from the end of the row."""
-    header = (tables_with(headers(table_rows), ["category", "se"])
-              .withColumn("_alt", _from_end("se", "alt"))
-              .withColumn("_ref", _from_end("se", "ref"))
-              .filter("_alt IS NOT NULL AND _ref IS NOT NULL"))
-    rows = data_rows(table_rows, header)
-    first = F.col("first")
-    kinds = (rows.withColumn("opens", first.rlike(_DIGITS))
-             .withColumn("totals", F.lower(first) == "total")
-             .filter("opens OR totals"))
-    segments = running_max(kinds.drop("first", "labels", "data_start"), TABLE, "row_no",
-                           {"segment": F.when(F.col("opens"), F.col("row_no"))})
-    grouped = (segments.filter("segment IS NOT NULL")
-               .groupBy(*TABLE, F.col("segment").alias("row_no"), "_alt", "_ref")
-               .agg(F.max_by("values", "row_no").alias("values"),
-                    F.max(F.when(F.col("opens"), F.try_element_at("values", F.lit(2))))
-                    .alias("category")))
-    alt = F.try_element_at("values", -F.col("_alt"))
-    ref = F.try_element_at("values", -F.col("_ref"))
-    out = (grouped.filter("category IS NOT NULL AND lower(trim(category)) <> 'total'")
-           .filter(alt.isNotNull() & ref.isNotNull())
-           .select(*TABLE, "row_no", "category",
-                   values.to_double(values.last_number(alt)).alias("sensitivity_alternative_pct"),
-                   values.to_double(values.last_number(ref)).alias("sensitivity_reference_pct")))
-    return first_table(out)
+    keywords, places = ["category", "se"], {"_alt": _from_end("se", "alt"), "_ref": _from_end("se", "ref")}
+    placed = "_alt IS NOT NULL AND _ref IS NOT NULL"
+    opens, totals = F.col("first").rlike(_DIGITS), F.lower("first") == "total"
+
+    def shown(rows: DataFrame, *more: str) -> DataFrame:
+        alt = F.try_element_at("values", -F.col("_alt"))
+        ref = F.try_element_at("values", -F.col("_ref"))
+        complete = (F.col("category").isNotNull() & (F.lower(F.trim("category")) != "total") & alt.isNotNull() & ref.isNotNull())
+        return rows.filter(complete | F.col("_far") if more else complete).select(
+            *TABLE, "row_no", "category", *more,
+            values.last_double(alt).alias("sensitivity_alternative_pct"),
+            values.last_double(ref).alias("sensitivity_reference_pct"))
+
+    def walk(rows: DataFrame) -> DataFrame:
+        header = tables_with(headers(rows), keywords).withColumns(places).filter(placed)
+        kinds = data_rows(rows, header).withColumn("opens", opens).filter(F.col("opens") | totals)
+        segments = running_max(kinds.drop("first", "labels", "data_start"), TABLE, "row_no",
+                               {"segment": F.when(F.col("opens"), F.col("row_no"))})
+        return shown(segments.filter("segment IS NOT NULL")
+                     .groupBy(*TABLE, F.col("segment").alias("row_no"), "_alt", "_ref")
+                     .agg(F.max_by("values", "row_no").alias("values"),
+                          F.max(F.when(F.col("opens"), F.try_element_at("values", F.lit(2)))).alias("category")))
+
+    # In a block a category's last row is the one before the next that opens.
+    kinds = (headed_rows(table_rows, keywords, places).withColumn("opens", opens)
+             .filter(F.col("_far") | (F.expr(placed) & (F.col("opens") | totals))).drop("first"))
+    segments = (kinds.withColumn("_open", F.max(F.when(F.col("opens"), F.struct(
+        F.col("row_no").alias("row"), F.try_element_at("values", F.lit(2)).alias("name")))).over(_in_block(0)))
+        .withColumn("_next", F.lead("opens").over(_in_block()))
+        .filter(F.col("_far") | (F.col("_open").isNotNull() & F.coalesce("_next", F.lit(True)))))
+    ends = segments.select(*TABLE, F.when(F.col("_far"), F.col("row_no")).otherwise(F.col("_open.row")).alias("row_no"),
+                           F.col("_open.name").alias("category"), "values", "_far", "_alt", "_ref")
+    return first_table(_by_block(shown(ends, "_far"), table_rows, walk))
 
 
 QUANTITATIVE_METRICS = [f.name for f in schemas.QUANTITATIVE_ROW.fields if f.name != "category"]
