@@ -1,42 +1,68 @@
 """Choosing the pages of a report that can hold its results tables."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import vocab
+from ..functions.staged import once
 from ..session import materialize, union
 
 
-def _has_signal(text: Column, low: Column, pattern: str) -> Column:
+def _needed(branch: str) -> str:
+    """The longest text of ASCII letters and blanks that every match of a branch holds,
+    or none where that is not plain to see."""
+    bare = branch.replace(r"\b", "\0")
+    if re.search(r"[\\?*+{}()^$]", bare):
+        return ""
+    return max(re.findall(r"[A-Za-z ]+", re.sub(r"\[[^\]]*\]", "\0", bare)), key=len, default="").lower()
+
+
+def _has_signal(text: Column, low: Column, ascii_: Column, pattern: str) -> Column:
     """Whether any branch of the pattern occurs, whatever its case. Branches of
-    plain words are substring tests, which are far cheaper than expressions."""
+    plain words are substring tests, which are far cheaper than expressions; an ASCII
+    text meets the others only if it holds what their matches must hold."""
     test = F.lit(False)
-    rest = []
+    rest, needed = [], []
     for branch in pattern.split("|"):
         if all(ch.isalpha() or ch == " " for ch in branch):
             test = test | F.contains(low, F.lit(branch.lower()))
         else:
             rest.append(branch)
+            needed.append(_needed(branch))
     if rest:
-        test = test | text.rlike("(?iU)" + "|".join(rest))
+        may = F.lit(True)
+        if all(needed):
+            may = ~ascii_
+            for word in needed:
+                may = may | F.contains(low, F.lit(word))
+        test = test | (may & text.rlike("(?iU)" + "|".join(rest)))
     return F.coalesce(test, F.lit(False))
 
 
-def page_score(text: Column, low: Column, signals=vocab.PAGE_SIGNALS,
-               number: str = vocab.PAGE_NUMBER) -> Column:
+def page_kinds(text: Column, low: Column, signals=vocab.PAGE_SIGNALS) -> Column:
+    """How many kinds of signal a page has; ``low`` is the lower-case text."""
+    plain = F.length(text) == F.octet_length(text)
+    return sum((_has_signal(text, low, plain, s).cast("int") for s in signals), F.lit(0))
+
+
+def page_score(text: Column, kinds: Column, number: str = vocab.PAGE_NUMBER) -> Column:
     """Twice the kinds of signal present plus up to six for decimal numbers
-    (one per five); zero without any signal. ``low`` is the lower-case text."""
-    kinds = sum((_has_signal(text, low, s).cast("int") for s in signals), F.lit(0))
+    (one per five); zero without any signal."""
     numbers = F.coalesce(F.regexp_count(text, F.lit(number)), F.lit(0))
     bonus = F.least(F.floor(numbers / 5), F.lit(6))
     return F.when(kinds == 0, 0).otherwise(kinds * 2 + bonus).cast("int")
 
 
 def score_pages(pages: DataFrame, doc: str = "doc_id", page: str = "page_no", text: str = "text",
-                **kw) -> DataFrame:
-    """Map-only: (document, page, score). No text leaves this stage."""
-    staged = pages.select(doc, page, text, F.lower(text).alias("_low"))
-    return staged.select(doc, page, page_score(F.col(text), F.col("_low"), **kw).alias("score"))
+                signals=vocab.PAGE_SIGNALS, number: str = vocab.PAGE_NUMBER) -> DataFrame:
+    """Map-only: (document, page, score). No text leaves this stage; text, lower-case text and
+    kinds are worked out once a page, whatever reads them."""
+    staged = once(pages.select(doc, page, text), {"_text": F.col(text)}).drop(text)
+    staged = once(staged, {"_low": F.lower("_text")})
+    staged = once(staged, {"_kinds": page_kinds(F.col("_text"), F.col("_low"), signals)})
+    return staged.select(doc, page, page_score(F.col("_text"), F.col("_kinds"), number).alias("score"))
 
 
 def _greedy(ranked: Column, budget: int) -> Column:
@@ -113,13 +139,14 @@ def select_pages(scored: DataFrame, budget: int = vocab.PAGE_BUDGET, doc: str =
 
 def page_ranges(selected: DataFrame, doc: str = "doc_id", page: str = "page_no") -> DataFrame:
     """Gaps and islands: ``(document, first, last, part)`` with 1-based text
-    such as ``44-47``. Starts and ends are found by an equi-join of the pages
-    with themselves shifted by one, which no hot document can pile up."""
-    s = selected.select(F.col(doc).alias("doc"), F.col(page).alias("page"))
-    before = s.select("doc", (F.col("page") + 1).alias("page"), F.lit(True).alias("_b"))
-    after = s.select("doc", (F.col("page") - 1).alias("page"), F.lit(True).alias("_a"))
-    edges = (s.join(before, ["doc", "page"], "left").join(after, ["doc", "page"], "left")
-             .filter("_b IS NULL OR _a IS NULL"))
+    such as ``44-47``. Every page tells its neighbours of itself, so starts and ends come
+    from one reading of the selection, grouped by page, which no hot document can pile up."""
+    p = F.col(page)
+    told = F.array(*[F.struct(at.alias("page"), *[F.when(F.lit(name == mark), True).alias(name) for name in ("_s", "_b", "_a")])
+                     for at, mark in ((p, "_s"), (p + 1, "_b"), (p - 1, "_a"))])
+    edges = (selected.select(F.col(doc).alias("doc"), F.inline(told)).groupBy("doc", "page")
+             .agg(*[F.max(name).alias(name) for name in ("_s", "_b", "_a")])
+             .filter("_s AND (_b IS NULL OR _a IS NULL)"))
     order = Window.partitionBy("doc").orderBy("page")
     starts = (edges.withColumn("end", F.when(F.col("_a").isNull(), F.col("page"))
                                .otherwise(F.lead("page").over(order)))
