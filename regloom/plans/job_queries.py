@@ -197,7 +197,7 @@ def collected_snapshots(spark, sf):
 def _mining_inputs(spark, sf):
     """A report per supplier: a cover, its prose and a one-row results table.
     Records exist for the certificate numbers of most of them."""
-    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    s = inputs.spread(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
     key = F.col("s_suppkey")
     digits = F.lpad(key.cast("string"), 8, "0")
     number = F.concat(F.lit("AB "), F.substring(digits, 1, 2), F.lit("/"), F.substring(digits, 3, 2), F.lit("-"),
