@@ -12,6 +12,7 @@ from pyspark.sql import Column, functions as F
 from .. import vocab
 from .rules import (contains_any, first_containing, first_keyword, first_matching, longest_contained,
                     lookup)
+from .staged import bound
 from .text import fold_key, present, tidy
 
 
@@ -71,7 +72,7 @@ def technology_from_sections(*texts: Column) -> Column:
 
 
 def technology_from_heading(heading: Column, mapping=vocab.HEADING_TECHNOLOGY) -> Column:
-    return lookup(F.lower(F.trim(heading)), mapping, F.lit("other"))
+    return bound(F.lower(F.trim(heading)), lambda key: lookup(key, mapping, F.lit("other")))
 
 
 def analyte(raw: Column) -> Column:

@@ -5,34 +5,45 @@ tags open. A page is one row, so nothing is shuffled.
 """
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocab
 from ..functions import classify
-from ..functions.staged import once
+from ..functions.staged import bound, once
 from ..functions.text import INLINE, blank_to_null, find, squeeze
 
 _TAG = r"(?s)<[^>]*>"
+_BREAK = r"<[bB][rR]\b[^>]*>"
 # An anchor's attributes, and what follows up to its end, the next anchor or the end.
 _ANCHOR = r"(?is)<a\b([^>]*)>(.*?)(?=</a\b|<a\b|\z)"
-_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# One group for all three kinds of quotes: an opening quote is passed only where it is closed.
+_VALUE = r"""\s*=\s*(?:"(?=[^"]*")|'(?=[^']*'))?+((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)"""
 _HREF = r"(?is)(?:^|[\s\"'/])href" + _VALUE
 _REL = r"(?is)(?:^|[\s\"'/])rel" + _VALUE
-_UPDATED_LINE = "(?i)" + f"{INLINE}+".join("mise à jour et publiée le".split(" "))
+_UPDATED_LINE = "(?i)[mM]" + f"{INLINE}+".join("ise à jour et publiée le".split(" "))
+# A line of the maker, in the words that ``lower`` makes equal to these.
+_MAKER = "(?:[tT][iI][tT][uU][lL][aA][iI][rR][eE]|[sS][oO][cC][iI][éÉ][tT][éÉ])"
 _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
              ("&amp;", "&")]
 
 
 def unescape(c: Column) -> Column:
-    for entity, char in _ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    def plain(x: Column) -> Column:
+        out = x
+        for entity, char in _ENTITIES:
+            out = F.replace(out, F.lit(entity), F.lit(char))
+        return F.when(F.contains(x, F.lit("&")), out).otherwise(x)
+
+    return bound(c, plain)
 
 
 def visible(html: Column) -> Column:
     """Markup without scripts, styles and comments."""
     return F.regexp_replace(
-        html, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
+        html, r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)", "")
 
 
 def text_of(html: Column, gap: str = " ") -> Column:
@@ -42,15 +53,21 @@ def text_of(html: Column, gap: str = " ") -> Column:
 
 def line_array(html: Column) -> Column:
     """Non-blank squeezed lines; a line break tag ends a line."""
-    broken = F.regexp_replace(html, r"(?i)<br\b[^>]*>", "\n")
+    return F.filter(F.split(_lines_text(html), "\n"), lambda x: x != "")
+
+
+def _lines_text(html: Column) -> Column:
+    """Text of ``line_array``: it begins with its first line, lines behind may be blank."""
+    broken = F.regexp_replace(html, _BREAK, "\n")
     # Blanks are squeezed in the whole text, not line by line.
-    return F.filter(F.split(_squeezed_lines(unescape(F.regexp_replace(broken, _TAG, ""))), "\n"), lambda x: x != "")
+    return _squeezed_lines(unescape(F.regexp_replace(broken, _TAG, "")))
 
 
 def _squeezed_lines(text: Column) -> Column:
-    """Text in which each line is squeezed."""
-    single = F.regexp_replace(text, f"{INLINE}+", " ")
-    return F.btrim(F.regexp_replace(single, " ?\n ?", "\n"), F.lit(" \n"))
+    """Text in which each line is squeezed. A lone blank is no match, as most blanks are."""
+    single = F.regexp_replace(text, f"{INLINE}(?:{INLINE}+|(?<! ))", " ")
+    bare = F.replace(F.replace(single, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return F.btrim(bare, F.lit(" \n"))
 
 
 def link_array(html: Column) -> Column:
@@ -65,7 +82,7 @@ def link_array(html: Column) -> Column:
 
 def attribute(attrs: Column, pattern: str) -> Column:
     """Value of an attribute, in double, single or no quotes; '' if it has none."""
-    return F.concat(*[F.regexp_extract(attrs, pattern, i) for i in (1, 2, 3)])
+    return F.regexp_extract(attrs, pattern, 1)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
@@ -94,24 +111,27 @@ def _inside(element: Column, tag: str) -> Column:
     """What follows the tag an element begins with, up to its closing tag or the end; '' if the tag has no end."""
     close = F.instr(element, ">")
     rest = F.substr(element, close + 1)
-    return F.when(close > 0, F.element_at(F.split(rest, rf"(?i)</{tag}>", 2), 1)).otherwise("")
+    return F.when(close > 0, F.regexp_replace(rest, rf"(?s)</(?i:{tag})>.*", "")).otherwise("")
 
 
 def page_blocks(pages: DataFrame, heading: str = "h2", block: str = "p", page_id: str = "page_id",
-                url: str = "url", html: str = "html", is_visible: bool = False) -> DataFrame:
+                url: str = "url", html: str = "html", is_visible: bool = False,
+                of_heading: Callable[[Column], Column] | None = None) -> DataFrame:
     """Blocks under each heading: (page, url, heading_no, heading, block_no,
     block). A block runs to its closing tag, the next block or the heading.
-    ``is_visible`` says that scripts, styles and comments are gone already."""
+    ``is_visible`` says that scripts, styles and comments are gone already;
+    ``of_heading`` is put in the heading's place."""
     body = F.col(html) if is_visible else visible(F.col(html))
-    sections = F.split(body, rf"(?i)(?=<{heading}\b)")
+    sections = F.split(body, rf"(?=<(?i:{heading})\b)")
+    # Only the first piece may begin otherwise.
     parts = (pages.select(page_id, url, F.posexplode_outer(sections).alias("heading_no", "_sec"))
-             .filter(F.col("_sec").rlike(rf"(?i)^<{heading}\b")))
+             .filter((F.col("heading_no") > 0) | F.col("_sec").rlike(rf"(?i)^<{heading}\b")))
     title = text_of(_inside(F.col("_sec"), heading))
-    blocks = F.split(F.col("_sec"), rf"(?i)(?=<{block}\b)")
+    blocks = F.split(F.col("_sec"), rf"(?=<(?i:{block})\b)")
     # The heading is read once a section, not once a block.
-    return (once(parts, {"heading": title}).select(page_id, url, "heading_no", "heading",
-                                                   F.posexplode_outer(blocks).alias("block_no", "_b"))
-            .filter(F.col("_b").rlike(rf"(?i)^<{block}\b"))
+    return (once(parts, {"heading": title if of_heading is None else bound(title, of_heading)})
+            .select(page_id, url, "heading_no", "heading", F.posexplode_outer(blocks).alias("block_no", "_b"))
+            .filter((F.col("block_no") > 0) | F.col("_b").rlike(rf"(?i)^<{block}\b"))
             .withColumn("block", _inside(F.col("_b"), block))
             .drop("_b"))
 
@@ -119,27 +139,20 @@ def page_blocks(pages: DataFrame, heading: str = "h2", block: str = "p", page_id
 def block_fields(blocks: DataFrame, standards: str | None = None) -> DataFrame:
     """Name, maker, aim, standard and the two document links of each block;
     blocks with neither maker nor link are navigation and are dropped."""
-    staged = once(blocks, {"_lines": line_array(F.col("block")), "_links": link_array(F.col("block"))})
-    rest = F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))
-    is_maker = (lambda x: F.lower(x).startswith("titulaire") | F.lower(x).startswith("société"))
-    maker_line = F.try_element_at(F.filter(rest, is_maker), F.lit(-1))
-    maker = F.trim(F.ltrim(F.trim(F.regexp_replace(maker_line, r"(?s)^[^:]*:", "")), F.lit(":")))
-    aim = F.try_element_at(F.filter(rest, lambda x: ~is_maker(x) & x.rlike(
-        r"(?i)D[EÉé]TECTION|D[EÉé]NOMBREMENT")), F.lit(1))
-
-    def last_link(*words: str) -> Column:
-        def test(x):
-            hit = F.lit(False)
-            for word in words:
-                hit = hit | F.contains(F.lower(x["label"]), F.lit(word))
-            return hit
-        return test
-
-    is_certificate = last_link("certificat", "attestation")
-    is_report = last_link("synth", "rapport")
+    # Lines are sought in the block's text, whose first line is the name; labels come in lower case once a link.
+    links = F.transform(link_array(F.col("block")), lambda x: F.struct(x["href"].alias("href"), F.lower(x["label"]).alias("label")))
+    staged = once(blocks, {"_text": _lines_text(F.col("block")), "_links": links})
+    maker_line = find(F.col("_text"), rf"(?s)^.*\n({_MAKER}[^\n]*)")
+    maker = bound(maker_line, lambda x: F.trim(F.ltrim(F.trim(F.substr(x, F.instr(x, ":") + 1)), F.lit(":"))))
+    aim = find(F.col("_text"), rf"\n((?!{_MAKER})[^\n]*?[dD](?i:[EÉé]TECTION|[EÉé]NOMBREMENT)[^\n]*)")
+
+    def words(x: Column, *needles: str) -> Column:
+        return functools.reduce(Column.__or__, [F.contains(x["label"], F.lit(n)) for n in needles])
+
+    is_certificate = (lambda x: words(x, "certificat", "attestation"))
     certificate = F.try_element_at(F.filter("_links", is_certificate), F.lit(-1))["href"]
     report = F.try_element_at(F.filter(
-        "_links", lambda x: is_report(x) & ~is_certificate(x)), F.lit(-1))["href"]
+        "_links", lambda x: words(x, "synth", "rapport") & ~is_certificate(x)), F.lit(-1))["href"]
     page_standard = F.col(standards) if standards else F.lit(None).cast("string")
     kept = [c for c in blocks.columns if c not in ("block", standards)]
     # Blocks are dropped by fields that are read once for the test and the result.
@@ -148,7 +161,7 @@ def block_fields(blocks: DataFrame, standards: str | None = None) -> DataFrame:
             .filter((F.coalesce("manufacturer", F.lit("")) != "")
                     | F.col("certificate_url").isNotNull()
                     | F.col("summary_report_url").isNotNull())
-            .select(*kept, F.try_element_at("_lines", F.lit(1)).alias("commercial_name"),
+            .select(*kept, F.nullif(F.substring_index("_text", "\n", 1), F.lit("")).alias("commercial_name"),
                     "manufacturer", "aim_raw", classify.action(F.col("aim_raw")).alias("action"),
                     F.coalesce(F.trim(find(F.col("aim_raw"), vocab.PAGE_STANDARD)),
                                page_standard).alias("reference_standard"),
@@ -165,8 +178,8 @@ def page_standards(html: Column, heading: str = "h2", shop: str = vocab.STANDARD
 
 
 def _standards_of(html: Column, body: Column, heading: str = "h2", shop: str = vocab.STANDARDS_SHOP) -> Column:
-    before = F.element_at(F.split(body, rf"(?i)<{heading}\b", 2), 1)
-    has = html.rlike(rf"(?i)<{heading}\b")
+    before = F.regexp_replace(body, rf"(?s)<(?i:{heading})\b.*", "")
+    has = html.rlike(rf"<(?i:{heading})\b")
     named = F.filter(link_array(before), lambda x: F.contains(x["href"], F.lit(shop))
                      | x["label"].rlike(r"^(NF\s|ISO\s|EN\s)"))
     joined = F.array_join(F.transform(named, lambda x: x["label"]), "; ")
@@ -180,16 +193,19 @@ def last_updated(html: Column) -> Column:
 
 def _date_text(body: Column) -> Column:
     """Text in lines, among which the page's date line is sought."""
-    ended = F.regexp_replace(F.regexp_replace(body, r"(?i)</(p|div|h\d|li)>", "\n"), r"(?i)<br\b[^>]*>", "\n")
+    ended = F.regexp_replace(body, r"</(?i:p|div|h\d|li)>|" + _BREAK, "\n")
     return unescape(F.regexp_replace(ended, _TAG, ""))
 
 
 def _updated_of(text: Column) -> Column:
     """Takes ``_date_text``; only the first line that has the words is cut out and squeezed."""
-    at = F.regexp_instr(text, F.lit(_UPDATED_LINE))
-    line = F.concat(F.substring_index(F.substr(text, F.lit(1), at - 1), "\n", -1),
-                    F.substring_index(F.substr(text, at), "\n", 1))
-    return F.when(at > 0, F.trim(find(squeeze(line), vocab.PAGE_UPDATED)))
+    def line(found: Column) -> Column:
+        # Place and text travel together, so that neither is worked out again.
+        at, t = found["at"], found["text"]
+        cut = F.concat(F.substring_index(F.substr(t, F.lit(1), at - 1), "\n", -1), F.substring_index(F.substr(t, at), "\n", 1))
+        return F.when(at > 0, F.trim(find(squeeze(cut), vocab.PAGE_UPDATED)))
+
+    return bound(text, lambda t: bound(F.struct(F.regexp_instr(t, F.lit(_UPDATED_LINE)).alias("at"), t.alias("text")), line))
 
 
 def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url",
@@ -204,8 +220,8 @@ def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str =
     named = once(head, {"_upd": _updated_of(F.col("_dated")), "_organism": classify.organism_of_slug(F.col("_slug"), F.col("_raw"))})
     carried = named.select(page_id, F.struct(F.col(url).alias("url"), "_raw", "_std", "_upd", "_organism").alias(url),
                            F.col("_body").alias(html))
-    blocks = page_blocks(carried, page_id=page_id, url=url, html=html, is_visible=True)
-    flat = blocks.select(page_id, "heading", "block_no", "heading_no", "block",
+    blocks = page_blocks(carried, page_id=page_id, url=url, html=html, is_visible=True, of_heading=classify.technology_from_heading)
+    flat = blocks.select(page_id, F.col("heading").alias("_category"), "block_no", "heading_no", "block",
                          *[F.col(url)[c].alias(c) for c in ("url", "_raw", "_std", "_upd", "_organism")])
     f = block_fields(flat, standards="_std")
     none = F.lit(None).cast("string")
@@ -214,7 +230,7 @@ def organism_page_records(pages: DataFrame, page_id: str = "page_id", url: str =
         F.struct(F.col("manufacturer").alias("name"), none.alias("address_raw"),
                  none.alias("represented_in_europe"), none.alias("site_of_production"))
         .alias("manufacturer"),
-        F.struct("action", classify.technology_from_heading(F.col("heading")).alias("category"))
+        F.struct("action", F.col("_category").alias("category"))
         .alias("method_type"),
         F.struct(F.col("_organism").alias("normalized"), F.col("_raw").alias("raw")).alias("target_organism"),
         F.struct(F.col("reference_standard").alias("standard"), F.col("aim_raw").alias("raw"))
