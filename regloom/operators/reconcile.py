@@ -1,7 +1,7 @@
 """Keys, latest copies, and the join of independent collectors."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import name_key
 
@@ -16,6 +16,15 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
     return best.select(*keys, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
 
 
+def latest_rows(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """As ``latest_per_key``, for wide rows: columns that nobody reads later are dropped
+    before the sort and the shuffle, which a struct of the whole row would keep. Spark limits the
+    groups of each task to one row before the shuffle, so a hot key costs one row per task here too."""
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[o.desc() for o in order_cols]))
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def unique_names(df: DataFrame, key: str, name: str) -> DataFrame:
     """``(_name, _by_name)`` for names carried by exactly one key."""
     return (df.groupBy(name_key(F.col(name)).alias("_name"))
@@ -65,21 +74,25 @@ def latest_resolved(pages: DataFrame, boot: DataFrame, order: list[str | Column]
     """Latest page row per settled key, and the rows no key could be found for.
 
     Reduced twice by the same order: first per (own key, name), which shrinks
-    hot keys before any join, then per settled key.
+    hot keys before any join, then per settled key. Only (key, name) pairs meet the other side; those
+    that get another key, few as a rule, come back to the rows where these lie after the first reduction.
     """
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    first = (pages.withColumn("_name", name_key(F.col(name)))
-             .groupBy(key, "_name")
-             .agg(F.max_by(F.struct(*pages.columns), F.struct(*order_cols)).alias("_r")))
-    slim = first.select("_name", *[F.col("_r")[c].alias(c) for c in pages.columns])
+    named = pages.withColumn("_name", name_key(F.col(name)))
+    # Never null, so that rows and pairs can be joined by plain equality.
+    own = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit(""))
+    slim = latest_rows(named.withColumn("_own", own), ["_own", "_name"], order)
     claimed = pages.select(key).distinct() if exclude_claimed else None
-    settled = _settle(slim, boot, claimed, key, name)
+    candidates = boot if claimed is None else boot.join(claimed, key, "left_anti")
+    known = boot.select(F.col(key).alias("_known"))
+    moved = (named.select(key, "_name").distinct().join(known, F.col(key) == F.col("_known"), "left_anti")
+             .join(unique_names(candidates, key, name), "_name").select(own.alias("_own"), "_name", "_by_name"))
     lost = resolve_keys(pages.filter(F.col(key).isNull()), boot, key, name, exclude_claimed)
     quarantine = (lost.filter("resolution = 'unresolved'").drop("resolved_key", "resolution")
                   .withColumn("reason", F.lit("no certificate number and no unique name")))
-    good = (settled.filter("resolution <> 'unresolved'").drop(key, "resolution", "_name")
-            .withColumnRenamed("resolved_key", key))
-    return latest_per_key(good.select(*pages.columns), [key], order), quarantine
+    # Whatever the sizes are guessed to be, rows stay partitioned by (own key, name) and are not sent again.
+    good = (slim.join(moved.hint("merge"), ["_own", "_name"], "left").withColumn(key, F.coalesce("_by_name", key))
+            .filter(F.col(key).isNotNull()))
+    return latest_rows(good.select(*pages.columns), [key], order), quarantine
 
 
 def match_sources(left: DataFrame, right: DataFrame, key: str = "certificate_number",

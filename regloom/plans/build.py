@@ -17,8 +17,8 @@ def reconcile_registry(page_records: DataFrame, bootstrap: DataFrame, today,
     derived = (page_records.withColumn("certificate_number", values.certificate_from_url(
         F.col("traceability.certificate_pdf_url")))
         .withColumn("_date", values.french_date(F.col("organism_page_last_updated_raw"))))
-    boot = reconcile.latest_per_key(bootstrap, ["certificate_number"],
-                                    ["file"] if "file" in bootstrap.columns else ["raw_block"])
+    boot = reconcile.latest_rows(bootstrap, ["certificate_number"],
+                                 ["file"] if "file" in bootstrap.columns else ["raw_block"])
     latest, unresolved = reconcile.latest_resolved(derived, boot, ["_date", "file"])
     matched = reconcile.match_sources(boot, latest)
     records = canonical.from_list_and_pages(matched, today)
