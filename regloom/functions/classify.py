@@ -67,8 +67,7 @@ def technology_from_list_name(name: Column, rules=vocab.LIST_NAME_TECHNOLOGY) ->
 
 
 def technology_from_sections(*texts: Column) -> Column:
-    return first_matching(F.lower(F.concat_ws(" ", *texts)), vocab.SECTION_TECHNOLOGY,
-                          F.lit("other"))
+    return bound(F.lower(F.concat_ws(" ", *texts)), lambda t: first_matching(t, vocab.SECTION_TECHNOLOGY, F.lit("other")))
 
 
 def technology_from_heading(heading: Column, mapping=vocab.HEADING_TECHNOLOGY) -> Column:
@@ -81,7 +80,7 @@ def analyte(raw: Column) -> Column:
 
 
 def target_of_certificate(*texts: Column, rules=vocab.CERTIFICATE_TARGETS) -> Column:
-    return first_keyword(F.upper(F.concat_ws(" ", *texts)), rules)
+    return bound(F.upper(F.concat_ws(" ", *texts)), lambda t: first_keyword(t, rules))
 
 
 def target_of_list(aim: Column, rules=vocab.LIST_TARGETS) -> Column:

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import Column, functions as F
 
 from .. import vocab
+from .staged import bound
 from .text import blank_to_null, find, squeeze
 
 DATE = "date"
@@ -45,19 +46,21 @@ def _iso(year: Column, month: Column, day: Column) -> Column:
     return F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
 
 
+def _part(words: Column, i: int) -> Column:
+    return F.try_element_at(words, F.lit(i))
+
+
 def english_date(c: Column) -> Column:
     """First ``Month d, yyyy`` in a text. Only the first candidate counts."""
     words = F.split(F.regexp_extract(c, r"([A-Za-z]+)\s+(\d{1,2}),?\s+(\d{4})", 0), r",?\s+")
-    part = (lambda i: F.try_element_at(words, F.lit(i)))
-    return _iso(part(3), _month_number(part(1), vocab.ENGLISH_MONTHS), part(2))
+    return bound(words, lambda w: _iso(_part(w, 3), _month_number(_part(w, 1), vocab.ENGLISH_MONTHS), _part(w, 2)))
 
 
 def french_date(c: Column) -> Column:
     """First ``d mois yyyy`` in a text; the first of a month may read ``1er``."""
     words = F.split(F.regexp_extract(c, r"(?U)(\d{1,2})(?:er)?\s+(\p{L}+)\s+(\d{4})", 0),
                     r"(?U)(?<=\d)er\s+|\s+")
-    part = (lambda i: F.try_element_at(words, F.lit(i)))
-    return _iso(part(3), _month_number(part(2), vocab.FRENCH_MONTHS), part(1))
+    return bound(words, lambda w: _iso(_part(w, 3), _month_number(_part(w, 2), vocab.FRENCH_MONTHS), _part(w, 1)))
 
 
 def dotted_dates(c: Column) -> Column:

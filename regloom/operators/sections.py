@@ -24,6 +24,26 @@ def _needle(pattern: str) -> str:
     return fixed.pop()
 
 
+#: Characters beside the two cases that Java takes for a letter when case is ignored.
+_ALIKE = {"i": "\u0131\u0130", "k": "\u212a", "s": "\u017f"}
+
+
+def _searched(pattern: str) -> str:
+    """The heading in any case. The first letter is looked at, in a plain class, before the word
+    boundary and the folding of case, which are dear to try at every place."""
+    def first(m: re.Match) -> str:
+        letter = m[3].lower()
+        return rf"{m[1]}(?-i:(?=[{letter.upper()}{letter}{_ALIKE.get(letter, '')}])){m[2] or ''}{m[3]}"
+
+    return "(?iU)" + re.sub(r"(^|\|)(\\b)?([A-Za-z])", first, pattern)
+
+
+def _size(text: Column, pattern: str) -> Column:
+    """Length of the first match. That of plain words is known without another search."""
+    words = re.sub(r"^\\b|\\b$", "", pattern)
+    return F.lit(len(words)) if re.fullmatch("[A-Za-z ]+", words) else F.length(F.regexp_substr(text, F.lit(_searched(pattern))))
+
+
 def with_sections(docs: DataFrame, name: str, text: str = "text",
                   headings=vocab.SECTION_HEADINGS) -> DataFrame:
     """Add an array of (section, text): each heading's first hit, up to the
@@ -35,10 +55,8 @@ def with_sections(docs: DataFrame, name: str, text: str = "text",
     text. The branches stand in a filter's array, which keeps them out of generated methods.
     """
     def hit(key: str, pattern: str) -> Column:
-        # The first letter is looked at before the word boundary, which is dear to test at every place.
-        found_ = F.lit("(?iU)" + re.sub(r"(^|\|)\\b([A-Z])", r"\1(?=\2)\\b\2", pattern))
         return F.when(F.contains("_upper", F.lit(_needle(pattern))), F.struct(
-            F.regexp_instr(text, found_).alias("start"), F.length(F.regexp_substr(text, found_)).alias("size"), F.lit(key).alias("name")))
+            F.regexp_instr(text, F.lit(_searched(pattern))).alias("start"), _size(F.col(text), pattern).alias("size"), F.lit(key).alias("name")))
 
     hits = F.filter(F.array(*[hit(key, p) for key, p in headings]), lambda h: h["start"] > 0)
     staged = docs.withColumn("_upper", F.upper(text)).withColumn("_found", F.array_sort(hits)).drop("_upper")
@@ -106,7 +124,7 @@ def matrix_column(text: Column) -> Column:
 def panel_table(text: Column, panel: str) -> Column:
     """Text of the table named ``panel``, up to the next numbered table."""
     return F.regexp_extract(
-        text, rf"(?sU)(?i:Table\s*\d+\.\s*{panel})(.*?)(?:\bTable\s*\d+\.|\z)", 1)
+        text, rf"(?sU)(?=[Tt])(?i:Table\s*\d+\.\s*{panel})(.*?)(?:\bTable\s*\d+\.|\z)", 1)
 
 
 def strain_matches(table: Column) -> Column:
